@@ -114,10 +114,11 @@ def top_titles(scaled: DataFrame, n: int = TOP_TITLES,
 
     ``row_number() <= n`` is planned as a ``WindowGroupLimit`` before and after
     the shuffle, so at most ``n`` rows per segment and task are shuffled, with
-    their descriptions.
+    their descriptions. Output columns of ``OUTPUT_COLUMNS`` missing from
+    ``scaled`` are left out.
     """
     order = [F.col("total_points").desc(), F.col("title").asc(), F.col("title_id").asc()]
-    cols = [*keys, "title_id", *OUTPUT_COLUMNS]
+    cols = [*keys, "title_id", *[c for c in OUTPUT_COLUMNS if c in scaled.columns]]
     if not keys:
         return scaled.orderBy(*order).limit(n).select(*cols)
     window = Window.partitionBy(*keys).orderBy(*order)

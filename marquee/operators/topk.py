@@ -78,3 +78,44 @@ def top_title_words(catalog: DataFrame, n: int = TOP_TITLE_WORDS,
                     stop_words: Iterable[str] | None = None) -> DataFrame:
     """``(keys..., rank, word, count)`` over the title vocabulary tokens."""
     return top_terms(catalog, title_vocabulary_tokens("title", stop_words), "word", n, keys)
+
+
+def segment_lists(prepared: DataFrame,
+                  sizes: tuple[int, int, int] = (TOP_DESCRIPTION_WORDS, TOP_GENRES, TOP_TITLE_WORDS),
+                  keys: Sequence[str] = SEGMENT_KEYS,
+                  stop_words: Iterable[str] | None = None) -> DataFrame:
+    """All three ranked lists from one pass: ``(keys..., list, rank, term, count)``.
+
+    Each title's description words, genres and title words are tagged with
+    their list and exploded together, so the catalogue is scanned and
+    tokenised once for the three lists. ``list`` is ``description``,
+    ``genre`` or ``title``.
+    """
+    def tagged(arr: Column, name: str) -> Column:
+        return F.transform(arr, lambda t: F.struct(F.lit(name).alias("list"), t.alias("term")))
+
+    terms = F.concat(
+        tagged(F.col("desc_tokens"), "description"),
+        tagged(genre_terms(F.col("listed_in")), "genre"),
+        tagged(title_vocabulary_tokens("title", stop_words), "title"),
+    )
+    exploded = (prepared.select(*keys, F.explode_outer(terms).alias("e"))
+                .filter(F.col("e").isNotNull())
+                .select(*keys, "e.list", "e.term"))
+    counts = exploded.groupBy(*keys, "list", "term").agg(F.count(F.lit(1)).alias("count"))
+    n_desc, n_genre, n_title = sizes
+    limit = (F.when(F.col("list") == "description", n_desc)
+             .when(F.col("list") == "genre", n_genre).otherwise(n_title))
+    window = Window.partitionBy(*keys, "list").orderBy(F.col("count").desc(), F.col("term").asc())
+    # The literal bound lets Spark plan a WindowGroupLimit around the shuffle.
+    return (counts.withColumn("rank", F.row_number().over(window))
+            .filter(F.col("rank") <= max(sizes))
+            .filter(F.col("rank") <= limit)
+            .select(*keys, "list", "rank", "term", "count"))
+
+
+def one_list(lists: DataFrame, name: str, term_name: str,
+             keys: Sequence[str] = SEGMENT_KEYS) -> DataFrame:
+    """One list of :func:`segment_lists` as ``(keys..., rank, <term_name>, count)``."""
+    return (lists.filter(F.col("list") == name)
+            .select(*keys, "rank", F.col("term").alias(term_name), "count"))

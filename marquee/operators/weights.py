@@ -48,6 +48,16 @@ def rank_weights(desc_top: DataFrame, genre_top: DataFrame, title_top: DataFrame
             .unionByName(list_weights(title_top, t_spec, keys)))
 
 
+def weights_from_lists(lists: DataFrame, keys: Sequence[str] = SEGMENT_KEYS,
+                       specs: tuple = (DESCRIPTION, GENRE, TITLE)) -> DataFrame:
+    """``(keys..., list, term, weight)`` from the fused lists of ``segment_lists``."""
+    weight = None
+    for name, _, base, step in specs:
+        w = (F.lit(base + 1) - F.col("rank")) * F.lit(step)
+        weight = F.when(F.col("list") == name, w) if weight is None else weight.when(F.col("list") == name, w)
+    return lists.select(*keys, "list", "term", weight.cast("int").alias("weight"))
+
+
 def weight_maps(weights: DataFrame, keys: Sequence[str] = SEGMENT_KEYS) -> DataFrame:
     """One row per segment: ``desc_weights``, ``genre_weights``, ``title_weights`` maps.
 

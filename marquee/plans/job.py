@@ -1,11 +1,19 @@
 """The catalogue job as one segmented plan.
 
 :class:`CatalogJob` wires the operators together for any catalogue and any
-candidates. Every output is a lazy DataFrame; the only eager steps are the
-small per-segment tables (weight maps, segment statistics), written once into
-the shared folder so that every later plan reads them instead of recomputing
-a whole-catalogue aggregation, and so that the planner sees their real size
-before choosing a broadcast.
+candidates. Outputs are lazy DataFrames; the eager steps are a few tables
+written once into the shared folder (:func:`~marquee.plans.materialize.materialize`):
+
+1. ``lists``: the three ranked term lists of every segment, from **one** pass
+   that tokenises the catalogue (at most 25 rows per segment);
+2. ``scored_table``: every title's points with its short columns (no
+   description), from the second and last tokenising pass;
+3. ``stats``: min/max points per segment, read from ``scored_table``.
+
+Scaling, the best titles, reports and candidates read these tables, so the
+descriptions are tokenised twice in all (the lists must be known before any
+title can be scored), and the written tables' real sizes decide every
+broadcast.
 """
 
 from __future__ import annotations
@@ -20,16 +28,21 @@ from marquee.operators import candidates as cand_ops
 from marquee.operators import score as score_ops
 from marquee.operators import topk
 from marquee.operators.reports import report_lines
-from marquee.operators.weights import rank_weights, weight_maps
+from marquee.operators.weights import rank_weights, weight_maps, weights_from_lists
 from marquee.plans.materialize import materialize
-from marquee.sources.catalog import SEGMENT_KEYS
+from marquee.sources.catalog import SEGMENT_KEYS, TEXT_COLUMNS
+
+SCORED_COLUMNS: tuple[str, ...] = (
+    ("title_id",) + tuple(c for c in TEXT_COLUMNS if c != "description")
+    + score_ops.POINT_COLUMNS + ("total_points",)
+)
 
 
 class CatalogJob:
     """All outputs of the job over one catalogue (and optionally candidates).
 
-    ``cache=True`` keeps the pruned, tokenised catalogue in memory and on
-    disk between the outputs (the lists, scores and top titles all read it);
+    ``cache=True`` additionally keeps the tokenised catalogue (without
+    descriptions) in memory and on disk between the two tokenising passes;
     lost blocks are recomputed from the source.
     """
 
@@ -51,7 +64,7 @@ class CatalogJob:
     def prepared(self) -> DataFrame:
         df = score_ops.prepare(self.catalog, self.stop_words)
         if self._cache:
-            df = df.persist(StorageLevel.MEMORY_AND_DISK)
+            df = df.drop("description").persist(StorageLevel.MEMORY_AND_DISK)
         return df
 
     @cached_property
@@ -65,9 +78,10 @@ class CatalogJob:
         return score_ops.segment_sizes(self.catalog, self.keys)
 
     def desc_clean(self) -> DataFrame:
-        return score_ops.desc_clean(self.prepared)
+        return score_ops.desc_clean(score_ops.prepare(self.catalog, self.stop_words))
 
     def top_desc_words(self, keys: Sequence[str] | None = None) -> DataFrame:
+        """One list alone scans only what it needs (``lists`` has all three)."""
         return topk.top_description_words(self.prepared, self.top_n[0],
                                           self.keys if keys is None else keys)
 
@@ -77,38 +91,67 @@ class CatalogJob:
     def top_title_words(self) -> DataFrame:
         return topk.top_title_words(self.prepared, self.top_n[2], self.keys, self.stop_words)
 
+    @cached_property
+    def lists(self) -> DataFrame:
+        """``(keys..., list, rank, term, count)`` of all three lists, written once."""
+        return materialize(
+            topk.segment_lists(self.prepared, self.top_n, self.keys, self.stop_words), "lists")
+
     def rank_weights(self) -> DataFrame:
+        return weights_from_lists(self.lists, self.keys)
+
+    def rank_weights_separately(self) -> DataFrame:
+        """The same weights from three separate list plans (a cross-check of the fused pass)."""
         return rank_weights(self.top_desc_words(), self.top_genres(), self.top_title_words(),
                             self.keys)
 
     @cached_property
     def maps(self) -> DataFrame:
-        """Weight maps per segment, written once (one small row per segment)."""
-        return materialize(weight_maps(self.rank_weights(), self.keys), "weight_maps")
+        """Weight maps, one small row per segment (read from the written lists)."""
+        return weight_maps(self.rank_weights(), self.keys)
 
     # -- scores ----------------------------------------------------------------
     @cached_property
     def scored(self) -> DataFrame:
+        """Every title with its four criteria and total (lazy, one tokenising pass)."""
         return score_ops.score_titles(self.prepared, self.maps, self.keys, self.stop_words)
 
+    @cached_property
+    def scored_table(self) -> DataFrame:
+        """``scored`` without descriptions, written once for the statistics and rankings."""
+        return materialize(self.scored.select(*SCORED_COLUMNS[:1], *self.keys,
+                                              *SCORED_COLUMNS[1:]), "scored")
+
     def segment_stats(self) -> DataFrame:
-        return score_ops.segment_stats(self.scored, self.keys)
+        return score_ops.segment_stats(self.scored_table, self.keys)
 
     @cached_property
     def stats(self) -> DataFrame:
-        """Segment statistics, written once (one row per segment)."""
+        """Segment statistics, one row per segment, written once."""
         return materialize(self.segment_stats(), "segment_stats")
 
     @cached_property
     def scaled(self) -> DataFrame:
-        return score_ops.scale_success(self.scored, self.stats, self.keys)
+        """Scored titles (without descriptions) with their success percentage."""
+        return score_ops.scale_success(self.scored_table, self.stats, self.keys)
 
     def top_titles(self) -> DataFrame:
-        return score_ops.top_titles(self.scaled, self.top_titles_n, self.keys)
+        """The best titles per segment with all output columns.
+
+        The ranking runs on the written scores; the descriptions of the at most
+        ``n`` rows per segment are then fetched by ``title_id`` with a join
+        against that small written table.
+        """
+        best = materialize(score_ops.top_titles(self.scaled, self.top_titles_n, self.keys),
+                           "top_titles")
+        texts = self.catalog.select("title_id", "description")
+        return best.join(texts, "title_id").select(*self.keys, "title_id",
+                                                   *score_ops.OUTPUT_COLUMNS)
 
     # -- candidates --------------------------------------------------------------
     def catalog_with_candidates(self) -> DataFrame:
-        return cand_ops.catalog_with_candidates(self.prepared, self.prepared_candidates)
+        return cand_ops.catalog_with_candidates(score_ops.prepare(self.catalog, self.stop_words),
+                                                self.prepared_candidates)
 
     def candidate_success(self) -> DataFrame:
         return cand_ops.candidate_success(self.prepared_candidates, self.maps, self.stats,
@@ -120,8 +163,11 @@ class CatalogJob:
 
     # -- reports -------------------------------------------------------------------
     def report_lines(self) -> DataFrame:
-        return report_lines(self.segment_sizes(), self.top_desc_words(), self.top_genres(),
-                            self.top_title_words(), self.keys, self.top_n)
+        return report_lines(self.segment_sizes(),
+                            topk.one_list(self.lists, "description", "word", self.keys),
+                            topk.one_list(self.lists, "genre", "genre", self.keys),
+                            topk.one_list(self.lists, "title", "word", self.keys),
+                            self.keys, self.top_n)
 
     def close(self) -> None:
         if self._cache and "prepared" in self.__dict__:
