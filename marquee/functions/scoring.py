@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from marquee.functions.text import WHITESPACE
+from marquee.functions.text import UNICODE, WHITESPACE
 
 # Release-year bands (inclusive) and their points; any other year scores 0.
 YEAR_BANDS: tuple[tuple[int, int, int], ...] = (
@@ -24,7 +24,7 @@ SUCCESS_DIGITS = 2
 
 # Python's int(text): optional surrounding whitespace, a sign, ASCII digits with single
 # underscores between them.
-_INT_TEXT = "^" + WHITESPACE + "*([+-]?[0-9](?:_?[0-9])*)" + WHITESPACE + "*$"
+_INT_TEXT = UNICODE + "^" + WHITESPACE + "*([+-]?[0-9](?:_?[0-9])*)" + WHITESPACE + "*$"
 
 
 def parse_year(year: Column) -> Column:

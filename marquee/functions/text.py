@@ -17,11 +17,13 @@ from pyspark.sql import functions as F
 from marquee.functions.stopwords import ENGLISH_STOP_WORDS
 
 # Regular expressions (Java syntax) for Python's whitespace and letter classes.
-# Python's str.isspace() is Unicode White_Space plus the separators U+001C..U+001F.
-WHITESPACE = r"(?U:\s|[\x1c-\x1f])"
-WHITESPACE_RUN = WHITESPACE + "+"
+# Python's str.isspace() is Unicode White_Space plus the separators U+001C..U+001F; (?U) makes
+# \s the Unicode White_Space class. One character class is faster than an alternation.
+UNICODE = "(?U)"
+WHITESPACE = r"[\s\x1c-\x1f]"
+WHITESPACE_RUN = UNICODE + WHITESPACE + "+"
 LETTERS_ONLY = r"^\p{L}+$"
-STRIP = "^" + WHITESPACE + "+|" + WHITESPACE + "+$"
+STRIP = UNICODE + "^" + WHITESPACE + "+|" + WHITESPACE + "+$"
 # Characters removed from titles before the title vocabulary is counted (ASCII letters and
 # Java's ASCII \s survive).
 TITLE_NON_LETTERS = r"[^a-zA-Z\s]"

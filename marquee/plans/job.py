@@ -23,6 +23,7 @@ from functools import cached_property
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from marquee.operators import candidates as cand_ops
 from marquee.operators import score as score_ops
@@ -32,6 +33,9 @@ from marquee.operators.weights import rank_weights, weight_maps, weights_from_li
 from marquee.plans.materialize import materialize
 from marquee.sources.catalog import SEGMENT_KEYS, TEXT_COLUMNS
 
+# Most ranked rows (ids and short text columns) sent to every task by a broadcast join.
+BROADCAST_ROWS = 100_000
+
 SCORED_COLUMNS: tuple[str, ...] = (
     ("title_id",) + tuple(c for c in TEXT_COLUMNS if c != "description")
     + score_ops.POINT_COLUMNS + ("total_points",)
@@ -123,7 +127,10 @@ class CatalogJob:
                                               *SCORED_COLUMNS[1:]), "scored")
 
     def segment_stats(self) -> DataFrame:
-        return score_ops.segment_stats(self.scored_table, self.keys)
+        """Min/max points per segment: from the written scores when they exist, else in one
+        pass over the titles (partial aggregation, one tiny shuffle)."""
+        written = self.__dict__.get("scored_table")
+        return score_ops.segment_stats(self.scored if written is None else written, self.keys)
 
     @cached_property
     def stats(self) -> DataFrame:
@@ -138,12 +145,15 @@ class CatalogJob:
     def top_titles(self) -> DataFrame:
         """The best titles per segment with all output columns.
 
-        The ranking runs on the written scores; the descriptions of the at most
-        ``n`` rows per segment are then fetched by ``title_id`` with a join
-        against that small written table.
+        The ranking runs on the written scores; the descriptions of the best
+        rows are then fetched by ``title_id``. Those rows number at most
+        ``n`` per segment, and the segments are counted from the written
+        statistics: the ranked rows are broadcast only when that bound is under
+        ``BROADCAST_ROWS``, and joined with a shuffle otherwise.
         """
-        best = materialize(score_ops.top_titles(self.scaled, self.top_titles_n, self.keys),
-                           "top_titles")
+        best = score_ops.top_titles(self.scaled, self.top_titles_n, self.keys)
+        if self.top_titles_n * self.stats.count() <= BROADCAST_ROWS:
+            best = F.broadcast(best)
         texts = self.catalog.select("title_id", "description")
         return best.join(texts, "title_id").select(*self.keys, "title_id",
                                                    *score_ops.OUTPUT_COLUMNS)

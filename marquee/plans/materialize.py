@@ -45,4 +45,5 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    # The schema is known: reading it back needs no inference job.
+    return spark.read.schema(df.schema).parquet(path)
