@@ -38,10 +38,13 @@ def write_top_titles_csv(top: DataFrame, path: str,
                          keys: Sequence[str] = SEGMENT_KEYS, mode: str = "overwrite") -> None:
     """One CSV file with a header per segment, under ``path/platform=.../type=...``.
 
-    The top-k window already partitions rows by segment, so each segment is
-    written by one task into one file.
+    The rows (at most ``n`` per segment) are gathered by segment into one task
+    and written best first.
     """
+    order = [F.col("total_points").desc(), F.col("title"), F.col("title_id")]
     (top.select("title_id", *OUTPUT_COLUMNS, *keys)
+        .repartition(*[F.col(k) for k in keys])
+        .sortWithinPartitions(*[F.col(k) for k in keys], *order)
         .write.mode(mode).partitionBy(*keys).options(**CSV_WRITE_OPTIONS).csv(path))
 
 
