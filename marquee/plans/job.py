@@ -4,16 +4,19 @@
 candidates. Outputs are lazy DataFrames; the eager steps are a few tables
 written once into the shared folder (:func:`~marquee.plans.materialize.materialize`):
 
-1. ``lists``: the three ranked term lists of every segment, from **one** pass
-   that tokenises the catalogue (at most 25 rows per segment);
-2. ``scored_table``: every title's points with its short columns (no
-   description), from the second and last tokenising pass;
+0. ``prepared``: the catalogue tokenised once (ids, keys, short columns and
+   description tokens, no descriptions). Tokenising is the CPU-heavy step;
+   every later pass reads these arrays instead of splitting text again;
+1. ``lists``: the three ranked term lists of every segment, from one pass over
+   the tokens (at most 25 rows per segment);
+2. ``scored_table``: every title's points with its short columns, from one
+   more pass over the tokens;
 3. ``stats``: min/max points per segment, read from ``scored_table``.
 
-Scaling, the best titles, reports and candidates read these tables, so the
-descriptions are tokenised twice in all (the lists must be known before any
-title can be scored), and the written tables' real sizes decide every
-broadcast.
+Scaling, the best titles, reports and candidates read these tables, and the
+written tables' real sizes decide every broadcast. Outputs that need one pass
+only (a single term list, the cleaned descriptions) read the catalogue
+directly.
 """
 
 from __future__ import annotations
@@ -45,30 +48,40 @@ SCORED_COLUMNS: tuple[str, ...] = (
 class CatalogJob:
     """All outputs of the job over one catalogue (and optionally candidates).
 
-    ``cache=True`` additionally keeps the tokenised catalogue (without
-    descriptions) in memory and on disk between the two tokenising passes;
-    lost blocks are recomputed from the source.
+    ``tokens`` says where the tokenised catalogue lives between passes:
+    ``"write"`` (a table in the shared folder; survives executor loss without
+    recomputation), ``"cache"`` (executor memory and disk; lost blocks are
+    recomputed from the source) or ``"none"`` (tokenise again in every pass).
     """
 
     def __init__(self, catalog: DataFrame, candidates: DataFrame | None = None,
                  keys: Sequence[str] = SEGMENT_KEYS, stop_words: Iterable[str] | None = None,
                  top_n: tuple[int, int, int] = (topk.TOP_DESCRIPTION_WORDS, topk.TOP_GENRES,
                                                 topk.TOP_TITLE_WORDS),
-                 top_titles_n: int = score_ops.TOP_TITLES, cache: bool = False):
+                 top_titles_n: int = score_ops.TOP_TITLES, tokens: str = "write"):
+        if tokens not in ("write", "cache", "none"):
+            raise ValueError(f"tokens must be write, cache or none, not {tokens!r}")
         self.catalog = catalog
         self.keys = tuple(keys)
         self.stop_words = None if stop_words is None else list(stop_words)
         self.top_n = top_n
         self.top_titles_n = top_titles_n
         self._candidates = candidates
-        self._cache = cache
+        self._tokens = tokens
 
     # -- inputs ---------------------------------------------------------------
+    def lazy_prepared(self) -> DataFrame:
+        """Segment filter and description tokens, computed from the catalogue in the plan."""
+        return score_ops.prepare(self.catalog, self.stop_words)
+
     @cached_property
     def prepared(self) -> DataFrame:
-        df = score_ops.prepare(self.catalog, self.stop_words)
-        if self._cache:
-            df = df.drop("description").persist(StorageLevel.MEMORY_AND_DISK)
+        """The tokenised catalogue without descriptions, shared by the multi-pass outputs."""
+        df = self.lazy_prepared().drop("description")
+        if self._tokens == "write":
+            return materialize(df, "tokens")
+        if self._tokens == "cache":
+            return df.persist(StorageLevel.MEMORY_AND_DISK)
         return df
 
     @cached_property
@@ -82,18 +95,19 @@ class CatalogJob:
         return score_ops.segment_sizes(self.catalog, self.keys)
 
     def desc_clean(self) -> DataFrame:
-        return score_ops.desc_clean(score_ops.prepare(self.catalog, self.stop_words))
+        return score_ops.desc_clean(self.lazy_prepared())
 
     def top_desc_words(self, keys: Sequence[str] | None = None) -> DataFrame:
-        """One list alone scans only what it needs (``lists`` has all three)."""
-        return topk.top_description_words(self.prepared, self.top_n[0],
+        """One list alone is one pass over the catalogue (``lists`` has all three)."""
+        return topk.top_description_words(self.lazy_prepared(), self.top_n[0],
                                           self.keys if keys is None else keys)
 
     def top_genres(self) -> DataFrame:
-        return topk.top_genres(self.prepared, self.top_n[1], self.keys)
+        return topk.top_genres(self.lazy_prepared(), self.top_n[1], self.keys)
 
     def top_title_words(self) -> DataFrame:
-        return topk.top_title_words(self.prepared, self.top_n[2], self.keys, self.stop_words)
+        return topk.top_title_words(self.lazy_prepared(), self.top_n[2], self.keys,
+                                    self.stop_words)
 
     @cached_property
     def lists(self) -> DataFrame:
@@ -160,8 +174,7 @@ class CatalogJob:
 
     # -- candidates --------------------------------------------------------------
     def catalog_with_candidates(self) -> DataFrame:
-        return cand_ops.catalog_with_candidates(score_ops.prepare(self.catalog, self.stop_words),
-                                                self.prepared_candidates)
+        return cand_ops.catalog_with_candidates(self.lazy_prepared(), self.prepared_candidates)
 
     def candidate_success(self) -> DataFrame:
         return cand_ops.candidate_success(self.prepared_candidates, self.maps, self.stats,
@@ -180,5 +193,5 @@ class CatalogJob:
                             self.keys, self.top_n)
 
     def close(self) -> None:
-        if self._cache and "prepared" in self.__dict__:
+        if self._tokens == "cache" and "prepared" in self.__dict__:
             self.prepared.unpersist()
