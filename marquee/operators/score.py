@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marquee.functions.scoring import success, weighted_sum, year_points
@@ -67,32 +67,44 @@ def desc_clean(prepared: DataFrame) -> DataFrame:
     return prepared.select("title_id", F.array_join("desc_tokens", " ").alias("description_scraped"))
 
 
-def score_titles(prepared: DataFrame, maps: DataFrame, keys: Sequence[str] = SEGMENT_KEYS,
-                 stop_words: Iterable[str] | None = None) -> DataFrame:
-    """Add the four criteria and their sum.
+def criteria(stop_words: Iterable[str] | None = None) -> dict[str, Column]:
+    """The four criteria as columns over a prepared frame joined to its segment's maps.
 
     1. description: sum of the description-word weights over every cleaned word;
     2. genres: sum of genre weights over the stripped, comma-split genres (case-sensitive);
-    3. release year: the year band's points;
+    3. release year: the year band's points (no list needed);
     4. title: sum of the title-word weights over the title's scoring tokens.
     """
     stops = None if stop_words is None else list(stop_words)
+    return {
+        "points_criterion_1": weighted_sum(F.col("desc_tokens"), F.col("desc_weights")),
+        "points_criterion_2": weighted_sum(genre_score_terms(F.col("listed_in")),
+                                           F.col("genre_weights")),
+        "points_criterion_3": year_points(F.col("release_year")),
+        "points_criterion_4": weighted_sum(title_score_tokens("title", stops),
+                                           F.col("title_weights")),
+    }
+
+
+def score_titles(prepared: DataFrame, maps: DataFrame, keys: Sequence[str] = SEGMENT_KEYS,
+                 stop_words: Iterable[str] | None = None) -> DataFrame:
+    """Add the four criteria (see :func:`criteria`) and their sum ``total_points``."""
     joined = join_on_keys(prepared, maps, keys, "left")
-    c1 = weighted_sum(F.col("desc_tokens"), F.col("desc_weights"))
-    c2 = weighted_sum(genre_score_terms(F.col("listed_in")), F.col("genre_weights"))
-    c3 = year_points(F.col("release_year"))
-    c4 = weighted_sum(title_score_tokens("title", stops), F.col("title_weights"))
-    scored = joined.withColumns({
-        "points_criterion_1": c1,
-        "points_criterion_2": c2,
-        "points_criterion_3": c3,
-        "points_criterion_4": c4,
-    })
+    scored = joined.withColumns(criteria(stop_words))
     total = sum((F.col(c) for c in POINT_COLUMNS[1:]), F.col(POINT_COLUMNS[0]))
     return scored.withColumn("total_points", total.cast("int")).drop(
         "desc_weights", "genre_weights", "title_weights")
 
 
+def score_one(prepared: DataFrame, name: str, maps: DataFrame | None = None,
+              keys: Sequence[str] = SEGMENT_KEYS,
+              stop_words: Iterable[str] | None = None) -> DataFrame:
+    """``(title_id, <name>)``: one criterion alone, joined only to the maps it reads."""
+    rule = criteria(stop_words)[name]
+    df = prepared if maps is None else join_on_keys(prepared, maps, keys, "left")
+    return df.select("title_id", rule.alias(name))
+
+
 def segment_stats(scored: DataFrame, keys: Sequence[str] = SEGMENT_KEYS) -> DataFrame:
     """``(keys..., min_points, max_points)`` of ``total_points`` per segment."""
     return scored.groupBy(*keys).agg(F.min("total_points").alias("min_points"),

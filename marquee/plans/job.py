@@ -32,7 +32,8 @@ from marquee.operators import candidates as cand_ops
 from marquee.operators import score as score_ops
 from marquee.operators import topk
 from marquee.operators.reports import report_lines
-from marquee.operators.weights import rank_weights, weight_maps, weights_from_lists
+from marquee.operators.weights import (DESCRIPTION, GENRE, TITLE, list_weights, rank_weights,
+                                       weight_maps, weights_from_lists)
 from marquee.plans.materialize import materialize
 from marquee.sources.catalog import SEGMENT_KEYS, TEXT_COLUMNS
 
@@ -129,6 +130,28 @@ class CatalogJob:
         return weight_maps(self.rank_weights(), self.keys)
 
     # -- scores ----------------------------------------------------------------
+    def criterion(self, name: str) -> DataFrame:
+        """``(title_id, <name>)`` for one criterion, computing only the list it needs.
+
+        The year needs no list; genres and title words need their own list
+        only (no description is tokenised for them); description words use the
+        shared tokens table for both the list and the scores.
+        """
+        if name == "points_criterion_3":
+            return score_ops.score_one(self.lazy_prepared(), name, None, self.keys)
+        if name == "points_criterion_1":
+            ranked, spec, base = (topk.top_description_words(self.prepared, self.top_n[0],
+                                                             self.keys), DESCRIPTION, self.prepared)
+        elif name == "points_criterion_2":
+            ranked, spec, base = self.top_genres(), GENRE, self.lazy_prepared()
+        elif name == "points_criterion_4":
+            ranked, spec, base = self.top_title_words(), TITLE, self.lazy_prepared()
+        else:
+            raise ValueError(f"unknown criterion {name!r}")
+        maps = weight_maps(materialize(list_weights(ranked, spec, self.keys), "list_weights"),
+                           self.keys)
+        return score_ops.score_one(base, name, maps, self.keys, self.stop_words)
+
     @cached_property
     def scored(self) -> DataFrame:
         """Every title with its four criteria and total (lazy, one tokenising pass)."""

@@ -62,7 +62,7 @@ def q_rank_weights(spark, sf_dir):
 
 def _points(name: str) -> Query:
     def q(spark, sf_dir):
-        return job(spark, sf_dir).scored.select("title_id", name)
+        return job(spark, sf_dir).criterion(name)
     q.__name__ = f"q_{name}"
     return q
 

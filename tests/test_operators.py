@@ -157,3 +157,22 @@ def test_global_top_words_is_a_top_k_sort(spark, small_job):
     glob = topk.top_description_words(small_job.prepared, 10, keys=())
     plan = glob._jdf.queryExecution().executedPlan().toString()
     assert "TakeOrderedAndProject" in plan and glob.count() == 10
+
+
+def test_shuffle_join_fallbacks_give_the_same_result(spark, small_job, monkeypatch):
+    """Beyond the broadcast bounds the per-segment tables are joined with a shuffle."""
+    import marquee.plans.job as job_module
+    expected_top = sorted(tuple(r) for r in small_job.top_titles().collect())
+    expected_cands = sorted(tuple(r) for r in small_job.candidate_success().collect())
+    monkeypatch.setattr(job_module, "BROADCAST_ROWS", 0)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        job = CatalogJob(catalog_from_tables(spark, SMALL), candidates_from_tables(spark, SMALL))
+        top = job.top_titles()
+        cands = job.candidate_success()
+        assert sorted(tuple(r) for r in top.collect()) == expected_top
+        assert sorted(tuple(r) for r in cands.collect()) == expected_cands
+        plan = cands._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" not in plan
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
