@@ -32,12 +32,6 @@ CSV_READ_OPTIONS: dict[str, str] = {
 }
 
 
-def catalog_csv_schema(extra: Sequence[str] = ()) -> T.StructType:
-    """All-string schema of a catalogue file: ``type`` and the text columns (plus ``extra``)."""
-    names = ("type",) + TEXT_COLUMNS + tuple(extra)
-    return T.StructType([T.StructField(n, T.StringType(), True) for n in names])
-
-
 def _year_as_text(df: DataFrame) -> Column:
     dtype = df.schema["release_year"].dataType
     col = F.col("release_year")
@@ -75,26 +69,31 @@ def conform(df: DataFrame, platform: str | Column | None = None,
 
 
 def read_catalog_csv(spark: SparkSession, paths: Mapping[str, str | Sequence[str]],
-                     extra_columns: Sequence[str] = ()) -> DataFrame:
+                     id_column: str | None = "show_id") -> DataFrame:
     """Read one or more CSV files per platform into one conformed catalogue.
 
-    ``paths`` maps a platform name to its file(s). The schema is declared (all
-    strings, no inference pass) and the options parse doubled quotes and quoted
-    newlines. ``multiLine`` reads each file as one task, so a large platform
-    should be many files, or be converted to Parquet once.
+    ``paths`` maps a platform name to its file(s). Columns are matched by
+    their header names, whatever their order and whatever other columns a
+    platform's files carry; every value is read as text (no inference pass).
+    The options parse doubled quotes and quoted newlines. ``id_column`` names
+    the platform's title key when the files have it (ids are then
+    ``xxhash64(platform, key)``); otherwise ids are generated per row.
+    ``multiLine`` reads each file as one task, so a large platform should be
+    many files, or be converted to Parquet once.
     """
-    schema = catalog_csv_schema(extra_columns)
     frames = []
     for platform, files in paths.items():
         files = [files] if isinstance(files, str) else list(files)
-        raw = spark.read.schema(schema).options(**CSV_READ_OPTIONS).csv(files)
-        frames.append(raw.withColumn("platform", F.lit(platform)))
+        raw = spark.read.options(**CSV_READ_OPTIONS).csv(files)
+        if id_column is not None and id_column in raw.columns:
+            raw = raw.withColumn("title_id", F.xxhash64(F.lit(platform), F.col(id_column)))
+        frames.append(conform(raw, platform=platform))
     if not frames:
         raise ValueError("no catalogue paths given")
     union = frames[0]
     for frame in frames[1:]:
         union = union.unionByName(frame)
-    return conform(union)
+    return union
 
 
 def segment_filter(catalog: DataFrame, types: Sequence[str] = SEGMENT_TYPES) -> DataFrame:

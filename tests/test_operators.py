@@ -176,3 +176,20 @@ def test_shuffle_join_fallbacks_give_the_same_result(spark, small_job, monkeypat
         assert "BroadcastHashJoin" not in plan
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+@pytest.mark.parametrize("mode", ["cache", "none"])
+def test_token_modes_give_the_same_result(spark, small_job, mode):
+    job = CatalogJob(catalog_from_tables(spark, SMALL), candidates_from_tables(spark, SMALL),
+                     tokens=mode)
+    try:
+        scaled = job.scaled
+        if mode == "cache":
+            lists_plan = job.lists  # written table: read the plan of the scores instead
+            plan = job.scored._jdf.queryExecution().executedPlan().toString()
+            assert "InMemoryTableScan" in plan and lists_plan is not None
+        a = sorted(tuple(r) for r in scaled.collect())
+        b = sorted(tuple(r) for r in small_job.scaled.collect())
+        assert a == b
+    finally:
+        job.close()

@@ -40,17 +40,29 @@ def test_top_titles_csv_round_trip(spark):
 
 def test_catalog_csv_source_parses_quotes_and_newlines(spark):
     d = tempfile.mkdtemp(prefix="marquee-csv-")
-    rows = [("Movie", t, "Drama, Comedy", "2020", "PG", desc) for t, desc in zip(TRICKY, TRICKY)]
-    df = spark.createDataFrame(rows, "type string, title string, listed_in string, "
-                                     "release_year string, rating string, description string")
-    for platform in ("a", "b"):
-        (df.coalesce(1).write.mode("overwrite").option("header", True).option("escape", '"')
+    rows = [(f"s{i}", "Movie", t, "someone", "Drama, Comedy", "2020", "PG", desc)
+            for i, (t, desc) in enumerate(zip(TRICKY, TRICKY))]
+    df = spark.createDataFrame(rows, "show_id string, type string, title string, director string, "
+                                     "listed_in string, release_year string, rating string, "
+                                     "description string")
+
+    def write(frame, path):
+        (frame.coalesce(1).write.mode("overwrite").option("header", True).option("escape", '"')
          .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
-         .csv(f"{d}/{platform}"))
+         .csv(path))
+
+    write(df, f"{d}/a")
+    # another platform: other column order, an extra column, no id column
+    write(df.select("description", "rating", "release_year", "listed_in", "title", "type",
+                    F.lit("x").alias("country")), f"{d}/b")
     cat = read_catalog_csv(spark, {"a": f"{d}/a", "b": f"{d}/b"})
     got = cat.collect()
     assert len(got) == 2 * len(TRICKY)
-    assert sorted(r.description for r in got if r.platform == "a") == sorted(TRICKY)
+    for platform in ("a", "b"):
+        mine = [r for r in got if r.platform == platform]
+        assert sorted(r.description for r in mine) == sorted(TRICKY)
+        assert all(r.title == r.description and r.type == "Movie" and r.rating == "PG"
+                   and r.listed_in == "Drama, Comedy" for r in mine)
     assert len({r.title_id for r in got}) == len(got)
 
 
