@@ -116,8 +116,14 @@ class CatalogJob:
         return materialize(
             topk.segment_lists(self.prepared, self.top_n, self.keys, self.stop_words), "lists")
 
+    def lazy_lists(self) -> DataFrame:
+        """The three lists in one pass over the catalogue, for outputs that need nothing else."""
+        return topk.segment_lists(self.lazy_prepared(), self.top_n, self.keys, self.stop_words)
+
     def rank_weights(self) -> DataFrame:
-        return weights_from_lists(self.lists, self.keys)
+        """``(keys..., list, term, weight)``: from the written lists once they exist."""
+        lists = self.__dict__.get("lists")
+        return weights_from_lists(self.lazy_lists() if lists is None else lists, self.keys)
 
     def rank_weights_separately(self) -> DataFrame:
         """The same weights from three separate list plans (a cross-check of the fused pass)."""
@@ -127,7 +133,7 @@ class CatalogJob:
     @cached_property
     def maps(self) -> DataFrame:
         """Weight maps, one small row per segment (read from the written lists)."""
-        return weight_maps(self.rank_weights(), self.keys)
+        return weight_maps(weights_from_lists(self.lists, self.keys), self.keys)
 
     # -- scores ----------------------------------------------------------------
     def criterion(self, name: str) -> DataFrame:
@@ -209,10 +215,13 @@ class CatalogJob:
 
     # -- reports -------------------------------------------------------------------
     def report_lines(self) -> DataFrame:
+        """Report lines from the written lists once they exist, else from one lazy pass."""
+        lists = self.__dict__.get("lists")
+        lists = self.lazy_lists() if lists is None else lists
         return report_lines(self.segment_sizes(),
-                            topk.one_list(self.lists, "description", "word", self.keys),
-                            topk.one_list(self.lists, "genre", "genre", self.keys),
-                            topk.one_list(self.lists, "title", "word", self.keys),
+                            topk.one_list(lists, "description", "word", self.keys),
+                            topk.one_list(lists, "genre", "genre", self.keys),
+                            topk.one_list(lists, "title", "word", self.keys),
                             self.keys, self.top_n)
 
     def close(self) -> None:

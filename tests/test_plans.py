@@ -28,7 +28,8 @@ def test_per_segment_tables_are_broadcast(spark, name):
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
 
 
-@pytest.mark.parametrize("name", ["top_desc_words", "top_genres", "top_title_words"])
+@pytest.mark.parametrize("name", ["top_desc_words", "top_genres", "top_title_words", "rank_weights",
+                                  "report_lines"])
 def test_grouped_top_k_limits_before_the_shuffle(spark, name):
     df = entry.queries()[name](spark, SMOKE)
     plan = df._jdf.queryExecution().executedPlan().toString()
