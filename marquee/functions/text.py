@@ -21,9 +21,8 @@ from marquee.functions.stopwords import ENGLISH_STOP_WORDS
 # \s the Unicode White_Space class. One character class is faster than an alternation.
 UNICODE = "(?U)"
 WHITESPACE = r"[\s\x1c-\x1f]"
-WHITESPACE_RUN = UNICODE + WHITESPACE + "+"
-LETTERS_ONLY = r"^\p{L}+$"
 STRIP = UNICODE + "^" + WHITESPACE + "+|" + WHITESPACE + "+$"
+NOT_WHITESPACE = r"[^\s\x1c-\x1f]"
 # Characters removed from titles before the title vocabulary is counted (ASCII letters and
 # Java's ASCII \s survive).
 TITLE_NON_LETTERS = r"[^a-zA-Z\s]"
@@ -59,9 +58,16 @@ def _not_stop(word: Column, stops: list[str]) -> Column:
     return ~word.isin(stops) if stops else F.lit(True)
 
 
-def split_whitespace(text: Column) -> Column:
-    """``str.split()``: split on runs of Unicode whitespace (empty strings may remain at the ends)."""
-    return F.split(text, WHITESPACE_RUN)
+def letter_words(text: Column, min_length: int = 1) -> Column:
+    """The whitespace-separated words of ``text`` that are letters only and at least
+    ``min_length`` long, in order: ``[w for w in text.split() if w.isalpha() and len(w) >= n]``.
+
+    One regular-expression scan finds them (a run of letters with whitespace or an end on
+    both sides), instead of splitting and testing every word with a second expression.
+    """
+    pattern = (UNICODE + "(?<!" + NOT_WHITESPACE + ")\\p{L}{" + str(min_length) + ",}(?!"
+               + NOT_WHITESPACE + ")")
+    return F.regexp_extract_all(text, F.lit(pattern), 0)
 
 
 @by_name
@@ -73,11 +79,8 @@ def description_tokens(text: Column, stop_words: Iterable[str] | None = None) ->
     are dropped, not stripped.
     """
     stops = _stops(stop_words)
-    words = split_whitespace(F.lower(text))
-    kept = F.filter(
-        words,
-        lambda w: (F.length(w) > MIN_WORD_LENGTH) & _not_stop(w, stops) & w.rlike(LETTERS_ONLY),
-    )
+    words = letter_words(F.lower(text), MIN_WORD_LENGTH + 1)
+    kept = F.filter(words, lambda w: _not_stop(w, stops))
     return F.coalesce(kept, F.array().cast("array<string>"))
 
 
@@ -108,8 +111,7 @@ def title_score_tokens(title: Column, stop_words: Iterable[str] | None = None) -
     "café" is kept.
     """
     stops = _stops(stop_words)
-    words = split_whitespace(F.lower(title))
-    kept = F.filter(words, lambda w: _not_stop(w, stops) & w.rlike(LETTERS_ONLY))
+    kept = F.filter(letter_words(F.lower(title)), lambda w: _not_stop(w, stops))
     return F.coalesce(kept, F.array().cast("array<string>"))
 
 
