@@ -114,7 +114,8 @@ class CatalogJob:
     def lists(self) -> DataFrame:
         """``(keys..., list, rank, term, count)`` of all three lists, written once."""
         return materialize(
-            topk.segment_lists(self.prepared, self.top_n, self.keys, self.stop_words), "lists")
+            topk.segment_lists(self.prepared, self.top_n, self.keys, self.stop_words,
+                               one_scan=self._tokens == "none"), "lists")
 
     def lazy_lists(self) -> DataFrame:
         """The three lists in one pass over the catalogue, for outputs that need nothing else."""
