@@ -10,13 +10,14 @@ written once into the shared folder (:func:`~marquee.plans.materialize.materiali
 1. ``lists``: the three ranked term lists of every segment, from one pass over
    the tokens (at most 25 rows per segment);
 2. ``scored_table``: every title's points with its short columns, from one
-   more pass over the tokens;
-3. ``stats``: min/max points per segment, read from ``scored_table``.
-
-Scaling, the best titles, reports and candidates read these tables, and the
-written tables' real sizes decide every broadcast. Outputs that need one pass
-only (a single term list, the cleaned descriptions) read the catalogue
-directly.
+   more pass over the tokens (for outputs that read the scores twice);
+3. ``stats``: min/max points per segment, from ``scored_table`` when it exists
+   and otherwise straight from the scores.
+
+Scaling, the best titles and candidates read these tables, and the written
+tables' real sizes decide every broadcast. Outputs that need one pass only (a
+single term list or criterion, the reports, the cleaned descriptions) are
+planned straight from the catalogue.
 """
 
 from __future__ import annotations
@@ -161,7 +162,7 @@ class CatalogJob:
 
     @cached_property
     def scored(self) -> DataFrame:
-        """Every title with its four criteria and total (lazy, one tokenising pass)."""
+        """Every title with its four criteria and total (lazy; reads the tokens, not the text)."""
         return score_ops.score_titles(self.prepared, self.maps, self.keys, self.stop_words)
 
     @cached_property

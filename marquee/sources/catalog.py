@@ -133,7 +133,7 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     """
     spark = df.sparkSession
     cores = spark.sparkContext.defaultParallelism
-    if df._jdf.rdd().getNumPartitions() >= cores:  # plans the scan only; no job
+    if df.rdd.getNumPartitions() >= cores:  # plans the scan only; runs no job
         return df
     n = max(cores, int(spark.conf.get("spark.sql.shuffle.partitions")))
     return df.repartition(n, F.col(key))
