@@ -193,3 +193,16 @@ def test_token_modes_give_the_same_result(spark, small_job, mode):
         assert a == b
     finally:
         job.close()
+
+
+def test_genre_score_is_case_sensitive(spark):
+    rows = [row(1, genres="TV Dramas"), row(2, genres="TV Dramas, Comedy")]
+    job = CatalogJob(catalog(spark, rows), candidates_from_rows(spark, [
+        {"cand_id": 1, "platform": "p", "type": "Movie", "title": "c", "listed_in": "TV dramas"},
+        {"cand_id": 2, "platform": "p", "type": "Movie", "title": "d", "listed_in": " TV Dramas\t"},
+    ]))
+    scored = job.scored.select("title_id", "points_criterion_2").collect()
+    assert {r.title_id: r.points_criterion_2 for r in scored} == {1: 25, 2: 45}
+    from marquee.operators.score import score_titles
+    cands = score_titles(job.prepared_candidates, job.maps).collect()
+    assert {r.cand_id: r.points_criterion_2 for r in cands} == {1: 0, 2: 25}
