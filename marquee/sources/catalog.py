@@ -128,15 +128,14 @@ def spread(df: DataFrame, key: str) -> DataFrame:
 
     A large source already scans as many tasks and is returned unchanged (no
     shuffle). A small file holding a single row group would otherwise
-    tokenise all its text in one task. The partition count equals the shuffle
-    partitions, so a later join or aggregation on ``key`` reuses it.
+    tokenise all its text in one task. The partitioning is by column only, so
+    a later join or aggregation on ``key`` reuses it, and AQE sizes the
+    partitions to the data whatever ``spark.sql.shuffle.partitions`` says.
     """
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
+    cores = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= cores:  # plans the scan only; runs no job
         return df
-    n = max(cores, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    return df.repartition(n, F.col(key))
+    return df.repartition(F.col(key))
 
 
 def title_from_text(text: Column) -> Column:
