@@ -83,37 +83,23 @@ def top_title_words(catalog: DataFrame, n: int = TOP_TITLE_WORDS,
 def segment_lists(prepared: DataFrame,
                   sizes: tuple[int, int, int] = (TOP_DESCRIPTION_WORDS, TOP_GENRES, TOP_TITLE_WORDS),
                   keys: Sequence[str] = SEGMENT_KEYS,
-                  stop_words: Iterable[str] | None = None,
-                  one_scan: bool = True) -> DataFrame:
-    """All three ranked lists in one aggregation: ``(keys..., list, rank, term, count)``.
-
-    ``list`` is ``description``, ``genre`` or ``title``. With ``one_scan`` the
-    three token arrays of each title are tagged with their list and exploded
-    together, so a catalogue is scanned (and its text tokenised) once. Over a
-    written tokens table, where reading one column again is cheap, set
-    ``one_scan=False``: each list then explodes its own column (no per-token
-    tagging) and the three are counted in the same aggregation.
+                  stop_words: Iterable[str] | None = None) -> DataFrame:
+    """All three ranked lists in one scan and one aggregation: ``(keys..., list, rank, term, count)``.
+
+    ``list`` is ``description``, ``genre`` or ``title``. Each title first
+    becomes three ``(list, terms)`` rows (``inline``), then each row's array
+    is exploded: the catalogue is read, and its text tokenised, once for the
+    three lists, with no per-token tagging.
     """
-    desc = F.col("desc_tokens")
-    genres = genre_terms(F.col("listed_in"))
-    titles = title_vocabulary_tokens("title", stop_words)
-    if one_scan:
-        def tagged(arr: Column, name: str) -> Column:
-            return F.transform(arr, lambda t: F.struct(F.lit(name).alias("list"), t.alias("term")))
-
-        terms = F.concat(tagged(desc, "description"), tagged(genres, "genre"),
-                         tagged(titles, "title"))
-        exploded = (prepared.select(*keys, F.explode_outer(terms).alias("e"))
-                    .filter(F.col("e").isNotNull())
-                    .select(*keys, "e.list", "e.term"))
-    else:
-        def branch(arr: Column, name: str) -> DataFrame:
-            return (prepared.select(*keys, F.lit(name).alias("list"),
-                                    F.explode_outer(arr).alias("term"))
-                    .filter(F.col("term").isNotNull()))
-
-        exploded = (branch(desc, "description").unionByName(branch(genres, "genre"))
-                    .unionByName(branch(titles, "title")))
+    parts = F.array(
+        F.struct(F.lit("description").alias("list"), F.col("desc_tokens").alias("terms")),
+        F.struct(F.lit("genre").alias("list"), genre_terms(F.col("listed_in")).alias("terms")),
+        F.struct(F.lit("title").alias("list"),
+                 title_vocabulary_tokens("title", stop_words).alias("terms")),
+    )
+    exploded = (prepared.select(*keys, F.inline(parts))
+                .select(*keys, "list", F.explode_outer("terms").alias("term"))
+                .filter(F.col("term").isNotNull()))
     counts = exploded.groupBy(*keys, "list", "term").agg(F.count(F.lit(1)).alias("count"))
     n_desc, n_genre, n_title = sizes
     limit = (F.when(F.col("list") == "description", n_desc)
