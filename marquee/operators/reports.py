@@ -43,15 +43,16 @@ def _heading(fmt: str, n: int, platform: Column, kind: Column) -> Column:
     return F.concat(F.lit(head), platform, F.lit(middle), kind, F.lit(tail.replace("{n}", str(n))))
 
 
-def report_lines(segments: DataFrame, desc_top: DataFrame, genre_top: DataFrame,
-                 title_top: DataFrame, keys: Sequence[str] = ("platform", "type"),
+def report_lines(segments: DataFrame, lists: DataFrame, keys: Sequence[str] = ("platform", "type"),
                  sizes: tuple[int, int, int] = (TOP_DESCRIPTION_WORDS, TOP_GENRES, TOP_TITLE_WORDS),
                  platform_labels: Mapping[str, str] | None = None,
                  type_labels: Mapping[str, str] | None = None) -> DataFrame:
     """``(keys..., report, line_no, line)`` for the three reports of every segment.
 
-    ``segments`` has one row per segment (e.g. ``segment_sizes``); the three
-    ranked lists give the term lines (line ``rank + 2``).
+    ``segments`` has one row per segment (e.g. ``segment_sizes``); ``lists``
+    is the fused ``(keys..., list, rank, term, count)`` of ``segment_lists``,
+    read once: each term line (line ``rank + 2``) picks its report and unit by
+    its ``list``.
     """
     if tuple(keys) != SEGMENT_KEYS:
         raise ValueError("reports are titled by platform and type")
@@ -72,12 +73,11 @@ def report_lines(segments: DataFrame, desc_top: DataFrame, genre_top: DataFrame,
     header_lines = (segments.select(*keys, F.explode(F.array(*entries)).alias("e"))
                     .select(*keys, "e.report", "e.line_no", "e.line"))
 
-    def ranked(df: DataFrame, term: str, report: str, fmt: str) -> DataFrame:
-        return df.select(*keys, F.lit(report).alias("report"),
-                         (F.col("rank") + 2).cast("int").alias("line_no"),
-                         F.format_string(fmt, F.col("rank"), F.col(term), F.col("count")).alias("line"))
-
-    return (header_lines
-            .unionByName(ranked(desc_top, "word", REPORT_DESCRIPTION, LINE_WORDS))
-            .unionByName(ranked(genre_top, "genre", REPORT_GENRES, LINE_GENRES))
-            .unionByName(ranked(title_top, "word", REPORT_TITLE, LINE_WORDS)))
+    is_genre = F.col("list") == "genre"
+    report = (F.when(F.col("list") == "description", F.lit(REPORT_DESCRIPTION))
+              .when(is_genre, F.lit(REPORT_GENRES)).otherwise(F.lit(REPORT_TITLE)))
+    line = F.when(is_genre, F.format_string(LINE_GENRES, F.col("rank"), F.col("term"), F.col("count"))) \
+        .otherwise(F.format_string(LINE_WORDS, F.col("rank"), F.col("term"), F.col("count")))
+    term_lines = lists.select(*keys, report.alias("report"),
+                              (F.col("rank") + 2).cast("int").alias("line_no"), line.alias("line"))
+    return header_lines.unionByName(term_lines)

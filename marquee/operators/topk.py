@@ -110,10 +110,3 @@ def segment_lists(prepared: DataFrame,
             .filter(F.col("rank") <= max(sizes))
             .filter(F.col("rank") <= limit)
             .select(*keys, "list", "rank", "term", "count"))
-
-
-def one_list(lists: DataFrame, name: str, term_name: str,
-             keys: Sequence[str] = SEGMENT_KEYS) -> DataFrame:
-    """One list of :func:`segment_lists` as ``(keys..., rank, <term_name>, count)``."""
-    return (lists.filter(F.col("list") == name)
-            .select(*keys, "rank", F.col("term").alias(term_name), "count"))

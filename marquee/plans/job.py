@@ -219,11 +219,7 @@ class CatalogJob:
         """Report lines from the written lists once they exist, else from one lazy pass."""
         lists = self.__dict__.get("lists")
         lists = self.lazy_lists() if lists is None else lists
-        return report_lines(self.segment_sizes(),
-                            topk.one_list(lists, "description", "word", self.keys),
-                            topk.one_list(lists, "genre", "genre", self.keys),
-                            topk.one_list(lists, "title", "word", self.keys),
-                            self.keys, self.top_n)
+        return report_lines(self.segment_sizes(), lists, self.keys, self.top_n)
 
     def close(self) -> None:
         if self._tokens == "cache" and "prepared" in self.__dict__:
