@@ -50,3 +50,13 @@ def test_entry_smoke(spark):
     df = entry.entry(spark)
     rows = df.collect()
     assert len(rows) > 0 and df.columns[:3] == ["platform", "type", "title_id"]
+
+
+@pytest.mark.parametrize("name", sorted(entry.queries()))
+def test_text_is_tokenised_once_per_source(spark, name):
+    """A plan that re-derives a shared subplan (e.g. one filter per list) would scan and
+    tokenise the same text again; every text source is tokenised at most once."""
+    plan = executed_plan(entry.queries()[name](spark, SMOKE))
+    sources = 2 if name == "catalog_with_candidates" else 1
+    # description words are letter runs of at least 3 (titles use the same rule with 1)
+    assert plan.count(r"\p{L}{3,}") <= sources, name
