@@ -32,7 +32,14 @@ CSV_READ_OPTIONS: dict[str, str] = {
 }
 
 
+def _text(df: DataFrame, name: str) -> Column:
+    """A column as text, or null text when the frame has no such column."""
+    return (F.col(name) if name in df.columns else F.lit(None)).cast("string")
+
+
 def _year_as_text(df: DataFrame) -> Column:
+    if "release_year" not in df.columns:
+        return F.lit(None).cast("string")
     dtype = df.schema["release_year"].dataType
     col = F.col("release_year")
     # int(2020.0) is 2020 in Python: truncate fractional numbers before turning them into text.
@@ -46,7 +53,8 @@ def conform(df: DataFrame, platform: str | Column | None = None,
     """Project any catalogue frame onto the catalogue columns.
 
     ``platform`` sets a literal platform when the frame has none. ``id_column``
-    names a unique key; without one, an id is generated per row.
+    names a unique key; without one, an id is generated per row. ``type`` is
+    required; other missing columns are null.
     """
     if platform is not None:
         df = df.withColumn("platform", platform if isinstance(platform, Column) else F.lit(platform))
@@ -60,11 +68,11 @@ def conform(df: DataFrame, platform: str | Column | None = None,
         title_id.alias("title_id"),
         F.col("platform").cast("string").alias("platform"),
         F.col("type").cast("string").alias("type"),
-        F.col("title").cast("string").alias("title"),
-        F.col("listed_in").cast("string").alias("listed_in"),
+        _text(df, "title").alias("title"),
+        _text(df, "listed_in").alias("listed_in"),
         _year_as_text(df).alias("release_year"),
-        F.col("rating").cast("string").alias("rating"),
-        F.col("description").cast("string").alias("description"),
+        _text(df, "rating").alias("rating"),
+        _text(df, "description").alias("description"),
     )
 
 

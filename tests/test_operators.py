@@ -206,3 +206,14 @@ def test_genre_score_is_case_sensitive(spark):
     from marquee.operators.score import score_titles
     cands = score_titles(job.prepared_candidates, job.maps).collect()
     assert {r.cand_id: r.points_criterion_2 for r in cands} == {1: 0, 2: 25}
+
+
+def test_conform_fills_missing_columns_with_null(spark):
+    df = spark.createDataFrame([(1, "p", "Movie", "Some Title", 2012.0)],
+                               "title_id long, platform string, type string, title string, "
+                               "release_year double")
+    cat = conform(df)
+    r = cat.first()
+    assert r.release_year == "2012" and r.listed_in is None and r.description is None
+    points = CatalogJob(cat).scored.select("points_criterion_1", "points_criterion_3").first()
+    assert tuple(points) == (0, 15)
