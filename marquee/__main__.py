@@ -1,6 +1,6 @@
 """Run the whole job from the command line (``spark-submit`` or ``python -m marquee``).
 
-    python -m marquee --catalog netflix=/data/netflix/*.csv --catalog amazon=/data/amazon \\
+    python -m marquee --catalog platform_a=/data/platform_a/*.csv --catalog platform_b=/data/platform_b \\
                       --candidates /data/candidates.csv --out /data/out
 """
 
