@@ -20,7 +20,12 @@ from marquee.sources.candidates import CANDIDATE_SCHEMA
 
 def read_candidate_stream(spark: SparkSession, path: str, fmt: str = "parquet",
                           max_files_per_trigger: int | None = None) -> DataFrame:
-    """A streaming frame of candidate files (declared schema, no inference)."""
+    """A streaming frame of candidate files (declared schema, no inference).
+
+    File streams need their schema up front, and Spark applies it to CSV
+    columns by position: CSV files must hold ``CANDIDATE_COLUMNS`` in that
+    order, with a header line.
+    """
     reader = spark.readStream.schema(CANDIDATE_SCHEMA).format(fmt)
     if fmt == "csv":
         reader = reader.options(header="true", multiLine="true", escape='"')

@@ -22,3 +22,17 @@ def test_stream_equals_batch(spark):
     streamed = sorted(tuple(r) for r in spark.read.parquet(sink).collect())
     batch = sorted(tuple(r) for r in job.candidate_success().collect())
     assert streamed == batch and len(batch) == cands.count()
+
+
+def test_csv_candidate_stream(spark):
+    from marquee.sources.sinks import CSV_WRITE_OPTIONS
+    cands = candidates_from_tables(spark, SMOKE)
+    job = CatalogJob(catalog_from_tables(spark, SMOKE), cands)
+    source = scratch_path(spark, "cand_csv_source")
+    cands.write.options(**CSV_WRITE_OPTIONS).csv(source)
+    sink = scratch_path(spark, "cand_csv_sink")
+    query = start_candidate_scoring(job, source, sink, fmt="csv", available_now=True)
+    query.awaitTermination(300)
+    streamed = sorted(tuple(r) for r in spark.read.parquet(sink).collect())
+    batch = sorted(tuple(r) for r in job.candidate_success().collect())
+    assert streamed == batch
