@@ -80,3 +80,16 @@ def test_reports_written_in_order(spark):
     assert content[0] == "en Filmes - Top 10 Palavras das Descrições" and content[1] == RULE
     assert content[2].startswith("1. ") and content[2].endswith(" ocorrências")
     assert [int(x.split(".")[0]) for x in content[2:]] == list(range(1, len(content) - 1))
+
+
+def test_csv_sink_null_and_empty_text(spark):
+    """Spark's CSV defaults: null and '' both read back as null; other text is unchanged."""
+    top = CatalogJob(catalog_from_tables(spark, SMOKE)).top_titles()
+    first = top.orderBy("title_id").limit(3).withColumn(
+        "description", F.when(F.col("title_id") == F.lit(top.agg(F.min("title_id")).first()[0]),
+                              F.lit(None).cast("string")).otherwise(F.lit("")))
+    path = scratch_path(spark, "csv_null_test")
+    write_top_titles_csv(first, path)
+    back = read_top_titles_csv(spark, path)
+    assert [r.description for r in back.collect()] == [None, None, None]
+    assert sorted(r.title for r in back.collect()) == sorted(r.title for r in first.collect())
