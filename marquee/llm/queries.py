@@ -7,12 +7,15 @@ from pyspark.sql import functions as F
 from marquee.llm.bpe import encode_documents
 from marquee.llm.exact_dedup import exact_dedup
 from marquee.llm.line_dedup import line_dedup
+from marquee.llm.minhash import near_dedup
 from marquee.llm.packing import best_fit_pack
 from marquee.llm.secret_scan import secret_scan
+from marquee.llm.shipping import ship
 from marquee.llm.token_counts import token_counts
 
 
 def table(spark, sf_dir: str, name: str):
+    ship(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
@@ -22,6 +25,11 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_minhash_near_dedup(spark, sf_dir):
+    return near_dedup(table(spark, sf_dir, "documents"), words=4).select(
+        "doc_id", "n_shingles", "component_id", "kept")
+
+
 def op3_best_fit_packing(spark, sf_dir):
     return best_fit_pack(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
 
@@ -48,6 +56,7 @@ def op9_byte_bpe(spark, sf_dir):
 
 
 QUERIES = {
+    "op1_minhash_near_dedup": op1_minhash_near_dedup,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_token_counts": op4_token_counts,
     "op6_exact_dedup": op6_exact_dedup,
