@@ -11,6 +11,7 @@ from marquee.llm.minhash import near_dedup
 from marquee.llm.packing import best_fit_pack
 from marquee.llm.secret_scan import secret_scan
 from marquee.llm.shipping import ship
+from marquee.llm.suffix_dedup import remove_repeats
 from marquee.llm.token_counts import token_counts
 
 
@@ -30,6 +31,10 @@ def op1_minhash_near_dedup(spark, sf_dir):
         "doc_id", "n_shingles", "component_id", "kept")
 
 
+def op2_suffix_array_dedup(spark, sf_dir):
+    return remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op3_best_fit_packing(spark, sf_dir):
     return best_fit_pack(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
 
@@ -57,6 +62,7 @@ def op9_byte_bpe(spark, sf_dir):
 
 QUERIES = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
+    "op2_suffix_array_dedup": op2_suffix_array_dedup,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_token_counts": op4_token_counts,
     "op6_exact_dedup": op6_exact_dedup,
