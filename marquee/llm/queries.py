@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from marquee.llm.ann import nearest
 from marquee.llm.bpe import encode_documents
 from marquee.llm.exact_dedup import exact_dedup
 from marquee.llm.line_dedup import line_dedup
@@ -60,6 +61,10 @@ def op9_byte_bpe(spark, sf_dir):
     return encode_documents(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.tiktoken"))
 
 
+def op10_ann_search(spark, sf_dir):
+    return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 QUERIES = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
     "op2_suffix_array_dedup": op2_suffix_array_dedup,
@@ -69,4 +74,5 @@ QUERIES = {
     "op7_secret_scan": op7_secret_scan,
     "op8_line_dedup": op8_line_dedup,
     "op9_byte_bpe": op9_byte_bpe,
+    "op10_ann_search": op10_ann_search,
 }
