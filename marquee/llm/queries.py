@@ -10,6 +10,7 @@ from marquee.llm.exact_dedup import exact_dedup
 from marquee.llm.line_dedup import line_dedup
 from marquee.llm.minhash import near_dedup
 from marquee.llm.packing import best_fit_pack
+from marquee.llm.quality import quality
 from marquee.llm.secret_scan import secret_scan
 from marquee.llm.shipping import ship
 from marquee.llm.suffix_dedup import remove_repeats
@@ -44,6 +45,10 @@ def op4_token_counts(spark, sf_dir):
     return token_counts(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
 
 
+def op5_quality_classifier(spark, sf_dir):
+    return quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op6_exact_dedup(spark, sf_dir):
     return exact_dedup(table(spark, sf_dir, "documents"))
 
@@ -70,6 +75,7 @@ QUERIES = {
     "op2_suffix_array_dedup": op2_suffix_array_dedup,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_token_counts": op4_token_counts,
+    "op5_quality_classifier": op5_quality_classifier,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_secret_scan": op7_secret_scan,
     "op8_line_dedup": op8_line_dedup,
