@@ -7,27 +7,61 @@
 from __future__ import annotations
 
 import argparse
+import json
 
 from pyspark.sql import SparkSession
 
-from marquee.plans.run import run_from_csv
+from marquee.plans.run import READERS, run_from_files
+
+
+def _ints(text: str) -> tuple[int, ...]:
+    return tuple(int(x) for x in text.split(","))
+
+
+def parser() -> argparse.ArgumentParser:
+    out = argparse.ArgumentParser(prog="marquee", description=__doc__.splitlines()[0])
+    out.add_argument("--catalog", action="append", required=True, metavar="PLATFORM=PATH",
+                     help="a platform's catalogue file(s); repeat per platform")
+    out.add_argument("--format", choices=sorted(READERS), default="csv", help="of the catalogue files")
+    out.add_argument("--id-column", help="an integer key that is unique over all platforms")
+    out.add_argument("--candidates", help="CSV of candidate titles (cand_id, platform, type, ...)")
+    out.add_argument("--out", required=True, help="output folder")
+    out.add_argument("--stop-words", metavar="PATH", help="text file of stop words, one a line (read by Spark)")
+    out.add_argument("--types", help="title types that take part, comma-separated")
+    out.add_argument("--top-n", type=_ints, metavar="D,G,T", help="sizes of the three lists")
+    out.add_argument("--weight-steps", type=_ints, metavar="D,G,T", help="points between ranks of the three lists")
+    out.add_argument("--year-bands", type=json.loads, metavar="JSON", help="[[first, last, points], ...]")
+    out.add_argument("--target", type=json.loads, metavar="JSON", help="[low, high] of the success percentage")
+    out.add_argument("--top-titles", type=int, metavar="N", help="best titles kept per segment")
+    return out
+
+
+def job_options(spark: SparkSession, args: argparse.Namespace) -> dict:
+    """What the command line sets of :class:`~marquee.plans.job.CatalogJob`."""
+    given = {
+        "stop_words": args.stop_words and [r.value for r in spark.read.text(args.stop_words).collect()],
+        "types": args.types and args.types.split(","),
+        "top_n": args.top_n,
+        "weight_steps": args.weight_steps,
+        "year_bands": args.year_bands and [tuple(b) for b in args.year_bands],
+        "target": args.target and tuple(args.target),
+        "top_titles_n": args.top_titles,
+    }
+    return {k: v for k, v in given.items() if v is not None}
 
 
 def main(argv: list[str] | None = None) -> None:
-    parser = argparse.ArgumentParser(prog="marquee", description=__doc__.splitlines()[0])
-    parser.add_argument("--catalog", action="append", required=True, metavar="PLATFORM=PATH",
-                        help="a platform's catalogue CSV file(s); repeat per platform")
-    parser.add_argument("--candidates", help="CSV of candidate titles (cand_id, platform, type, ...)")
-    parser.add_argument("--out", required=True, help="output folder")
-    args = parser.parse_args(argv)
+    cli = parser()
+    args = cli.parse_args(argv)
     catalogs: dict[str, list[str]] = {}
     for item in args.catalog:
         platform, _, path = item.partition("=")
         if not path:
-            parser.error(f"--catalog needs PLATFORM=PATH, got {item!r}")
+            cli.error(f"--catalog needs PLATFORM=PATH, got {item!r}")
         catalogs.setdefault(platform, []).append(path)
     spark = SparkSession.builder.appName("marquee").getOrCreate()
-    run_from_csv(spark, catalogs, args.out, args.candidates)
+    run_from_files(spark, catalogs, args.out, args.candidates, args.format, args.id_column,
+                   **job_options(spark, args))
 
 
 if __name__ == "__main__":

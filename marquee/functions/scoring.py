@@ -16,10 +16,9 @@ YEAR_BANDS: tuple[tuple[int, int, int], ...] = (
     (2011, 2015, 15),
     (2016, 2021, 20),
 )
-# The success percentage runs from 60 to 95, and is 77.5 when a segment is constant.
+# The success percentage runs from 60 to 95 (77.5, the middle, when a segment is constant).
 SUCCESS_LOW = 60.0
 SUCCESS_HIGH = 95.0
-SUCCESS_CONSTANT = 77.5
 SUCCESS_DIGITS = 2
 
 # Python's int(text): optional surrounding whitespace, a sign, ASCII digits with single
@@ -58,12 +57,14 @@ def weighted_sum(terms: Column, weights: Column) -> Column:
 
 
 def success(total: Column, lo: Column, hi: Column,
-            low: float = SUCCESS_LOW, high: float = SUCCESS_HIGH,
-            constant: float = SUCCESS_CONSTANT, digits: int = SUCCESS_DIGITS) -> Column:
-    """Min-max scale ``total`` from ``[lo, hi]`` into ``[low, high]``, rounded half-up.
+            target: tuple[float, float] = (SUCCESS_LOW, SUCCESS_HIGH),
+            digits: int = SUCCESS_DIGITS) -> Column:
+    """Min-max scale ``total`` from ``[lo, hi]`` into the ``target`` range, rounded half-up.
 
-    A constant range (``lo == hi``) gives ``constant`` for every row. The
+    A constant range (``lo == hi``) gives the middle of the target for every row. The
     arithmetic is double precision in the order ``low + (t - lo) / (hi - lo) * span``.
     """
+    low, high = target
+    constant = (low + high) / 2
     scaled = F.lit(low) + F.try_divide(total - lo, hi - lo) * F.lit(high - low)
     return F.when(lo == hi, F.lit(constant)).otherwise(F.round(scaled, digits))

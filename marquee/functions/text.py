@@ -8,8 +8,7 @@ The rules reproduce Python string semantics (``str.split()``,
 
 from __future__ import annotations
 
-import functools
-from collections.abc import Callable, Iterable
+from collections.abc import Iterable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -30,27 +29,12 @@ TITLE_NON_LETTERS = r"[^a-zA-Z\s]"
 MIN_WORD_LENGTH = 2
 
 
-def _stops(stop_words: Iterable[str] | None) -> list[str]:
-    return list(ENGLISH_STOP_WORDS if stop_words is None else stop_words)
-
-
-def by_name(build: Callable[..., Column]) -> Callable[..., Column]:
-    """Let a rule take a column name, building its expression once per name and stop list.
+def _column(col: Column | str) -> Column:
+    return F.col(col) if isinstance(col, str) else col
 
-    An expression tree with a 181-word IN list costs hundreds of Py4J calls to
-    build; an unresolved expression is immutable and safe to reuse in any plan.
-    """
-    @functools.lru_cache(maxsize=256)
-    def cached(name: str, stops: tuple[str, ...] | None) -> Column:
-        return build(F.col(name), stops)
-
-    @functools.wraps(build)
-    def rule(col: Column | str, stop_words: Iterable[str] | None = None) -> Column:
-        if isinstance(col, str):
-            return cached(col, None if stop_words is None else tuple(stop_words))
-        return build(col, stop_words)
 
-    return rule
+def _stops(stop_words: Iterable[str] | None) -> list[str]:
+    return list(ENGLISH_STOP_WORDS if stop_words is None else stop_words)
 
 
 def _not_stop(word: Column, stops: list[str]) -> Column:
@@ -70,8 +54,7 @@ def letter_words(text: Column, min_length: int = 1) -> Column:
     return F.regexp_extract_all(text, F.lit(pattern), 0)
 
 
-@by_name
-def description_tokens(text: Column, stop_words: Iterable[str] | None = None) -> Column:
+def description_tokens(text: Column | str, stop_words: Iterable[str] | None = None) -> Column:
     """Significant words of a description, as an array (empty for null).
 
     Lower-case, split on any whitespace, keep words longer than two characters
@@ -79,7 +62,7 @@ def description_tokens(text: Column, stop_words: Iterable[str] | None = None) ->
     are dropped, not stripped.
     """
     stops = _stops(stop_words)
-    words = letter_words(F.lower(text), MIN_WORD_LENGTH + 1)
+    words = letter_words(F.lower(_column(text)), MIN_WORD_LENGTH + 1)
     kept = F.filter(words, lambda w: _not_stop(w, stops))
     return F.coalesce(kept, F.array().cast("array<string>"))
 
@@ -89,8 +72,7 @@ def clean_description(text: Column, stop_words: Iterable[str] | None = None) ->
     return F.array_join(description_tokens(text, stop_words), " ")
 
 
-@by_name
-def title_vocabulary_tokens(title: Column, stop_words: Iterable[str] | None = None) -> Column:
+def title_vocabulary_tokens(title: Column | str, stop_words: Iterable[str] | None = None) -> Column:
     """Title words as counted for the title vocabulary.
 
     Remove everything but ASCII letters and ASCII whitespace, lower-case, split
@@ -98,20 +80,19 @@ def title_vocabulary_tokens(title: Column, stop_words: Iterable[str] | None = No
     ``spiderman``, "Café" gives ``caf``).
     """
     stops = _stops(stop_words)
-    words = F.split(F.lower(F.regexp_replace(title, TITLE_NON_LETTERS, "")), " ")
+    words = F.split(F.lower(F.regexp_replace(_column(title), TITLE_NON_LETTERS, "")), " ")
     kept = F.filter(words, lambda w: (w != "") & _not_stop(w, stops))
     return F.coalesce(kept, F.array().cast("array<string>"))
 
 
-@by_name
-def title_score_tokens(title: Column, stop_words: Iterable[str] | None = None) -> Column:
+def title_score_tokens(title: Column | str, stop_words: Iterable[str] | None = None) -> Column:
     """Title words as scored: lower-case, whitespace split, letters only, not stop words.
 
     Unlike the vocabulary, nothing is stripped: "spider-man" is dropped and
     "café" is kept.
     """
     stops = _stops(stop_words)
-    kept = F.filter(letter_words(F.lower(title)), lambda w: _not_stop(w, stops))
+    kept = F.filter(letter_words(F.lower(_column(title))), lambda w: _not_stop(w, stops))
     return F.coalesce(kept, F.array().cast("array<string>"))
 
 

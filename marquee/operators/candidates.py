@@ -16,12 +16,12 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marquee.functions.scoring import success
+from marquee.functions.scoring import SUCCESS_HIGH, SUCCESS_LOW, YEAR_BANDS, success
 from marquee.functions.text import description_tokens
-from marquee.operators.score import join_on_keys, scale_success, score_titles, segment_stats
+from marquee.operators.score import join_on_keys, score_titles
 from marquee.plans.materialize import materialize
 from marquee.sources.catalog import SEGMENT_KEYS, TEXT_COLUMNS
 
@@ -50,45 +50,47 @@ def catalog_with_candidates(prepared: DataFrame, prepared_candidates: DataFrame)
     return side(prepared, "title_id", False).unionByName(side(prepared_candidates, "cand_id", True))
 
 
+def _widened(joined: DataFrame, target: tuple[float, float]) -> DataFrame:
+    """``(cand_id, title, sucesso)``: scaled over the segment's range widened by the candidate's points."""
+    total = F.col("total_points")
+    lo, hi = F.least("min_points", total), F.greatest("max_points", total)
+    return joined.select("cand_id", "title", success(total, lo, hi, target).alias("sucesso"))
+
+
 def candidate_success(prepared_candidates: DataFrame, maps: DataFrame, stats: DataFrame,
-                      keys: Sequence[str] = SEGMENT_KEYS,
-                      stop_words: Iterable[str] | None = None) -> DataFrame:
+                      keys: Sequence[str] = SEGMENT_KEYS, stop_words: Iterable[str] | None = None,
+                      year_bands: Sequence[tuple[int, int, int]] = YEAR_BANDS,
+                      target: tuple[float, float] = (SUCCESS_LOW, SUCCESS_HIGH)) -> DataFrame:
     """``(cand_id, title, sucesso)`` for every candidate, in one pass.
 
     ``maps`` are the segment's weight maps and ``stats`` its min/max points,
     both computed from the catalogue without candidates. A candidate whose
-    segment has no titles scores on the year alone and gets 77.5.
+    segment has no titles scores on the year alone and gets the middle of the target.
     """
-    scored = score_titles(prepared_candidates, maps, keys, stop_words)
-    joined = join_on_keys(scored, stats, keys, "left")
-    total = F.col("total_points")
-    lo = F.least(F.col("min_points"), total)
-    hi = F.greatest(F.col("max_points"), total)
-    return joined.select("cand_id", "title", success(total, lo, hi).alias("sucesso"))
-
-
-def first_candidate_per_segment(candidates: DataFrame,
-                                keys: Sequence[str] = SEGMENT_KEYS) -> DataFrame:
-    """The candidate with the lowest ``cand_id`` of each segment."""
-    window = Window.partitionBy(*keys).orderBy(F.col("cand_id").asc())
-    return (candidates.withColumn("__rank", F.row_number().over(window))
-            .filter(F.col("__rank") == 1).drop("__rank"))
+    scored = score_titles(prepared_candidates, maps, keys, stop_words, year_bands)
+    return _widened(join_on_keys(scored, stats, keys, "left"), target)
 
 
 def candidate_success_union(prepared: DataFrame, prepared_candidates: DataFrame,
                             maps: DataFrame, keys: Sequence[str] = SEGMENT_KEYS,
-                            stop_words: Iterable[str] | None = None) -> DataFrame:
-    """The literal form for one candidate per segment (the lowest ``cand_id``).
-
-    Union it into its segment, score everything with the lists of the
-    segment without it, take min/max over the union, and read the
-    candidate's row back by ``cand_id``.
+                            stop_words: Iterable[str] | None = None,
+                            year_bands: Sequence[tuple[int, int, int]] = YEAR_BANDS,
+                            target: tuple[float, float] = (SUCCESS_LOW, SUCCESS_HIGH),
+                            tables: list[str] | None = None) -> DataFrame:
+    """The literal form, for every candidate.
+
+    Candidates are united with their segment and scored in one pass with the
+    lists of the segment without them. The ranges come from the same scored
+    rows, over titles only; each candidate then widens its segment's range by its own
+    points, as if it alone had been added.
     """
-    first = first_candidate_per_segment(prepared_candidates, keys)
-    titles = prepared.withColumn("cand_id", F.lit(None).cast("bigint"))
-    union = titles.unionByName(
-        first.withColumn("title_id", F.lit(None).cast("bigint")), allowMissingColumns=True)
-    scored = score_titles(union, maps, keys, stop_words)
-    stats = materialize(segment_stats(scored, keys), "union_stats")
-    scaled = scale_success(scored, stats, keys)
-    return scaled.filter(F.col("cand_id").isNotNull()).select("cand_id", "title", "sucesso")
+    titles = prepared.drop("description").withColumn("cand_id", F.lit(None).cast("bigint"))
+    union = titles.unionByName(prepared_candidates.drop("description").withColumn(
+        "title_id", F.lit(None).cast("bigint")), allowMissingColumns=True)
+    scored = score_titles(union, maps, keys, stop_words, year_bands)
+    # A candidate's title goes on; the titles' own text is not needed again.
+    scored = materialize(scored.select(*keys, "cand_id", F.when(F.col("cand_id").isNotNull(), F.col("title")).alias(
+        "title"), "total_points"), "union_scored", tables)
+    of_titles = F.when(F.col("cand_id").isNull(), F.col("total_points"))
+    stats = scored.groupBy(*keys).agg(F.min(of_titles).alias("min_points"), F.max(of_titles).alias("max_points"))
+    return _widened(join_on_keys(scored.filter(F.col("cand_id").isNotNull()), stats, keys, "left"), target)

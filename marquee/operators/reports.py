@@ -14,7 +14,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marquee.operators.topk import TOP_DESCRIPTION_WORDS, TOP_GENRES, TOP_TITLE_WORDS
+from marquee.operators.topk import SEGMENT, TOP_DESCRIPTION_WORDS, TOP_GENRES, TOP_TITLE_WORDS
 from marquee.sources.catalog import SEGMENT_KEYS
 
 # Report names, heading formats, line formats, labels and rule width.
@@ -43,41 +43,35 @@ def _heading(fmt: str, n: int, platform: Column, kind: Column) -> Column:
     return F.concat(F.lit(head), platform, F.lit(middle), kind, F.lit(tail.replace("{n}", str(n))))
 
 
-def report_lines(segments: DataFrame, lists: DataFrame, keys: Sequence[str] = ("platform", "type"),
+def report_lines(lists: DataFrame, keys: Sequence[str] = SEGMENT_KEYS,
                  sizes: tuple[int, int, int] = (TOP_DESCRIPTION_WORDS, TOP_GENRES, TOP_TITLE_WORDS),
                  platform_labels: Mapping[str, str] | None = None,
                  type_labels: Mapping[str, str] | None = None) -> DataFrame:
     """``(keys..., report, line_no, line)`` for the three reports of every segment.
 
-    ``segments`` has one row per segment (e.g. ``segment_sizes``); ``lists``
-    is the fused ``(keys..., list, rank, term, count)`` of ``segment_lists``,
-    read once: each term line (line ``rank + 2``) picks its report and unit by
-    its ``list``.
+    ``lists`` is the fused ``(keys..., list, rank, term, count)`` of
+    ``segment_lists``, read once: a segment's own row becomes the headings and
+    rules of its reports, and each term line (line ``rank + 2``) picks its
+    report and unit by its ``list``.
     """
     if tuple(keys) != SEGMENT_KEYS:
         raise ValueError("reports are titled by platform and type")
     platform = _label(F.col("platform"), platform_labels)
     kind = _label(F.col("type"), TYPE_LABELS if type_labels is None else type_labels)
-    n_desc, n_genre, n_title = sizes
-    heads = [
-        (REPORT_DESCRIPTION, _heading(HEADING_DESCRIPTION, n_desc, platform, kind)),
-        (REPORT_GENRES, _heading(HEADING_GENRES, n_genre, platform, kind)),
-        (REPORT_TITLE, _heading(HEADING_TITLE, n_title, platform, kind)),
-    ]
-    entries = []
-    for report, heading in heads:
-        entries.append(F.struct(F.lit(report).alias("report"), F.lit(1).alias("line_no"),
-                                heading.alias("line")))
-        entries.append(F.struct(F.lit(report).alias("report"), F.lit(2).alias("line_no"),
-                                F.lit(RULE).alias("line")))
-    header_lines = (segments.select(*keys, F.explode(F.array(*entries)).alias("e"))
-                    .select(*keys, "e.report", "e.line_no", "e.line"))
 
+    def entry(report: Column, line_no: Column, line: Column) -> Column:
+        return F.struct(report.alias("report"), line_no.cast("int").alias("line_no"), line.alias("line"))
+
+    heads = []
+    for report, fmt, n in zip((REPORT_DESCRIPTION, REPORT_GENRES, REPORT_TITLE),
+                              (HEADING_DESCRIPTION, HEADING_GENRES, HEADING_TITLE), sizes):
+        heads.append(entry(F.lit(report), F.lit(1), _heading(fmt, n, platform, kind)))
+        heads.append(entry(F.lit(report), F.lit(2), F.lit(RULE)))
     is_genre = F.col("list") == "genre"
     report = (F.when(F.col("list") == "description", F.lit(REPORT_DESCRIPTION))
               .when(is_genre, F.lit(REPORT_GENRES)).otherwise(F.lit(REPORT_TITLE)))
     line = F.when(is_genre, F.format_string(LINE_GENRES, F.col("rank"), F.col("term"), F.col("count"))) \
         .otherwise(F.format_string(LINE_WORDS, F.col("rank"), F.col("term"), F.col("count")))
-    term_lines = lists.select(*keys, report.alias("report"),
-                              (F.col("rank") + 2).cast("int").alias("line_no"), line.alias("line"))
-    return header_lines.unionByName(term_lines)
+    entries = F.when(F.col("list") == SEGMENT, F.array(*heads)).otherwise(
+        F.array(entry(report, F.col("rank") + 2, line)))
+    return lists.select(*keys, F.explode(entries).alias("e")).select(*keys, "e.report", "e.line_no", "e.line")

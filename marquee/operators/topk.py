@@ -26,6 +26,9 @@ TOP_DESCRIPTION_WORDS = 10
 TOP_GENRES = 5
 TOP_TITLE_WORDS = 10
 
+# The list name of a segment's own row among its ranked lists.
+SEGMENT = "segment"
+
 
 def term_counts(df: DataFrame, terms: Column, term_name: str,
                 keys: Sequence[str] = SEGMENT_KEYS) -> DataFrame:
@@ -86,16 +89,20 @@ def segment_lists(prepared: DataFrame,
                   stop_words: Iterable[str] | None = None) -> DataFrame:
     """All three ranked lists in one scan and one aggregation: ``(keys..., list, rank, term, count)``.
 
-    ``list`` is ``description``, ``genre`` or ``title``. Each title first
-    becomes three ``(list, terms)`` rows (``inline``), then each row's array
-    is exploded: the catalogue is read, and its text tokenised, once for the
-    three lists, with no per-token tagging.
+    ``list`` is ``description``, ``genre`` or ``title``, and ``SEGMENT`` for one
+    more row per segment whose count is the number of its titles. Each title
+    first becomes four ``(list, terms)`` rows (``inline``), then each row's
+    array is exploded: the catalogue is read, and its text tokenised, once,
+    with no per-token tagging.
     """
+    def part(name: str, terms: Column) -> Column:
+        return F.struct(F.lit(name).alias("list"), terms.alias("terms"))
+
     parts = F.array(
-        F.struct(F.lit("description").alias("list"), F.col("desc_tokens").alias("terms")),
-        F.struct(F.lit("genre").alias("list"), genre_terms(F.col("listed_in")).alias("terms")),
-        F.struct(F.lit("title").alias("list"),
-                 title_vocabulary_tokens("title", stop_words).alias("terms")),
+        part("description", F.col("desc_tokens")),
+        part("genre", genre_terms(F.col("listed_in"))),
+        part("title", title_vocabulary_tokens("title", stop_words)),
+        part(SEGMENT, F.array(F.lit(""))),
     )
     exploded = (prepared.select(*keys, F.inline(parts))
                 .select(*keys, "list", F.explode_outer("terms").alias("term"))
@@ -103,10 +110,10 @@ def segment_lists(prepared: DataFrame,
     counts = exploded.groupBy(*keys, "list", "term").agg(F.count(F.lit(1)).alias("count"))
     n_desc, n_genre, n_title = sizes
     limit = (F.when(F.col("list") == "description", n_desc)
-             .when(F.col("list") == "genre", n_genre).otherwise(n_title))
+             .when(F.col("list") == "genre", n_genre).when(F.col("list") == "title", n_title).otherwise(1))
     window = Window.partitionBy(*keys, "list").orderBy(F.col("count").desc(), F.col("term").asc())
     # The literal bound lets Spark plan a WindowGroupLimit around the shuffle.
     return (counts.withColumn("rank", F.row_number().over(window))
-            .filter(F.col("rank") <= max(sizes))
+            .filter(F.col("rank") <= max(*sizes, 1))
             .filter(F.col("rank") <= limit)
             .select(*keys, "list", "rank", "term", "count"))

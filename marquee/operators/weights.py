@@ -2,9 +2,9 @@
 
 A ranked list becomes ``term -> weight`` with ``weight = (base + 1 - rank) * step``.
 The defaults reproduce the job's weights: description words 10, 9, ... ;
-genres 25, 20, 15, 10, 5; title words 10, 9, ... . The weights start from
-``base``, not from the list's length, so a list of three words still weighs
-10, 9, 8.
+genres 25, 20, 15, 10, 5; title words 10, 9, ... . ``base`` is the size asked
+of the list, not the number of terms found, so three words of a top 10 still
+weigh 10, 9, 8, and the last rank of any size weighs one step.
 
 The three lists of a segment are folded into one row holding three
 ``map<string,int>`` columns. That table has one row per segment and at most
@@ -19,12 +19,22 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from marquee.operators.topk import TOP_DESCRIPTION_WORDS, TOP_GENRES, TOP_TITLE_WORDS
 from marquee.sources.catalog import SEGMENT_KEYS
 
-# Fixed values: (list name, term column, base, step) for the three lists.
-DESCRIPTION = ("description", "word", 10, 1)
-GENRE = ("genre", "genre", 5, 5)
-TITLE = ("title", "word", 10, 1)
+Spec = tuple[str, str, int, int]
+
+# Steps between ranks of the three lists (description words, genres, title words).
+STEPS: tuple[int, int, int] = (1, 5, 1)
+
+
+def specs_of(sizes: Sequence[int], steps: Sequence[int] = STEPS) -> tuple[Spec, Spec, Spec]:
+    """``(list name, term column, base, step)`` of the three lists, given their sizes and steps."""
+    names = (("description", "word"), ("genre", "genre"), ("title", "word"))
+    return tuple((*name, n, step) for name, n, step in zip(names, sizes, steps))
+
+
+DESCRIPTION, GENRE, TITLE = specs_of((TOP_DESCRIPTION_WORDS, TOP_GENRES, TOP_TITLE_WORDS))
 
 MAP_COLUMNS = {"description": "desc_weights", "genre": "genre_weights", "title": "title_weights"}
 
@@ -38,19 +48,10 @@ def list_weights(ranked: DataFrame, spec: tuple[str, str, int, int],
                          F.col(term_col).alias("term"), weight.alias("weight"))
 
 
-def rank_weights(desc_top: DataFrame, genre_top: DataFrame, title_top: DataFrame,
-                 keys: Sequence[str] = SEGMENT_KEYS,
-                 specs: tuple = (DESCRIPTION, GENRE, TITLE)) -> DataFrame:
-    """All three lists as ``(keys..., list, term, weight)``."""
-    d_spec, g_spec, t_spec = specs
-    return (list_weights(desc_top, d_spec, keys)
-            .unionByName(list_weights(genre_top, g_spec, keys))
-            .unionByName(list_weights(title_top, t_spec, keys)))
-
-
 def weights_from_lists(lists: DataFrame, keys: Sequence[str] = SEGMENT_KEYS,
                        specs: tuple = (DESCRIPTION, GENRE, TITLE)) -> DataFrame:
     """``(keys..., list, term, weight)`` from the fused lists of ``segment_lists``."""
+    lists = lists.filter(F.col("list").isin([name for name, *_ in specs]))
     weight = None
     for name, _, base, step in specs:
         w = (F.lit(base + 1) - F.col("rank")) * F.lit(step)

@@ -2,21 +2,15 @@
 
 The SQL restates each rule in DuckDB's dialect (RE2 regular expressions,
 list lambdas, ``string_agg``) and computes scores by unnesting tokens and
-joining the weight table, a different route from the Spark plans. Names and
-types of the output columns equal the Spark queries'.
+joining the weight table, a different route from the Spark plans. Bands,
+weights, list sizes and headings are written out here, so a wrong constant in
+the library shows; only the stop list, checked against Spark's own, is
+shared. Names and types of the output columns equal the Spark queries'.
 """
 
 from __future__ import annotations
 
-from marquee.functions.scoring import (SUCCESS_CONSTANT, SUCCESS_DIGITS, SUCCESS_HIGH,
-                                       SUCCESS_LOW, YEAR_BANDS)
 from marquee.functions.stopwords import ENGLISH_STOP_WORDS
-from marquee.operators.reports import (HEADING_DESCRIPTION, HEADING_GENRES, HEADING_TITLE,
-                                       REPORT_DESCRIPTION, REPORT_GENRES, REPORT_TITLE, RULE,
-                                       TYPE_LABELS)
-from marquee.operators.score import TOP_TITLES
-from marquee.operators.topk import TOP_DESCRIPTION_WORDS, TOP_GENRES, TOP_TITLE_WORDS
-from marquee.operators.weights import DESCRIPTION, GENRE, TITLE
 
 # Python's whitespace class and the title filter, in RE2 syntax.
 WS = r"[\s\x0B\x1c-\x1f\x85\p{Z}]"
@@ -38,7 +32,7 @@ catalog AS (
   SELECT d.doc_id AS title_id, d.lang AS platform,
          CASE WHEN d.doc_id % 40 = 39 THEN 'Special'
               WHEN d.doc_id % 3 = 0 THEN 'TV Show' ELSE 'Movie' END AS type,
-         substring(split_part(d.text, '.', 1), 1, 120) AS title, g.listed_in,
+         split_part(d.text, '.', 1) AS title, g.listed_in,
          CASE WHEN d.doc_id % 50 = 49 THEN 'n/a'
               ELSE CAST(1998 + (d.doc_id * 7) % 25 AS VARCHAR) END AS release_year,
          d.source AS rating, d.text AS description
@@ -49,7 +43,7 @@ candidates AS (
   SELECT item_id AS cand_id,
          CASE item_id % 4 WHEN 0 THEN 'de' WHEN 1 THEN 'en' WHEN 2 THEN 'es' ELSE 'fr' END AS platform,
          CASE WHEN item_id % 8 < 4 THEN 'Movie' ELSE 'TV Show' END AS type,
-         substring(split_part(text, '.', 1), 1, 120) AS title,
+         split_part(text, '.', 1) AS title,
          CASE WHEN item_id % 3 = 0 THEN 'red rod, small anvil'
               WHEN item_id % 3 = 1 THEN 'Red Rod' END AS listed_in,
          CAST(2014 + item_id % 12 AS VARCHAR) AS release_year,
@@ -86,16 +80,16 @@ def genre_score_terms(col: str) -> str:
 def year_points(col: str) -> str:
     value = (f"TRY_CAST(NULLIF(replace(regexp_extract({col}, "
              f"'^{WS}*([+-]?[0-9](?:_?[0-9])*){WS}*$', 1), '_', ''), '') AS BIGINT)")
-    whens = " ".join(f"WHEN {value} BETWEEN {lo} AND {hi} THEN {pts}" for lo, hi, pts in YEAR_BANDS)
-    return f"CAST(CASE {whens} ELSE 0 END AS INTEGER)"
+    return (f"CAST(CASE WHEN {value} BETWEEN 2000 AND 2005 THEN 5 WHEN {value} BETWEEN 2006 AND 2010 THEN 10 "
+            f"WHEN {value} BETWEEN 2011 AND 2015 THEN 15 WHEN {value} BETWEEN 2016 AND 2021 THEN 20 "
+            f"ELSE 0 END AS INTEGER)")
 
 
 def success(total: str, lo: str, hi: str) -> str:
-    span = SUCCESS_HIGH - SUCCESS_LOW
-    raw = f"({SUCCESS_LOW} + ({total} - {lo}) / ({hi} - {lo}) * {span})"
+    raw = f"(60.0 + ({total} - {lo})::DOUBLE / ({hi} - {lo}) * 35.0)"
     # Spark rounds half-up on the shortest decimal text of the double.
-    rounded = f"CAST(round(CAST(CAST({raw} AS VARCHAR) AS DECIMAL(22,18)), {SUCCESS_DIGITS}) AS DOUBLE)"
-    return f"CASE WHEN {hi} = {lo} THEN CAST({SUCCESS_CONSTANT} AS DOUBLE) ELSE {rounded} END"
+    rounded = f"CAST(round(CAST(CAST({raw} AS VARCHAR) AS DECIMAL(22,18)), 2) AS DOUBLE)"
+    return f"CASE WHEN {hi} = {lo} THEN CAST(77.5 AS DOUBLE) ELSE {rounded} END"
 
 
 def _top(counts: str, term: str, n: int) -> str:
@@ -105,33 +99,32 @@ def _top(counts: str, term: str, n: int) -> str:
              {term}, "count" FROM {counts}) WHERE rank <= {n})"""
 
 
-# Prepared catalogue, term lists and weights, shared by most queries.
-BASE = f"""WITH {CATALOG},
-seg AS (SELECT * FROM catalog WHERE type IN ('TV Show', 'Movie')),
+def base(whole: bool = False) -> str:
+    """Prepared catalogue, term lists and weights, shared by most queries; ``whole`` makes it one segment."""
+    one = " REPLACE ('all' AS platform, 'all' AS type)" if whole else ""
+    return f"""WITH {CATALOG},
+seg AS (SELECT *{one} FROM catalog WHERE type IN ('TV Show', 'Movie')),
 prep AS (SELECT *, {desc_tokens('description')} AS desc_tokens FROM seg),
 desc_counts AS (
   SELECT platform, type, word, CAST(count(*) AS BIGINT) AS "count"
   FROM (SELECT platform, type, unnest(desc_tokens) AS word FROM prep) GROUP BY platform, type, word),
-desc_top AS {_top('desc_counts', 'word', TOP_DESCRIPTION_WORDS)},
+desc_top AS {_top('desc_counts', 'word', 10)},
 genre_counts AS (
   SELECT platform, type, genre, CAST(count(*) AS BIGINT) AS "count"
   FROM (SELECT platform, type, unnest({genre_terms('listed_in')}) AS genre FROM prep)
   GROUP BY platform, type, genre),
-genre_top AS {_top('genre_counts', 'genre', TOP_GENRES)},
+genre_top AS {_top('genre_counts', 'genre', 5)},
 title_counts AS (
   SELECT platform, type, word, CAST(count(*) AS BIGINT) AS "count"
   FROM (SELECT platform, type, unnest({title_vocab('title')}) AS word FROM prep)
   GROUP BY platform, type, word),
-title_top AS {_top('title_counts', 'word', TOP_TITLE_WORDS)},
+title_top AS {_top('title_counts', 'word', 10)},
 weights AS (
-  SELECT platform, type, '{DESCRIPTION[0]}' AS list, word AS term,
-         CAST(({DESCRIPTION[2]} + 1 - rank) * {DESCRIPTION[3]} AS INTEGER) AS weight FROM desc_top
+  SELECT platform, type, 'description' AS list, word AS term, CAST(11 - rank AS INTEGER) AS weight FROM desc_top
   UNION ALL
-  SELECT platform, type, '{GENRE[0]}', genre, CAST(({GENRE[2]} + 1 - rank) * {GENRE[3]} AS INTEGER)
-  FROM genre_top
+  SELECT platform, type, 'genre', genre, CAST((6 - rank) * 5 AS INTEGER) FROM genre_top
   UNION ALL
-  SELECT platform, type, '{TITLE[0]}', word, CAST(({TITLE[2]} + 1 - rank) * {TITLE[3]} AS INTEGER)
-  FROM title_top)"""
+  SELECT platform, type, 'title', word, CAST(11 - rank AS INTEGER) FROM title_top)"""
 
 
 def scored_ctes(src: str, name: str) -> str:
@@ -147,9 +140,9 @@ def scored_ctes(src: str, name: str) -> str:
   GROUP BY x.rid)"""
 
     return f""",
-{part(DESCRIPTION[0], 'desc_tokens', 'd')},
-{part(GENRE[0], genre_score_terms('listed_in'), 'g')},
-{part(TITLE[0], title_terms('title'), 't')},
+{part('description', 'desc_tokens', 'd')},
+{part('genre', genre_score_terms('listed_in'), 'g')},
+{part('title', title_terms('title'), 't')},
 {name}_p AS (
   SELECT s.*,
          CAST(coalesce(d.s, 0) AS INTEGER) AS points_criterion_1,
@@ -165,47 +158,44 @@ def scored_ctes(src: str, name: str) -> str:
                  + points_criterion_4 AS INTEGER) AS total_points FROM {name}_p)"""
 
 
-SCORED = BASE + ",\nrows AS (SELECT title_id AS rid, * FROM prep)" + scored_ctes("rows", "scored") + """,
+def scored(whole: bool = False) -> str:
+    return base(whole) + ",\nrows AS (SELECT title_id AS rid, * FROM prep)" + scored_ctes("rows", "scored") + """,
 stats AS (SELECT platform, type, min(total_points) AS min_points, max(total_points) AS max_points
           FROM scored GROUP BY platform, type)"""
 
-SCALED = SCORED + f""",
+
+def scaled(whole: bool = False) -> str:
+    return scored(whole) + f""",
 scaled AS (
   SELECT s.*, {success('s.total_points', 'st.min_points', 'st.max_points')} AS sucesso
   FROM scored s JOIN stats st
     ON st.platform IS NOT DISTINCT FROM s.platform AND st.type IS NOT DISTINCT FROM s.type)"""
 
-TOP_TITLE_COLS = ("platform, type, title_id, title, listed_in, release_year, rating, description, "
-                  "points_criterion_1, points_criterion_2, points_criterion_3, points_criterion_4, "
-                  "total_points, sucesso")
 
-TOP15 = SCALED + f"""
-SELECT {TOP_TITLE_COLS} FROM (
+def top15(whole: bool = False) -> str:
+    columns = ("title_id, title, listed_in, release_year, rating, description, points_criterion_1, "
+               "points_criterion_2, points_criterion_3, points_criterion_4, total_points, sucesso")
+    return scaled(whole) + f"""
+SELECT {'' if whole else 'platform, type, '}{columns} FROM (
   SELECT *, row_number() OVER (PARTITION BY platform, type
                                ORDER BY total_points DESC, title, title_id) AS rn FROM scaled)
-WHERE rn <= {TOP_TITLES}"""
+WHERE rn <= 15"""
+
 
 CAND_PREP = f""",
 {CANDIDATES.strip()},
 cand_prep AS (SELECT *, {desc_tokens('description')} AS desc_tokens FROM candidates)"""
 
 
-def _heading(fmt: str, n: int) -> str:
-    labels = " ".join(f"WHEN {_q(k)} THEN {_q(v)}" for k, v in TYPE_LABELS.items())
-    head, rest = fmt.split("{platform}", 1)
-    middle, tail = rest.split("{kind}", 1)
-    return (f"{_q(head)} || platform || {_q(middle)} || (CASE type {labels} ELSE type END) "
-            f"|| {_q(tail.replace('{n}', str(n)))}")
-
-
 def _report_sql() -> str:
+    kind = "(CASE type WHEN 'TV Show' THEN 'Séries' WHEN 'Movie' THEN 'Filmes' ELSE type END)"
     heads = []
-    for report, fmt, n in ((REPORT_DESCRIPTION, HEADING_DESCRIPTION, TOP_DESCRIPTION_WORDS),
-                           (REPORT_GENRES, HEADING_GENRES, TOP_GENRES),
-                           (REPORT_TITLE, HEADING_TITLE, TOP_TITLE_WORDS)):
+    for report, title in (("top_desc_words", " - Top 10 Palavras das Descrições"),
+                          ("top_genres", " - Top 5 Gêneros"),
+                          ("top_title_words", " - Top 10 Palavras dos Títulos")):
         heads.append(f"SELECT platform, type, '{report}' AS report, CAST(1 AS INTEGER) AS line_no, "
-                     f"{_heading(fmt, n)} AS line FROM sizes")
-        heads.append(f"SELECT platform, type, '{report}', CAST(2 AS INTEGER), {_q(RULE)} FROM sizes")
+                     f"platform || ' ' || {kind} || '{title}' AS line FROM sizes")
+        heads.append(f"SELECT platform, type, '{report}', CAST(2 AS INTEGER), repeat('=', 50) FROM sizes")
 
     def lines(top: str, term: str, report: str, unit: str) -> str:
         return (f"SELECT platform, type, '{report}', CAST(rank + 2 AS INTEGER), "
@@ -213,49 +203,50 @@ def _report_sql() -> str:
                 f"|| ' {unit}' FROM {top}")
 
     body = "\nUNION ALL ".join(heads + [
-        lines("desc_top", "word", REPORT_DESCRIPTION, "ocorrências"),
-        lines("genre_top", "genre", REPORT_GENRES, "títulos"),
-        lines("title_top", "word", REPORT_TITLE, "ocorrências"),
+        lines("desc_top", "word", "top_desc_words", "ocorrências"),
+        lines("genre_top", "genre", "top_genres", "títulos"),
+        lines("title_top", "word", "top_title_words", "ocorrências"),
     ])
-    return (BASE + ",\nsizes AS (SELECT platform, type, count(*) AS n FROM seg GROUP BY platform, type)\n"
+    return (base() + ",\nsizes AS (SELECT platform, type, count(*) AS n FROM seg GROUP BY platform, type)\n"
             + body)
 
 
 def oracle_sql() -> dict[str, str]:
-    cand_scored = (SCORED + CAND_PREP + ",\ncrows AS (SELECT cand_id AS rid, * FROM cand_prep)"
-                   + scored_ctes("crows", "cscored"))
-    cand_success = cand_scored + f"""
+    BASE, SCORED, SCALED, TOP15 = base(), scored(), scaled(), top15()
+    cand_success = SCORED + CAND_PREP + ",\ncrows AS (SELECT cand_id AS rid, * FROM cand_prep)" + scored_ctes(
+        "crows", "cscored") + f"""
 SELECT c.cand_id, c.title,
        {success('c.total_points', 'least(coalesce(st.min_points, c.total_points), c.total_points)',
                 'greatest(coalesce(st.max_points, c.total_points), c.total_points)')} AS sucesso
 FROM cscored c LEFT JOIN stats st
   ON st.platform IS NOT DISTINCT FROM c.platform AND st.type IS NOT DISTINCT FROM c.type"""
 
+    # Every candidate in its own copy of its segment's range: titles and that candidate alone.
     union_form = BASE + CAND_PREP + """,
-firsts AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY platform, type ORDER BY cand_id) AS rn
-                          FROM cand_prep) WHERE rn = 1),
 urows AS (
   SELECT 't' || CAST(title_id AS VARCHAR) AS rid, CAST(NULL AS BIGINT) AS cand_id, platform, type, title,
          listed_in, release_year, desc_tokens FROM prep
   UNION ALL
   SELECT 'c' || CAST(cand_id AS VARCHAR), cand_id, platform, type, title, listed_in, release_year,
-         desc_tokens FROM firsts)""" + scored_ctes("urows", "uscored") + f""",
-ustats AS (SELECT platform, type, min(total_points) AS mn, max(total_points) AS mx
-           FROM uscored GROUP BY platform, type)
+         desc_tokens FROM cand_prep)""" + scored_ctes("urows", "uscored") + f""",
+ustats AS (
+  SELECT c.cand_id, min(u.total_points) AS mn, max(u.total_points) AS mx
+  FROM uscored c JOIN uscored u
+    ON u.platform IS NOT DISTINCT FROM c.platform AND u.type IS NOT DISTINCT FROM c.type
+   AND (u.cand_id IS NULL OR u.cand_id = c.cand_id)
+  WHERE c.cand_id IS NOT NULL GROUP BY c.cand_id)
 SELECT u.cand_id, u.title, {success('u.total_points', 's.mn', 's.mx')} AS sucesso
-FROM uscored u JOIN ustats s
-  ON s.platform IS NOT DISTINCT FROM u.platform AND s.type IS NOT DISTINCT FROM u.type
-WHERE u.cand_id IS NOT NULL"""
+FROM uscored u JOIN ustats s ON s.cand_id = u.cand_id"""
 
     return {
         "catalog": f"WITH {CATALOG}\nSELECT * FROM catalog",
         "segment_sizes": BASE + "\nSELECT platform, type, count(*) AS n FROM seg GROUP BY platform, type",
         "desc_clean": BASE + "\nSELECT title_id, array_to_string(desc_tokens, ' ') AS description_scraped FROM prep",
         "top_desc_words": BASE + "\nSELECT * FROM desc_top",
-        "top_desc_words_global": BASE + f"""
+        "top_desc_words_global": BASE + """
 SELECT word, CAST(count(*) AS BIGINT) AS "count"
 FROM (SELECT unnest(desc_tokens) AS word FROM prep) GROUP BY word
-ORDER BY "count" DESC, word LIMIT {TOP_DESCRIPTION_WORDS}""",
+ORDER BY "count" DESC, word LIMIT 10""",
         "top_genres": BASE + "\nSELECT * FROM genre_top",
         "top_title_words": BASE + "\nSELECT * FROM title_top",
         "rank_weights": BASE + "\nSELECT * FROM weights",
@@ -280,4 +271,8 @@ SELECT platform, type, true, cand_id, title, listed_in, release_year, rating, de
         "candidate_success_union": union_form,
         "report_lines": _report_sql(),
         "csv_round_trip": TOP15,
+        "catalog_csv": f"WITH {CATALOG}\nSELECT * FROM catalog",
+        "top15_from_csv": TOP15,
+        "success_scaled_global": scaled(whole=True) + "\nSELECT title_id, total_points, sucesso FROM scaled",
+        "top15_titles_global": top15(whole=True),
     }

@@ -10,13 +10,15 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from marquee.operators.score import OUTPUT_COLUMNS
 from marquee.plans.job import CatalogJob
 from marquee.plans.materialize import scratch_path
 from marquee.sources.candidates import CANDIDATE_COLUMNS, candidates_from_tables
-from marquee.sources.catalog import CATALOG_COLUMNS, SEGMENT_KEYS, catalog_from_tables
-from marquee.sources.sinks import read_top_titles_csv, write_top_titles_csv
+from marquee.sources.catalog import (CATALOG_COLUMNS, SEGMENT_KEYS, catalog_from_tables,
+                                     read_catalog_csv)
+from marquee.sources.sinks import CSV_WRITE_OPTIONS, read_top_titles_csv, write_top_titles_csv
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -112,6 +114,41 @@ def q_csv_round_trip(spark, sf_dir):
     return read_top_titles_csv(spark, path).select(*TOP_TITLE_COLUMNS)
 
 
+def _as_csv(spark: SparkSession, sf_dir: str) -> dict[str, list[str]]:
+    """The catalogue view written as CSV, per platform in files of two column orders; their paths."""
+    path = scratch_path(spark, "catalog_csv")
+    catalog = catalog_from_tables(spark, sf_dir)
+    names = [c for c in CATALOG_COLUMNS if c != "platform"]
+    for part, columns in enumerate((names, names[::-1])):
+        half = catalog.filter(F.col("title_id") % 2 == part).select(*columns, "platform")
+        (half.repartition("platform").write.partitionBy("platform").options(**CSV_WRITE_OPTIONS)
+             .csv(f"{path}/{part}"))
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    platform = F.regexp_extract("path", "/platform=([^/]+)/", 1).alias("platform")
+    found: dict[str, list[str]] = {}
+    for r in files.select(platform, "path").collect():
+        found.setdefault(r.platform, []).append(r.path)
+    return found
+
+
+def q_catalog_csv(spark, sf_dir):
+    return read_catalog_csv(spark, _as_csv(spark, sf_dir), "title_id").select(*CATALOG_COLUMNS)
+
+
+def q_top15_from_csv(spark, sf_dir):
+    catalog = read_catalog_csv(spark, _as_csv(spark, sf_dir), "title_id")
+    return CatalogJob(catalog).top_titles().select(*TOP_TITLE_COLUMNS)
+
+
+def q_success_scaled_global(spark, sf_dir):
+    return CatalogJob(catalog_from_tables(spark, sf_dir), keys=()).scaled.select(
+        "title_id", "total_points", "sucesso")
+
+
+def q_top15_titles_global(spark, sf_dir):
+    return CatalogJob(catalog_from_tables(spark, sf_dir), keys=()).top_titles()
+
+
 QUERIES: dict[str, Query] = {
     "catalog": q_catalog,
     "segment_sizes": q_segment_sizes,
@@ -135,6 +172,10 @@ QUERIES: dict[str, Query] = {
     "candidate_success_union": q_candidate_success_union,
     "report_lines": q_report_lines,
     "csv_round_trip": q_csv_round_trip,
+    "catalog_csv": q_catalog_csv,
+    "top15_from_csv": q_top15_from_csv,
+    "success_scaled_global": q_success_scaled_global,
+    "top15_titles_global": q_top15_titles_global,
 }
 
 __all__ = ["QUERIES", "Query", "job"]

@@ -14,10 +14,13 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from marquee.plans.job import CatalogJob
+from marquee.plans.materialize import remove_tables
 from marquee.sources.candidates import CANDIDATE_COLUMNS
-from marquee.sources.catalog import CSV_READ_OPTIONS, read_catalog_csv
+from marquee.sources.catalog import CSV_READ_OPTIONS, read_catalog_csv, read_catalog_parquet
 from marquee.sources.sinks import CSV_WRITE_OPTIONS, write_reports, write_top_titles_csv
 
+READERS = {"csv": read_catalog_csv, "parquet": read_catalog_parquet}
+
 
 def read_candidates_csv(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     """Candidate titles from CSV with a header (``cand_id`` and the catalogue columns)."""
@@ -29,16 +32,32 @@ def read_candidates_csv(spark: SparkSession, path: str | Sequence[str]) -> DataF
 def run_job(job: CatalogJob, out: str, mode: str = "overwrite") -> None:
     """Write the best titles, the reports and (if any) the candidates' success under ``out``."""
     write_top_titles_csv(job.top_titles(), f"{out}/top_titles", job.keys, mode)
-    write_reports(job.report_lines(), f"{out}/reports", job.keys, mode)
-    if job._candidates is not None:
+    if job.keys:  # reports are titled by platform and type
+        write_reports(job.report_lines(), f"{out}/reports", job.keys, mode)
+    if job.candidates is not None:
         (job.candidate_success().write.mode(mode).options(**CSV_WRITE_OPTIONS)
          .csv(f"{out}/candidates"))
 
 
+def run_from_files(spark: SparkSession, catalogs: Mapping[str, str | Sequence[str]], out: str,
+                   candidates: str | None = None, fmt: str = "csv", id_column: str | None = None,
+                   reader: Mapping[str, object] | None = None, **job_options) -> None:
+    """Read per-platform catalogues (and a candidate CSV), write every output, delete the job's tables.
+
+    ``fmt`` is a key of ``READERS``, ``reader`` holds further options of that
+    reader, and ``job_options`` go to :class:`CatalogJob`.
+    """
+    tables: list[str] = []
+    try:
+        catalog = READERS[fmt](spark, catalogs, id_column, tables=tables, **(reader or {}))
+        cands = read_candidates_csv(spark, candidates) if candidates else None
+        with CatalogJob(catalog, cands, **job_options) as job:
+            run_job(job, out)
+    finally:
+        remove_tables(spark, tables)
+
+
 def run_from_csv(spark: SparkSession, catalogs: Mapping[str, str | Sequence[str]], out: str,
-                 candidates: str | None = None) -> CatalogJob:
-    """Read per-platform catalogue CSVs (and a candidate CSV) and write every output."""
-    cands = read_candidates_csv(spark, candidates) if candidates else None
-    job = CatalogJob(read_catalog_csv(spark, catalogs), cands)
-    run_job(job, out)
-    return job
+                 candidates: str | None = None, **options) -> None:
+    """:func:`run_from_files` over CSV catalogues."""
+    run_from_files(spark, catalogs, out, candidates, "csv", **options)

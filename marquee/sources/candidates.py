@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from marquee.sources.catalog import TEXT_COLUMNS, _read, title_from_text
+from marquee.sources.catalog import TEXT_COLUMNS, _read
 
 CANDIDATE_COLUMNS: tuple[str, ...] = ("cand_id", "platform", "type") + TEXT_COLUMNS
 
@@ -48,7 +48,7 @@ def candidates_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
         item.alias("cand_id"),
         platform.alias("platform"),
         F.when(item % 8 < 4, "Movie").otherwise("TV Show").alias("type"),
-        title_from_text(F.col("text")).alias("title"),
+        F.substring_index("text", ".", 1).alias("title"),
         genres.alias("listed_in"),
         (F.lit(2014) + item % 12).cast("string").alias("release_year"),
         F.lit("src0").alias("rating"),

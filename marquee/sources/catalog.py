@@ -16,10 +16,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from marquee.plans.materialize import materialize
+
 SEGMENT_KEYS: tuple[str, ...] = ("platform", "type")
 # The two title types that form segments; other types and nulls drop out.
 SEGMENT_TYPES: tuple[str, ...] = ("TV Show", "Movie")
 
+# The text columns of a title, in output order.
 TEXT_COLUMNS: tuple[str, ...] = ("title", "listed_in", "release_year", "rating", "description")
 CATALOG_COLUMNS: tuple[str, ...] = ("title_id", "platform", "type") + TEXT_COLUMNS
 
@@ -53,8 +56,10 @@ def conform(df: DataFrame, platform: str | Column | None = None,
     """Project any catalogue frame onto the catalogue columns.
 
     ``platform`` sets a literal platform when the frame has none. ``id_column``
-    names a unique key; without one, an id is generated per row. ``type`` is
-    required; other missing columns are null.
+    names a key that is unique over the whole catalogue; without it and without a ``title_id``,
+    rows are numbered. Such numbers are unique within this frame only, and
+    may differ when it is computed again: :func:`number_titles` numbers a
+    written catalogue. ``type`` is required; other missing columns are null.
     """
     if platform is not None:
         df = df.withColumn("platform", platform if isinstance(platform, Column) else F.lit(platform))
@@ -76,32 +81,92 @@ def conform(df: DataFrame, platform: str | Column | None = None,
     )
 
 
+def number_titles(catalog: DataFrame, paths: list[str] | None = None) -> DataFrame:
+    """The catalogue written once into the shared folder, each row with its own ``title_id``.
+
+    The numbers are part of the written table, so every later pass sees the same ones.
+    """
+    numbered = catalog.withColumn("title_id", F.monotonically_increasing_id())
+    return materialize(numbered.select(*CATALOG_COLUMNS), "catalog", paths)
+
+
+def _union(frames: Sequence[DataFrame]) -> DataFrame:
+    if not frames:
+        raise ValueError("no catalogue paths given")
+    out = frames[0]
+    for frame in frames[1:]:
+        out = out.unionByName(frame)
+    return out
+
+
+def _listed(paths: str | Sequence[str]) -> list[str]:
+    return [paths] if isinstance(paths, str) else list(paths)
+
+
+def _by_header(spark: SparkSession, paths: list[str], options: Mapping[str, str]) -> list[DataFrame]:
+    """One frame for each different header among the files, so that columns go by name in every file.
+
+    Spark applies the first file's header to all files of a read. File names are
+    listed without reading contents; each file's header is a read of its first line.
+    """
+    files = [r.path for r in spark.read.format("binaryFile").load(paths).select("path").collect()]
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for file in sorted(files):
+        header = tuple(spark.read.options(**options).csv(file).columns)
+        if header:
+            groups.setdefault(header, []).append(file)
+    return [spark.read.options(**options).csv(group) for group in groups.values()]
+
+
 def read_catalog_csv(spark: SparkSession, paths: Mapping[str, str | Sequence[str]],
-                     id_column: str | None = "show_id") -> DataFrame:
+                     id_column: str | None = None, multiline: bool = True, one_header: bool = False,
+                     tables: list[str] | None = None) -> DataFrame:
     """Read one or more CSV files per platform into one conformed catalogue.
 
     ``paths`` maps a platform name to its file(s). Columns are matched by
-    their header names, whatever their order and whatever other columns a
-    platform's files carry; every value is read as text (no inference pass).
-    The options parse doubled quotes and quoted newlines. ``id_column`` names
-    the platform's title key when the files have it (ids are then
-    ``xxhash64(platform, key)``); otherwise ids are generated per row.
-    ``multiLine`` reads each file as one task, so a large platform should be
-    many files, or be converted to Parquet once.
+    their header names in every file, whatever their order and whatever other
+    columns a file carries; every value is read as text (no inference pass).
+    ``id_column`` names an integer key that is unique over all platforms.
+    Without one the catalogue is written once to the shared folder and its
+    rows are numbered there (``tables`` collects the path).
+
+    ``multiline`` parses quoted newlines, and makes each file one task;
+    ``multiline=False`` splits large files and needs every record on one line.
+    ``one_header`` says that a platform's files share the first one's header;
+    it spares a look at each file, and a file with another header fails the read.
     """
+    options = {**CSV_READ_OPTIONS, "multiLine": str(multiline).lower()}
     frames = []
     for platform, files in paths.items():
-        files = [files] if isinstance(files, str) else list(files)
-        raw = spark.read.options(**CSV_READ_OPTIONS).csv(files)
-        if id_column is not None and id_column in raw.columns:
-            raw = raw.withColumn("title_id", F.xxhash64(F.lit(platform), F.col(id_column)))
-        frames.append(conform(raw, platform=platform))
-    if not frames:
-        raise ValueError("no catalogue paths given")
-    union = frames[0]
-    for frame in frames[1:]:
-        union = union.unionByName(frame)
-    return union
+        files = _listed(files)
+        if one_header:
+            raws = [spark.read.options(**options, enforceSchema="false").csv(files)]
+        else:
+            raws = _by_header(spark, files, options)
+        for raw in raws:
+            key = id_column if id_column in raw.columns else None
+            if id_column is not None and key is None:
+                raise ValueError(f"a file of {platform} has no column {id_column!r}")
+            frames.append(conform(raw if key else raw.withColumn("title_id", F.lit(None).cast("bigint")),
+                                  platform, key))
+    catalog = _union(frames)
+    return catalog if id_column is not None else number_titles(catalog, tables)
+
+
+def read_catalog_parquet(spark: SparkSession, paths: Mapping[str, str | Sequence[str]],
+                         id_column: str | None = None, tables: list[str] | None = None) -> DataFrame:
+    """Read Parquet catalogues per platform: splittable, and columns go by name.
+
+    ``id_column`` as in :func:`read_catalog_csv`. Files of a platform may differ in their columns.
+    """
+    frames = []
+    for platform, files in paths.items():
+        raw = spark.read.option("mergeSchema", "true").parquet(*_listed(files))
+        if id_column is None:
+            raw = raw.withColumn("title_id", F.lit(None).cast("bigint"))
+        frames.append(conform(raw, platform, id_column))
+    catalog = _union(frames)
+    return catalog if id_column is not None else number_titles(catalog, tables)
 
 
 def segment_filter(catalog: DataFrame, types: Sequence[str] = SEGMENT_TYPES) -> DataFrame:
@@ -131,35 +196,9 @@ def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Hash-partition a scan on ``key`` when it has fewer splits than the cluster has cores.
-
-    A large source already scans as many tasks and is returned unchanged (no
-    shuffle). A small file holding a single row group would otherwise
-    tokenise all its text in one task. The partitioning is by column only, so
-    a later join or aggregation on ``key`` reuses it, and AQE sizes the
-    partitions to the data whatever ``spark.sql.shuffle.partitions`` says.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:  # plans the scan only; runs no job
-        return df
-    return df.repartition(F.col(key))
-
-
-def title_from_text(text: Column) -> Column:
-    """The text before its first '.', at most 120 characters."""
-    return F.substring(F.substring_index(text, ".", 1), 1, 120)
-
-
-def genre_lists(spark: SparkSession, sf_dir: str, keys: DataFrame | None = None) -> DataFrame:
-    """``(k, listed_in)``: the part names of an order's lines, in line order, joined by ', '.
-
-    ``keys`` (a one-column frame of wanted order keys) drops the other orders
-    before the lines are grouped.
-    """
+def genre_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(k, listed_in)``: the part names of an order's lines, in line order, joined by ', '."""
     lines = _read(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber")
-    if keys is not None:
-        lines = lines.join(keys, lines.l_orderkey == keys[keys.columns[0]], "left_semi")
     parts = _read(spark, sf_dir, "part").select("p_partkey", "p_name")
     named = lines.join(parts, lines.l_partkey == parts.p_partkey)
     ordered = F.array_sort(F.collect_list(F.struct("l_linenumber", "p_name")))
@@ -170,21 +209,21 @@ def genre_lists(spark: SparkSession, sf_dir: str, keys: DataFrame | None = None)
 
 def catalog_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The test catalogue: one title per document, genres from the order with the same key."""
-    scan = _read(spark, sf_dir, "documents")
-    docs = spread(scan.select("doc_id", "text", "lang", "source"), "doc_id")
+    # The join on doc_id needs this partitioning anyway; asked for by column, AQE sizes it.
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source").repartition("doc_id")
     doc_id = F.col("doc_id")
     kind = (F.when(doc_id % 40 == 39, "Special")
             .when(doc_id % 3 == 0, "TV Show")
             .otherwise("Movie"))
     year = (F.when(doc_id % 50 == 49, F.lit("n/a"))
             .otherwise((F.lit(1998) + (doc_id * 7) % 25).cast("string")))
-    genres = genre_lists(spark, sf_dir, scan.select("doc_id"))
+    genres = genre_lists(spark, sf_dir)
     return (docs.join(genres, docs.doc_id == genres.k, "left")
             .select(
                 doc_id.alias("title_id"),
                 F.col("lang").alias("platform"),
                 kind.alias("type"),
-                title_from_text(F.col("text")).alias("title"),
+                F.substring_index("text", ".", 1).alias("title"),
                 F.col("listed_in"),
                 year.alias("release_year"),
                 F.col("source").alias("rating"),

@@ -14,7 +14,6 @@ from pyspark.sql.streaming import StreamingQuery
 
 from marquee.operators.candidates import candidate_success, prepare_candidates
 from marquee.plans.job import CatalogJob
-from marquee.plans.materialize import scratch_path
 from marquee.sources.candidates import CANDIDATE_SCHEMA
 
 
@@ -44,17 +43,18 @@ def candidate_success_stream(job: CatalogJob, candidates: DataFrame) -> DataFram
     return candidate_success(prepared, job.maps, job.stats, job.keys, job.stop_words)
 
 
-def start_candidate_scoring(job: CatalogJob, source: str, sink: str, fmt: str = "parquet",
-                            available_now: bool = False) -> StreamingQuery:
+def start_candidate_scoring(job: CatalogJob, source: str, sink: str, checkpoint: str,
+                            fmt: str = "parquet", available_now: bool = False) -> StreamingQuery:
     """Score candidate files from ``source`` into Parquet files under ``sink``.
 
-    The checkpoint lives in the shared folder, so a restarted query resumes
-    after the last committed batch.
+    ``checkpoint`` is a folder on shared storage that belongs to this pair of
+    source and sink: a restart with the same folder goes on after the last
+    committed batch, whatever the job object.
     """
     spark = job.catalog.sparkSession
     stream = candidate_success_stream(job, read_candidate_stream(spark, source, fmt))
     writer = (stream.writeStream.format("parquet").outputMode("append")
-              .option("checkpointLocation", scratch_path(spark, "candidate_stream_ckpt")))
+              .option("checkpointLocation", checkpoint))
     if available_now:
         writer = writer.trigger(availableNow=True)
     return writer.start(sink)

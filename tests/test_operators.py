@@ -126,13 +126,18 @@ def test_properties_on_test_tables(small_job):
 def test_closed_form_equals_union_form(small_job):
     union = {r.cand_id: (r.title, r.sucesso) for r in small_job.candidate_success_union().collect()}
     closed = {r.cand_id: (r.title, r.sucesso) for r in small_job.candidate_success().collect()}
-    assert union and all(closed[k] == v for k, v in union.items())
+    assert len(union) == 40 and union == closed
 
 
 def test_fused_lists_equal_separate_lists(small_job):
-    fused = sorted(tuple(r) for r in small_job.rank_weights().collect())
-    separate = sorted(tuple(r) for r in small_job.rank_weights_separately().collect())
-    assert fused == separate
+    fused = sorted(tuple(r) for r in small_job.lists.filter("list != 'segment'").collect())
+    separate = []
+    for name, df in (("description", small_job.top_desc_words()), ("genre", small_job.top_genres()),
+                     ("title", small_job.top_title_words())):
+        separate += [(r[0], r[1], name, *r[2:]) for r in df.collect()]
+    assert fused == sorted(separate)
+    own = {(r.platform, r.type): r["count"] for r in small_job.lists.filter("list = 'segment'").collect()}
+    assert own == {(r.platform, r.type): r.n for r in small_job.segment_sizes().collect()}
 
 
 def test_segmented_equals_one_segment_alone(spark, small_job):
@@ -159,12 +164,10 @@ def test_global_top_words_is_a_top_k_sort(spark, small_job):
     assert "TakeOrderedAndProject" in plan and glob.count() == 10
 
 
-def test_shuffle_join_fallbacks_give_the_same_result(spark, small_job, monkeypatch):
-    """Beyond the broadcast bounds the per-segment tables are joined with a shuffle."""
-    import marquee.plans.job as job_module
+def test_shuffle_joins_give_the_same_result(spark, small_job):
+    """Per-segment tables over the broadcast threshold are joined with a shuffle."""
     expected_top = sorted(tuple(r) for r in small_job.top_titles().collect())
     expected_cands = sorted(tuple(r) for r in small_job.candidate_success().collect())
-    monkeypatch.setattr(job_module, "BROADCAST_ROWS", 0)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         job = CatalogJob(catalog_from_tables(spark, SMALL), candidates_from_tables(spark, SMALL))
@@ -217,3 +220,58 @@ def test_conform_fills_missing_columns_with_null(spark):
     assert r.release_year == "2012" and r.listed_in is None and r.description is None
     points = CatalogJob(cat).scored.select("points_criterion_1", "points_criterion_3").first()
     assert tuple(points) == (0, 15)
+
+
+# --- parameters --------------------------------------------------------------------
+
+def test_weights_follow_the_list_sizes_and_steps(spark):
+    rows = [row(1, desc=" ".join(f"w{c}x " * (20 - k) for k, c in enumerate("abcdefghijkl")))]
+    job = CatalogJob(catalog(spark, rows), top_n=(12, 3, 2), weight_steps=(2, 5, 1))
+    weights = [r.weight for r in job.rank_weights().orderBy(F.desc("weight")).collect() if r.list == "description"]
+    assert weights == list(range(24, 0, -2))
+
+
+def test_year_bands_and_target_are_parameters(spark):
+    rows = [row(1, year="1950"), row(2, year="1990"), row(3, year="2020")]
+    job = CatalogJob(catalog(spark, rows), year_bands=[(1940, 1959, 30), (1980, 1999, 15)], target=(0.0, 10.0))
+    assert collect_map(job.scaled, "title_id", "sucesso") == {1: 10.0, 2: 5.0, 3: 0.0}
+    assert collect_map(job.criterion("points_criterion_3"), "title_id", "points_criterion_3") == {1: 30, 2: 15, 3: 0}
+
+
+def test_types_and_stop_list_are_parameters(spark):
+    rows = [row(1, kind="Special", desc="alpha beta"), row(2, kind="Movie", desc="alpha")]
+    job = CatalogJob(catalog(spark, rows), types=("Special",), stop_words=["beta"])
+    assert [(r.type, r.n) for r in job.segment_sizes().collect()] == [("Special", 1)]
+    assert [r.word for r in job.top_desc_words().collect()] == ["alpha"]
+
+
+def test_other_keys_and_no_keys(spark):
+    rows = [row(1, desc="love love"), row(2, desc="love"), row(3, desc="war", kind="TV Show")]
+    by_rating = CatalogJob(catalog(spark, rows), keys=("platform", "rating"))
+    top = by_rating.top_titles()
+    assert top.columns.count("rating") == 1 and [r.title_id for r in top.orderBy(F.desc("total_points")).collect()][0] == 1
+    whole = CatalogJob(catalog(spark, rows), candidates_from_rows(spark, [
+        {"cand_id": 1, "platform": "q", "type": "Movie", "description": "love love"}]), keys=())
+    # love is ranked first (10) and war second (9): 20, 10 and 9 points
+    assert collect_map(whole.scaled, "title_id", "sucesso") == {1: 95.0, 2: 63.18, 3: 60.0}
+    assert [tuple(r) for r in whole.segment_stats().collect()] == [(9, 20)]
+    assert collect_map(whole.candidate_success(), "cand_id", "sucesso") == {1: 95.0}
+    assert whole.top_titles().columns[0] == "title_id"
+
+
+# --- best titles carry their own text ------------------------------------------------
+
+def test_repeated_ids_keep_their_own_descriptions(spark):
+    rows = [row(7, title=f"t{k}", desc=f"text number {k}") for k in range(4)] + [row(None, title="n", desc="none")]
+    top = CatalogJob(catalog(spark, rows)).top_titles().collect()
+    assert sorted((r.title, r.description) for r in top) == sorted(
+        [(f"t{k}", f"text number {k}") for k in range(4)] + [("n", "none")])
+
+
+def test_closed_job_deletes_its_tables(spark):
+    import os
+    with CatalogJob(catalog(spark, [row(1, desc="love")])) as job:
+        assert job.scaled.count() == 1
+        folders = [p.replace("file:", "") for p in job.tables]
+        assert folders and all(os.path.isdir(p) for p in folders)
+    assert not any(os.path.exists(p) for p in folders)

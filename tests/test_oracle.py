@@ -8,7 +8,8 @@ import os
 import pytest
 
 from conftest import SMOKE
-import __spark_entry__ as entry
+from marquee.plans.oracle import oracle_sql
+from marquee.plans.queries import QUERIES
 from oracle_compare import compare, duck
 
 SF = os.environ.get("MARQUEE_ORACLE_SF", SMOKE)
@@ -20,12 +21,12 @@ def con():
 
 
 def test_every_query_has_oracle_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, con, name):
-    r = compare(spark, SF, name, entry.queries()[name], entry.oracle_sql()[name], con)
+    r = compare(spark, SF, name, QUERIES[name], oracle_sql()[name], con)
     assert r["cols_match"], r
     assert r["spark_rows"] == r["duck_rows"], r
     assert r["values_match"], r

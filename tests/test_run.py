@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from conftest import SMOKE
 from marquee.plans.job import CatalogJob
 from marquee.plans.materialize import scratch_path
-from marquee.plans.run import run_from_csv
+from marquee.__main__ import job_options, parser
+from marquee.plans.run import run_from_csv, run_from_files
 from marquee.sources.candidates import candidates_from_tables
 from marquee.sources.catalog import catalog_from_tables
 from marquee.sources.sinks import CSV_WRITE_OPTIONS, read_top_titles_csv
@@ -37,3 +38,27 @@ def test_run_from_csv_equals_the_job_on_tables(spark):
     assert sorted((int(r.cand_id), float(r.sucesso)) for r in got_c.collect()) == \
         sorted((r.cand_id, r.sucesso) for r in reference.candidate_success().collect())
     assert os.path.isdir(f"{out}/reports".replace("file:", ""))
+
+
+def test_run_from_parquet_with_parameters(spark):
+    src, out = scratch_path(spark, "run_pq"), scratch_path(spark, "run_pq_out")
+    cat = catalog_from_tables(spark, SMOKE).filter("platform = 'en'")
+    cat.drop("platform").write.parquet(src)
+    run_from_files(spark, {"en": src}, out, fmt="parquet", id_column="title_id", top_titles_n=2, top_n=(3, 2, 1),
+                   types=("Movie",))
+    got = read_top_titles_csv(spark, f"{out}/top_titles")
+    expected = CatalogJob(cat, top_titles_n=2, top_n=(3, 2, 1), types=("Movie",)).top_titles()
+    assert sorted(got.select(*expected.columns).collect()) == sorted(expected.collect())
+
+
+def test_command_line_options_reach_the_job(spark):
+    path = scratch_path(spark, "stops")
+    spark.createDataFrame([("foo",), ("bar",)], "value string").coalesce(1).write.text(path)
+    args = parser().parse_args(["--catalog", "p=/x", "--out", "/y", "--stop-words", path, "--types", "Movie",
+                                "--top-n", "12,6,3", "--weight-steps", "2,5,1", "--year-bands", "[[1990, 1999, 7]]",
+                                "--target", "[0, 1]", "--top-titles", "4"])
+    options = job_options(spark, args)
+    assert sorted(options.pop("stop_words")) == ["bar", "foo"]
+    assert options == {"types": ["Movie"], "top_n": (12, 6, 3), "weight_steps": (2, 5, 1),
+                       "year_bands": [(1990, 1999, 7)], "target": (0, 1), "top_titles_n": 4}
+    assert job_options(spark, parser().parse_args(["--catalog", "p=/x", "--out", "/y"])) == {}

@@ -3,13 +3,14 @@
 import os
 import tempfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SMOKE
 from marquee.operators.reports import RULE
 from marquee.plans.job import CatalogJob
-from marquee.plans.materialize import scratch_path, shared_dir
-from marquee.sources.catalog import catalog_from_tables, read_catalog_csv
+from marquee.plans.materialize import is_local, scratch_path, shared_dir
+from marquee.sources.catalog import catalog_from_tables, read_catalog_csv, read_catalog_parquet
 from marquee.sources.sinks import read_top_titles_csv, write_reports, write_top_titles_csv
 
 TRICKY = ['He said "hi", left', "line one\nline two", "  padded  ", "a,b,,c", "plain", "é ñ 日本"]
@@ -21,6 +22,15 @@ def test_shared_dir_comes_from_the_session(spark):
     assert scratch_path(spark, "x").startswith(d.rstrip("/") + "/marquee/x-")
 
 
+def test_cluster_without_shared_folder_is_refused(spark, monkeypatch):
+    from types import SimpleNamespace
+    sc = SimpleNamespace(getCheckpointDir=lambda: None, master="spark://host:7077")
+    session = SimpleNamespace(sparkContext=sc, conf=SimpleNamespace(get=lambda key, default: default))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_dir(session)
+    assert is_local("local[8]") and not is_local("local-cluster[3,2,1024]")
+
+
 def test_top_titles_csv_round_trip(spark):
     job = CatalogJob(catalog_from_tables(spark, SMOKE))
     top = job.top_titles()
@@ -66,6 +76,54 @@ def test_catalog_csv_source_parses_quotes_and_newlines(spark):
     assert len({r.title_id for r in got}) == len(got)
 
 
+def _csv(df, path):
+    df.coalesce(1).write.option("header", True).csv(path)
+
+
+def test_platforms_without_ids_get_one_row_per_title(spark):
+    d = tempfile.mkdtemp(prefix="marquee-csv-")
+    paths = {}
+    for p in "abc":
+        rows = [("Movie", f"{p}{k}", f"text of {p}{k}") for k in range(3)]
+        _csv(spark.createDataFrame(rows, "type string, title string, description string"), f"{d}/{p}")
+        paths[p] = f"{d}/{p}"
+    catalog = read_catalog_csv(spark, paths)
+    assert len({r.title_id for r in catalog.collect()}) == 9
+    top = CatalogJob(catalog).top_titles().collect()
+    assert len(top) == 9 and all(r.description == f"text of {r.title}" and r.title[0] == r.platform for r in top)
+
+
+def test_columns_go_by_name_in_every_file_of_a_platform(spark):
+    d = tempfile.mkdtemp(prefix="marquee-csv-")
+    _csv(spark.createDataFrame([("s1", "Movie", "one")], "show_id string, type string, title string"), f"{d}/1")
+    _csv(spark.createDataFrame([("two", "s2", "Movie")], "title string, show_id string, type string"), f"{d}/2")
+    got = read_catalog_csv(spark, {"p": [f"{d}/1", f"{d}/2"]})
+    assert sorted((r.type, r.title) for r in got.collect()) == [("Movie", "one"), ("Movie", "two")]
+    with pytest.raises(Exception, match="(?i)header"):
+        read_catalog_csv(spark, {"p": [f"{d}/1", f"{d}/2"]}, one_header=True).collect()
+
+
+def test_records_on_one_line_can_be_split(spark):
+    d = tempfile.mkdtemp(prefix="marquee-csv-")
+    rows = [(k, "Movie", f"title {k}") for k in range(2000)]
+    _csv(spark.createDataFrame(rows, "show_id long, type string, title string"), f"{d}/1")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8192")
+    try:
+        got = read_catalog_csv(spark, {"p": f"{d}/1"}, "show_id", multiline=False)
+        assert got.rdd.getNumPartitions() > 1 and got.agg(F.count_distinct("title_id")).first()[0] == 2000
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_parquet_catalogues(spark):
+    d = tempfile.mkdtemp(prefix="marquee-pq-")
+    spark.createDataFrame([("Movie", "a", 2012.0)], "type string, title string, release_year double").write.parquet(f"{d}/a")
+    spark.createDataFrame([("b", "TV Show", 1)], "title string, type string, extra int").write.parquet(f"{d}/b")
+    got = {r.platform: r for r in read_catalog_parquet(spark, {"a": f"{d}/a", "b": f"{d}/b"}).collect()}
+    assert got["a"].release_year == "2012" and got["b"].type == "TV Show"
+    assert got["a"].title_id != got["b"].title_id
+
+
 def test_reports_written_in_order(spark):
     job = CatalogJob(catalog_from_tables(spark, SMOKE))
     lines = job.report_lines()

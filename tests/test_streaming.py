@@ -17,7 +17,7 @@ def test_stream_equals_batch(spark):
     cands.filter(F.col("cand_id") % 2 == 0).write.parquet(source + "/batch=0")
     cands.filter(F.col("cand_id") % 2 == 1).write.parquet(source + "/batch=1")
     sink = scratch_path(spark, "cand_sink")
-    query = start_candidate_scoring(job, source + "/*", sink, available_now=True)
+    query = start_candidate_scoring(job, source + "/*", sink, scratch_path(spark, "ckpt"), available_now=True)
     query.awaitTermination(300)
     streamed = sorted(tuple(r) for r in spark.read.parquet(sink).collect())
     batch = sorted(tuple(r) for r in job.candidate_success().collect())
@@ -31,8 +31,20 @@ def test_csv_candidate_stream(spark):
     source = scratch_path(spark, "cand_csv_source")
     cands.write.options(**CSV_WRITE_OPTIONS).csv(source)
     sink = scratch_path(spark, "cand_csv_sink")
-    query = start_candidate_scoring(job, source, sink, fmt="csv", available_now=True)
+    query = start_candidate_scoring(job, source, sink, scratch_path(spark, "ckpt"), fmt="csv", available_now=True)
     query.awaitTermination(300)
     streamed = sorted(tuple(r) for r in spark.read.parquet(sink).collect())
     batch = sorted(tuple(r) for r in job.candidate_success().collect())
     assert streamed == batch
+
+
+def test_restarted_stream_finds_new_candidates(spark):
+    cands = candidates_from_tables(spark, SMOKE)
+    job = CatalogJob(catalog_from_tables(spark, SMOKE), cands)
+    source, sink, ckpt = (scratch_path(spark, f"restart_{x}") for x in ("source", "sink", "ckpt"))
+    for part in (0, 1):
+        cands.filter(F.col("cand_id") % 2 == part).write.parquet(f"{source}/batch={part}")
+        query = start_candidate_scoring(job, source + "/*", sink, ckpt, available_now=True)
+        query.awaitTermination(300)
+    streamed = sorted(tuple(r) for r in spark.read.parquet(sink).collect())
+    assert streamed == sorted(tuple(r) for r in job.candidate_success().collect())
