@@ -1,0 +1,59 @@
+import os
+
+import pytest
+
+SMOKE = "/root/testdata/sf0.001"
+SMALL = "/root/testdata/sf0.01"
+
+
+@pytest.fixture(scope="session", autouse=True)
+def shipped(spark):
+    from marquee.llm.shipping import ship
+    ship(spark)
+
+
+@pytest.fixture(scope="session")
+def vocabulary():
+    public_tokenizers = pytest.importorskip("public_tokenizers")
+    return public_tokenizers.path
+
+
+@pytest.fixture(scope="session")
+def tik(vocabulary):
+    """The reference encoder of the rank file."""
+    import public_tokenizers
+    import tiktoken
+
+    from marquee.llm.bpe import read_ranks
+    return tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN,
+                             mergeable_ranks=read_ranks(vocabulary("byte_bpe_50k.tiktoken")), special_tokens={})
+
+
+@pytest.fixture(scope="session")
+def documents(spark):
+    """``[(doc_id, text), ...]`` of the smallest table, and the frame."""
+    frame = spark.read.parquet(f"{SMOKE}/documents.parquet")
+    return sorted((r.doc_id, r.text) for r in frame.collect()), frame
+
+
+@pytest.fixture(scope="session")
+def odd_rows(spark):
+    """Nulls, empty and blank texts, ties, repeated rows, a long text, and columns with clashing names."""
+    long = " ".join(f"word{k % 997}" for k in range(60_000))
+    rows = [(1, "alpha beta  gamma delta epsilon zeta"), (2, "alpha beta gamma\tdelta epsilon zeta"), (3, None), (4, ""),
+            (5, " \n\t"), (6, "one"), (6, "one"), (7, "one"), (None, "alpha beta gamma delta epsilon zeta"),
+            (None, None), (8, long), (9, long), (10, "ünïcode text \U0001F600 with ß and spaces"), (11, "a\n\nb\n")]
+    schema = ("doc_id long, text string, kept string, group_size string, x int, anchor int, host string, "
+              "source string, lang string, n_chars long")
+    return spark.createDataFrame([(i, t, "k", "g", 1, 2, "h", None if i == 3 else "s", "en", 5) for i, t in rows], schema)
+
+
+def empty_of(frame):
+    return frame.limit(0)
+
+
+def collected(frame, *columns):
+    return sorted((tuple(r[c] for c in columns) for r in frame.collect()), key=repr)
+
+
+os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
