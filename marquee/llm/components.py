@@ -3,7 +3,7 @@
 Each round links every node's neighbours to the least node it sees; rounds
 are logarithmic in practice. The least neighbour of a node is a partial
 aggregation and reaches the edges by a join, so a node of very many edges is
-never gathered in one task. Rounds are written to the shared folder.
+never gathered in one task. Rounds are written to the shared folder, and only the last one stays there.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marquee.plans.materialize import materialize
+from marquee.plans.materialize import materialize, remove_tables
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -35,11 +35,14 @@ def components(edges: DataFrame, u: str, v: str, name: str = "stars") -> DataFra
 
     Loops and repeated edges do not matter; null ends are dropped.
     """
+    spark, paths = edges.sparkSession, []
     now = materialize(edges.select(F.col(u).alias("u"), F.col(v).alias("v"))
-                      .filter("u is not null and v is not null and u != v").distinct(), name)
+                      .filter("u is not null and v is not null and u != v").distinct(), name, paths)
     before = None
     while True:
-        now = materialize(_small_star(_large_star(now)).distinct(), name)
+        now = materialize(_small_star(_large_star(now)).distinct(), name, paths)
+        remove_tables(spark, paths[:-1])  # nothing reads the round before any more
+        paths = paths[-1:]
         state = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if state == before:
             return now.select(F.col("u").alias("node"), F.col("v").alias("root")).union(
