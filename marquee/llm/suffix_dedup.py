@@ -41,6 +41,7 @@ WINDOW = 100
 GRAM = 24
 ANCHOR_SEGMENTS = 4096
 SHARD_BYTES = 1 << 22
+CORE_STEP = 8
 # One more than the largest place that a hash is tagged with.
 _PLACES = 1 << 21
 _NULL_ID = -(1 << 63)
@@ -259,6 +260,45 @@ def pieces(joined: DataFrame) -> DataFrame:
     return joined.select("doc_id", "packed", "spans").mapInArrow(run, PIECES)
 
 
+def able_ranges(hashing: RollingHash, anchor: np.ndarray, data: list[bytes], window: int = WINDOW,
+                gram: int = GRAM, step: int = CORE_STEP) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``(segment, start, end)``: the parts of a shard's segments whose windows can have an equal one.
+
+    The windows of a segment are taken ``step`` at a time by their distance to
+    the anchor. Such a few share a core of nearly a window; equal windows are at the same
+    distance and share the core. Where no other segment has that core, no window is equal to another.
+    """
+    size = np.fromiter(map(len, data), np.int64, len(data))
+    begin = np.cumsum(size) - size
+    flat = np.frombuffer(b"".join(data), np.uint8)
+    owner = np.repeat(np.arange(len(data)), size)
+    prefix = hashing.prefix(flat)
+    place = np.arange(len(flat) - gram + 1)
+    here = np.flatnonzero((hashing.ranges(prefix, place, place + gram) == anchor.view(np.uint64)[owner[place]])
+                          & (place + gram <= (begin + size)[owner[place]]))
+    _, first = np.unique(owner[here], return_index=True)
+    at = here[first] - begin  # the anchor is its gram's first place in the segment
+    far, near = at // step, np.maximum(at - (size - window), 0) // step
+    count = far - near + 1
+    who = np.repeat(np.arange(len(data)), count)
+    block = ragged(near, count)
+    # The core lies in every window of the block, so it lies in the segment.
+    core = begin[who] + at[who] - step * block
+    key = mix64(hashing.ranges(prefix, core, core + window - step + 1)
+                ^ mix64(anchor.view(np.uint64)[who] + block.astype(np.uint64)))
+    _, back, often = np.unique(key, return_inverse=True, return_counts=True)
+    able = often[back] > 1
+    who, block = who[able], block[able]
+    if len(who) == 0:
+        return who, who, who
+    fresh = np.append(True, (who[1:] != who[:-1]) | (block[1:] != block[:-1] + 1))
+    one = np.flatnonzero(fresh)
+    last = np.append(one[1:], len(who)) - 1
+    own = who[one]
+    return (own, np.maximum(at[own] - step * block[last] - step + 1, 0),
+            np.minimum(at[own] - step * block[one] + window, size[own]))
+
+
 def shard_repeats(doc: np.ndarray, start: np.ndarray, data: list[bytes], window: int = WINDOW):
     """``(doc, start, end)`` of the ranges of a shard's segments that are covered by earlier equal windows."""
     order = np.lexsort((start, doc))
@@ -300,10 +340,11 @@ def shards(edges: DataFrame) -> DataFrame:
     """``(doc_id, start, end)`` of the covered ranges of edge segments, shard by shard of whole anchors."""
 
     def solve(held):
-        doc = np.concatenate([b.column(1).to_numpy() for b in held])
-        start = np.concatenate([b.column(2).to_numpy() for b in held])
+        anchor, doc, start = (np.concatenate([b.column(k).to_numpy() for b in held]) for k in range(3))
         data = [x for b in held for x in b.column(3).to_pylist()]
-        a, b, c = shard_repeats(doc, start, data)
+        own, low, high = able_ranges(RollingHash(), anchor, data)
+        data = [data[k][a:b] for k, a, b in zip(own.tolist(), low.tolist(), high.tolist())]
+        a, b, c = shard_repeats(doc[own], start[own] + low, data)
         return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b.astype(np.int32)), pa.array(c.astype(np.int32))],
                                           ["doc_id", "start", "end"])
 
