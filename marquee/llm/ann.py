@@ -43,6 +43,7 @@ SAMPLE_QUERIES = 64
 MOST_PROBES = 4096
 BLOCK_VECTORS = 4096
 BLOCK_QUERIES = 1 << 16
+BEST_ROWS = 1 << 18
 # Kept per cell beyond k: rounding of the block product must not push out a tie.
 SPARE = 4
 _SEED = 20240229
@@ -151,8 +152,48 @@ def probe_rows(queries: DataFrame, dimension: int, cosine: float, m: int, tables
     return queries.select("k1", "k2", "vector").mapInArrow(run, "cell bigint, k1 bigint, k2 bigint, vector binary")
 
 
+class Best:
+    """The best ``keep`` candidates of each query that a task has met, before they are shuffled.
+
+    Memory is bounded: over ``BEST_ROWS`` rows are cut to the best, and handed on if that does not make room.
+    """
+
+    def __init__(self, keep: int):
+        self.keep, self.held, self.n = keep, [], 0
+
+    def add(self, query: np.ndarray, candidate: np.ndarray, score: np.ndarray):
+        self.held.append((query, candidate, score))
+        self.n += len(score)
+        if self.n > BEST_ROWS:
+            self._cut()
+            if self.n > BEST_ROWS // 2:
+                yield from self.flush()
+
+    def _cut(self) -> None:
+        query, candidate, score = map(np.concatenate, zip(*self.held))
+        order = np.lexsort((-score, candidate[:, 1], candidate[:, 0], query[:, 1], query[:, 0]))
+        query, candidate, score = query[order], candidate[order], score[order]
+        own = np.append(True, (query[1:] != query[:-1]).any(axis=1) | (candidate[1:] != candidate[:-1]).any(axis=1))
+        query, candidate, score = query[own], candidate[own], score[own]
+        order = np.lexsort((-score, query[:, 1], query[:, 0]))
+        query, candidate, score = query[order], candidate[order], score[order]
+        first = np.append(True, (query[1:] != query[:-1]).any(axis=1))
+        rank = np.arange(len(score)) - np.maximum.accumulate(np.where(first, np.arange(len(score)), 0))
+        top = rank < self.keep
+        self.held, self.n = [(query[top], candidate[top], score[top])], int(top.sum())
+
+    def flush(self):
+        if self.n:
+            self._cut()
+            query, candidate, score = self.held[0]
+            columns = [query[:, 0], query[:, 1], candidate[:, 0], candidate[:, 1], score]
+            self.held, self.n = [], 0
+            yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c)) for c in columns],
+                                             ["q1", "q2", "c1", "c2", "score"])
+
+
 def meet(index: DataFrame, probing: DataFrame, query_parts: int, dimension: int, keep: int) -> DataFrame:
-    """``(q1, q2, c1, c2, score)``: in each cell (block), every query's best ``keep`` vectors."""
+    """``(q1, q2, c1, c2, score)``: every query's best ``keep`` vectors of the cells (blocks) that a task has."""
     sizes = materialize(index.groupBy("cell").agg(F.count(F.lit(1)).alias("n")), "cells").select(
         F.col("cell").alias("s_cell"), F.ceil(F.col("n") / BLOCK_VECTORS).cast("int").alias("blocks"))
     part = F.explode(F.sequence(F.lit(0), F.lit(query_parts - 1))).alias("part")
@@ -168,6 +209,7 @@ def meet(index: DataFrame, probing: DataFrame, query_parts: int, dimension: int,
 
     def run(batches):
         now, ids, vectors = None, [], []
+        best = Best(keep)
         for batch in batches:
             n = batch.num_rows
             if n == 0:
@@ -185,20 +227,18 @@ def meet(index: DataFrame, probing: DataFrame, query_parts: int, dimension: int,
                 elif vectors:
                     if len(vectors) > 1:
                         ids, vectors = [np.concatenate(ids)], [np.concatenate(vectors)]
-                    yield from best(rows_, ids[0], vectors[0])
+                    yield from meet_cell(best, rows_, ids[0], vectors[0])
                 at = end
+        yield from best.flush()
 
-    def best(queries, ids, vectors):
-        q1, q2 = queries.column(4).to_numpy(), queries.column(5).to_numpy()
-        for lo in range(0, len(q1), 256):
+    def meet_cell(best, queries, ids, vectors):
+        who = np.stack([queries.column(4).to_numpy(), queries.column(5).to_numpy()], axis=1)
+        for lo in range(0, len(who), 256):
             scores = _matrix(queries.column(6).slice(lo, 256), dimension) @ vectors.T
             n = min(keep, scores.shape[1])
             top = np.argpartition(-scores, n - 1, axis=1)[:, :n]
-            found = ids[top.ravel()]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.repeat(q1[lo:lo + 256], n)), pa.array(np.repeat(q2[lo:lo + 256], n)),
-                 pa.array(np.ascontiguousarray(found[:, 0])), pa.array(np.ascontiguousarray(found[:, 1])),
-                 pa.array(np.take_along_axis(scores, top, axis=1).ravel())], ["q1", "q2", "c1", "c2", "score"])
+            yield from best.add(np.repeat(who[lo:lo + 256], n, axis=0), ids[top.ravel()],
+                                np.take_along_axis(scores, top, axis=1).ravel())
 
     return rows.mapInArrow(run, "q1 bigint, q2 bigint, c1 bigint, c2 bigint, score double")
 
