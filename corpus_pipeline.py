@@ -26,7 +26,8 @@ from marquee.plans.materialize import materialize
 def _those_kept(docs: DataFrame, decisions: DataFrame) -> DataFrame:
     """The documents whose id has a kept row in ``decisions``."""
     kept = materialize(decisions.filter("kept").select(F.col("doc_id").alias("__kept_id")).distinct(), "kept_ids")
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("__kept_id")), "left_semi")
+    # Merged at every size: a plan that depends on the number of ids would move the texts from some size on only.
+    return docs.join(kept.hint("merge"), F.col("doc_id").eqNullSafe(F.col("__kept_id")), "left_semi")
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
