@@ -14,10 +14,11 @@ not; cells are visited in the order of these probabilities until their sum
 reaches what the table needs for the ``RECALL`` of all tables together. c is fitted: the cosine of the
 k-th neighbour of a bounded sample of queries.
 
-**Reranking.** In a cell, probing queries meet its vectors, and the best few by exact
-inner product go on. Candidates of all cells and tables are merged and ranked
-by the exact score. Queries that got fewer than k candidates, or whose probes
-exceed ``MOST_PROBES``, are searched again in one cell that holds all vectors: the exact way.
+**Reranking.** In a cell, probing queries meet its vectors. Those within rounding of the
+last place get their exact score, and every cut (cell, task, merge of cells and tables)
+is by that score and, among ties, by the least id of a vector. Queries that got fewer than
+k candidates, or whose probes exceed ``MOST_PROBES``, are searched again in one cell that
+holds all vectors: the exact way.
 
 Equal vectors are searched once: of a vector's ids only the k + 1 smallest
 can be among a query's k nearest. Cells are cut into blocks of bounded size.
@@ -44,8 +45,8 @@ MOST_PROBES = 4096
 BLOCK_VECTORS = 4096
 BLOCK_QUERIES = 1 << 16
 BEST_ROWS = 1 << 18
-# Kept per cell beyond k: rounding of the block product must not push out a tie.
-SPARE = 4
+# Pairs that are scored exactly at a time.
+PAIRS = 1 << 14
 _SEED = 20240229
 
 
@@ -104,11 +105,22 @@ def _matrix(column, dimension: int) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.float64).reshape(-1, dimension)
 
 
-CELL = "cell bigint, block int, part int, kind int, k1 bigint, k2 bigint, vector binary"
+def exact_scores(a: np.ndarray, b: np.ndarray, of_a: np.ndarray, of_b: np.ndarray) -> np.ndarray:
+    """Inner products of rows of ``a`` and ``b``: a pair has the same bits wherever it meets, and no negative zero."""
+    out = np.empty(len(of_a))
+    for lo in range(0, len(out), PAIRS):
+        out[lo:lo + PAIRS] = (a[of_a[lo:lo + PAIRS]] * b[of_b[lo:lo + PAIRS]]).sum(axis=1)
+    return out + 0.0
+
+
+def ranks(first: np.ndarray) -> np.ndarray:
+    """The place of each row in its run; ``first`` marks where runs start."""
+    at = np.arange(len(first))
+    return at - np.maximum.accumulate(np.where(first, at, 0))
 
 
 def index_rows(classes: DataFrame, dimension: int, largest: float, m: int, tables: int) -> DataFrame:
-    """``(cell, k1, k2, vector)`` of every class in every table."""
+    """``(cell, k1, k2, vector, least)`` of every class in every table."""
 
     def run(batches):
         for batch in batches:
@@ -119,9 +131,11 @@ def index_rows(classes: DataFrame, dimension: int, largest: float, m: int, table
             for table in range(tables):
                 a, b = hash_functions(dimension, m, table)
                 cells = cell_number(table, np.floor((unit @ a.T + b) / WIDTH))
-                yield pa.RecordBatch.from_arrays([pa.array(cells), *batch.columns], ["cell", "k1", "k2", "vector"])
+                yield pa.RecordBatch.from_arrays([pa.array(cells), *batch.columns],
+                                                 ["cell", "k1", "k2", "vector", "least"])
 
-    return classes.select("k1", "k2", "vector").mapInArrow(run, "cell bigint, k1 bigint, k2 bigint, vector binary")
+    return classes.select("k1", "k2", "vector", F.array_min("ids").alias("least")).mapInArrow(
+        run, "cell bigint, k1 bigint, k2 bigint, vector binary, least bigint")
 
 
 def probe_rows(queries: DataFrame, dimension: int, cosine: float, m: int, tables: int) -> DataFrame:
@@ -155,7 +169,7 @@ def probe_rows(queries: DataFrame, dimension: int, cosine: float, m: int, tables
 class Best:
     """The best ``keep`` candidates of each query that a task has met, before they are shuffled.
 
-    Memory is bounded: over ``BEST_ROWS`` rows are cut to the best, and handed on if that does not make room.
+    A candidate is ``(c1, c2, least id)``; the least id breaks ties. Memory is bounded: over ``BEST_ROWS`` rows are cut to the best, and handed on if that does not make room.
     """
 
     def __init__(self, keep: int):
@@ -171,39 +185,36 @@ class Best:
 
     def _cut(self) -> None:
         query, candidate, score = map(np.concatenate, zip(*self.held))
-        order = np.lexsort((-score, candidate[:, 1], candidate[:, 0], query[:, 1], query[:, 0]))
+        order = np.lexsort((candidate[:, 1], candidate[:, 0], candidate[:, 2], -score, query[:, 1], query[:, 0]))
         query, candidate, score = query[order], candidate[order], score[order]
+        # A candidate has one score, so what was met twice stands together.
         own = np.append(True, (query[1:] != query[:-1]).any(axis=1) | (candidate[1:] != candidate[:-1]).any(axis=1))
         query, candidate, score = query[own], candidate[own], score[own]
-        order = np.lexsort((-score, query[:, 1], query[:, 0]))
-        query, candidate, score = query[order], candidate[order], score[order]
-        first = np.append(True, (query[1:] != query[:-1]).any(axis=1))
-        rank = np.arange(len(score)) - np.maximum.accumulate(np.where(first, np.arange(len(score)), 0))
-        top = rank < self.keep
+        top = ranks(np.append(True, (query[1:] != query[:-1]).any(axis=1))) < self.keep
         self.held, self.n = [(query[top], candidate[top], score[top])], int(top.sum())
 
     def flush(self):
         if self.n:
             self._cut()
             query, candidate, score = self.held[0]
-            columns = [query[:, 0], query[:, 1], candidate[:, 0], candidate[:, 1], score]
+            columns = [query[:, 0], query[:, 1], candidate[:, 0], candidate[:, 1], candidate[:, 2], score]
             self.held, self.n = [], 0
             yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c)) for c in columns],
-                                             ["q1", "q2", "c1", "c2", "score"])
+                                             ["q1", "q2", "c1", "c2", "least", "score"])
 
 
 def meet(index: DataFrame, probing: DataFrame, query_parts: int, dimension: int, keep: int) -> DataFrame:
-    """``(q1, q2, c1, c2, score)``: every query's best ``keep`` vectors of the cells (blocks) that a task has."""
+    """``(q1, q2, c1, c2, least, score)``: every query's best ``keep`` vectors of the cells (blocks) that a task has."""
     sizes = materialize(index.groupBy("cell").agg(F.count(F.lit(1)).alias("n")), "cells").select(
         F.col("cell").alias("s_cell"), F.ceil(F.col("n") / BLOCK_VECTORS).cast("int").alias("blocks"))
     part = F.explode(F.sequence(F.lit(0), F.lit(query_parts - 1))).alias("part")
     left = index.join(sizes, index.cell == sizes.s_cell).select(
         "cell", F.pmod(F.col("k2"), F.col("blocks")).cast("int").alias("block"), part, F.lit(0).alias("kind"),
-        "k1", "k2", "vector")
+        "k1", "k2", "vector", "least")
     right = probing.join(sizes, probing.cell == sizes.s_cell).select(
         "cell", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"),
         F.pmod(F.col("k2"), F.lit(query_parts)).cast("int").alias("part"), F.lit(1).alias("kind"),
-        "k1", "k2", "vector")
+        "k1", "k2", "vector", F.lit(0).cast("bigint").alias("least"))
     key = ["cell", "block", "part"]
     rows = left.union(right).repartition(*key).sortWithinPartitions(*key, "kind", "k1", "k2")
 
@@ -222,7 +233,7 @@ def meet(index: DataFrame, probing: DataFrame, query_parts: int, dimension: int,
                 if here != now:
                     now, ids, vectors = here, [], []
                 if four[at, 3] == 0:
-                    ids.append(np.stack([rows_.column(4).to_numpy(), rows_.column(5).to_numpy()], axis=1))
+                    ids.append(np.stack([rows_.column(k).to_numpy() for k in (4, 5, 7)], axis=1))
                     vectors.append(_matrix(rows_.column(6), dimension))
                 elif vectors:
                     if len(vectors) > 1:
@@ -233,14 +244,21 @@ def meet(index: DataFrame, probing: DataFrame, query_parts: int, dimension: int,
 
     def meet_cell(best, queries, ids, vectors):
         who = np.stack([queries.column(4).to_numpy(), queries.column(5).to_numpy()], axis=1)
+        n = min(keep, len(vectors))
+        # Twice the most by which a block product and an exact score can differ, for a query of length 1.
+        rounding = 4 * (dimension + 2) * np.finfo(float).eps * np.sqrt((vectors * vectors).sum(axis=1).max())
         for lo in range(0, len(who), 256):
-            scores = _matrix(queries.column(6).slice(lo, 256), dimension) @ vectors.T
-            n = min(keep, scores.shape[1])
-            top = np.argpartition(-scores, n - 1, axis=1)[:, :n]
-            yield from best.add(np.repeat(who[lo:lo + 256], n, axis=0), ids[top.ravel()],
-                                np.take_along_axis(scores, top, axis=1).ravel())
+            asking = _matrix(queries.column(6).slice(lo, 256), dimension)
+            scores = asking @ vectors.T
+            last = np.partition(scores, -n, axis=1)[:, -n]
+            last -= rounding * np.linalg.norm(asking, axis=1) + np.finfo(float).tiny
+            query, met = np.nonzero(scores >= last[:, None])
+            score = exact_scores(asking, vectors, query, met)
+            order = np.lexsort((ids[met, 2], -score, query))
+            order = order[ranks(np.append(True, query[1:] != query[:-1])) < n]  # the runs keep their places
+            yield from best.add(who[lo + query[order]], ids[met[order]], score[order])
 
-    return rows.mapInArrow(run, "q1 bigint, q2 bigint, c1 bigint, c2 bigint, score double")
+    return rows.mapInArrow(run, "q1 bigint, q2 bigint, c1 bigint, c2 bigint, least bigint, score double")
 
 
 def fitted_cosine(spark: SparkSession, classes: DataFrame, queries: DataFrame, dimension: int, largest: float,
@@ -321,14 +339,15 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, id: str = "vec_id
     # Slots of this width split a unit normal into some 2.75 cells.
     m = max(0, math.ceil(math.log(n / CELL_VECTORS) / math.log(2.75)))
     parts = -(-asked // BLOCK_QUERIES)
-    keep = k + 1 + SPARE
+    # The k + 1 best ids are in the k + 1 classes that are best by score and least id.
+    keep = k + 1
 
     def search(wanted: DataFrame, m: int, tables: int, name: str) -> DataFrame:
         index = index_rows(classes, dimension, largest, m, tables)
         found = meet(index, probe_rows(wanted, dimension, cosine, m, tables), parts, dimension, keep)
-        merged = found.groupBy("q1", "q2", "c1", "c2").agg(F.max("score").alias("score"))
-        rank = F.row_number().over(Window.partitionBy("q1", "q2").orderBy(F.col("score").desc(), "c1", "c2"))
-        return materialize(merged.withColumn("r", rank).filter(F.col("r") <= keep).drop("r", "score"), name)
+        merged = found.groupBy("q1", "q2", "c1", "c2").agg(F.max("score").alias("score"), F.min("least").alias("least"))
+        rank = F.row_number().over(Window.partitionBy("q1", "q2").orderBy(F.col("score").desc(), "least", "c1", "c2"))
+        return materialize(merged.withColumn("r", rank).filter(F.col("r") <= keep).drop("r", "least"), name)
 
     first = search(queries, m, tables, "neighbours")
     many = classes.select(F.col("k1").alias("c1"), F.col("k2").alias("c2"), F.size("ids").alias("n"))
@@ -338,16 +357,8 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, id: str = "vec_id
     second = search(materialize(rest, "left_over"), 0, 1, "neighbours_exact")
     pairs = first.union(second).distinct()
 
-    def scored(batches):
-        for batch in batches:
-            a, b = _matrix(batch.column(3), dimension), _matrix(batch.column(4), dimension)
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array((a * b).sum(axis=1), pa.float64())],
-                                             ["q1", "q2", "ids", "score"])
-
-    of_query = queries.select(F.col("k1").alias("q1"), F.col("k2").alias("q2"), F.col("vector").alias("q"))
-    of_found = classes.select(F.col("k1").alias("c1"), F.col("k2").alias("c2"), "ids", F.col("vector").alias("c"))
-    exact = pairs.join(of_found, ["c1", "c2"]).join(of_query, ["q1", "q2"]).select("q1", "q2", "ids", "q", "c")
-    exact = exact.mapInArrow(scored, "q1 bigint, q2 bigint, ids array<bigint>, score double")
+    of_found = classes.select(F.col("k1").alias("c1"), F.col("k2").alias("c2"), "ids")
+    exact = pairs.join(of_found, ["c1", "c2"])
     # Copies of a query share its neighbours: only the best k + 1 ids go to each.
     flat = exact.select("q1", "q2", F.explode("ids").alias("vec_id"), "score")
     order = [F.col("score").desc(), F.col("vec_id")]

@@ -83,6 +83,25 @@ def test_queries_without_enough_candidates_are_searched_exactly(clustered, monke
     assert {q: [r.vec_id for r in rs] for q, rs in got.items()} == {q: [i for i, _ in b] for q, b in expected.items()}
 
 
+@pytest.mark.parametrize("kind, sizes", [("hot", {}), ("mixed", {"BLOCK_VECTORS": 16, "BEST_ROWS": 64}),
+                                         ("hot", {"CELL_VECTORS": 2, "RECALL": 1.0})])
+def test_more_tied_vectors_than_are_kept_come_by_id(spark, monkeypatch, kind, sizes):
+    for name, value in sizes.items():
+        monkeypatch.setattr(ann, name, value)
+    rng = np.random.default_rng(8)
+    if kind == "hot":  # with copies of some; 119 others tie at 0
+        x = np.eye(120)[np.append(np.arange(120), np.arange(60))] * 0.1
+    else:  # the same products in other places: sums that rounding may tell apart
+        x = np.array([rng.permutation(np.append([0.1, 0.7, -0.3, 1.1], np.zeros(4))) for _ in range(150)])
+    # Ids in an order that no hash and no place has.
+    rows = [(int(i), v.tolist()) for i, v in zip(rng.permutation(len(x)), x)] + [(1000, [0.5] * x.shape[1])]
+    got = got_lists(nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") % 50 == 0))
+    of = {i: np.array(v) for i, v in rows}
+    for q in (i for i in of if i % 50 == 0):
+        scores = {i: float((of[q] * v).sum()) for i, v in of.items() if i != q}
+        assert [(r.vec_id, r.score) for r in got[q]] == sorted(scores.items(), key=lambda s: (-s[1], s[0]))[:20]
+
+
 def test_odd_vectors_and_ties(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 0.0]), (1, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [0.0, 1.0]), (3, [0.0, 0.0]), (4, None), (5, [nan, 1.0]),
