@@ -26,6 +26,7 @@ can be among a query's k nearest. Cells are cut into blocks of bounded size.
 
 from __future__ import annotations
 
+import functools
 import heapq
 import math
 
@@ -297,22 +298,26 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, id: str = "vec_id
     """``RESULT``: the ``k`` nearest found of every query row, nearest first, ties to the smaller id.
 
     Vectors that are null, zero or hold a null or non-finite component take no
-    part, nor do rows of null id or of a dimension other than the commonest (the
-    smaller on ties). Rows of the query's id are no candidates; a repeated row
-    counts once. Fewer candidates than ``k`` are all returned; an empty table
-    gives no rows; other columns are ignored, whatever their names.
+    part, nor do rows of null id. Each dimension is searched by itself: a query's
+    candidates are the vectors of its own dimension. Rows of the query's id are no
+    candidates; a repeated row counts once. Fewer candidates than ``k`` are all
+    returned; an empty table gives no rows; other columns are ignored, whatever their names.
     """
     spark = vectors.sparkSession
     own = vectors.select(F.col(id).cast("bigint").alias("vec_id"), F.col(vector).cast("array<double>").alias("e"),
                          F.coalesce(is_query, F.lit(False)).alias("query"))
     own = own.filter(F.col("vec_id").isNotNull() & takes_part(F.col("e")))
     norm = F.sqrt(F.aggregate("e", F.lit(0.0), lambda acc, x: acc + x * x))
-    shape = own.groupBy(F.size("e").alias("d")).agg(F.count(F.lit(1)).alias("n"), F.max(norm).alias("norm"))
-    shape = shape.orderBy(F.col("n").desc(), "d").first()
-    if shape is None:
-        return spark.createDataFrame([], RESULT)
-    dimension, largest = shape.d, shape.norm
-    own = own.filter(F.size("e") == dimension).withColumns(
+    shape = own.groupBy(F.size("e").alias("d")).agg(F.count_if("query").alias("asked"), F.max(norm).alias("norm"))
+    found = [_nearest_of_dimension(own.filter(F.size("e") == s.d), s.d, s.norm, k, tables)
+             for s in shape.filter("asked > 0").orderBy("d").collect()]
+    return functools.reduce(DataFrame.union, found) if found else spark.createDataFrame([], RESULT)
+
+
+def _nearest_of_dimension(own: DataFrame, dimension: int, largest: float, k: int, tables: int) -> DataFrame:
+    """``RESULT`` of the rows ``(vec_id, e, query)``, all of one dimension; ``largest`` is their largest norm."""
+    spark = own.sparkSession
+    own = own.withColumns(
         {"k1": F.xxhash64("e"), "k2": F.xxhash64(F.lit(1), F.col("e"))})
 
     place = F.dense_rank().over(Window.partitionBy("k1", "k2").orderBy("vec_id"))
@@ -333,8 +338,6 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, id: str = "vec_id
     queries = materialize(classes.join(asking.select("k1", "k2").distinct(), ["k1", "k2"], "left_semi")
                           .select("k1", "k2", "vector"), "query_classes")
     n, asked = classes.count(), queries.count()
-    if asked == 0:
-        return spark.createDataFrame([], RESULT)
     cosine = fitted_cosine(spark, classes, queries, dimension, largest, k)
     # Slots of this width split a unit normal into some 2.75 cells.
     m = max(0, math.ceil(math.log(n / CELL_VECTORS) / math.log(2.75)))

@@ -102,6 +102,16 @@ def test_more_tied_vectors_than_are_kept_come_by_id(spark, monkeypatch, kind, si
         assert [(r.vec_id, r.score) for r in got[q]] == sorted(scores.items(), key=lambda s: (-s[1], s[0]))[:20]
 
 
+def test_each_dimension_is_searched_by_itself(spark):
+    rng = np.random.default_rng(4)
+    rows = [(i, [float(x) for x in rng.normal(size=2 + i % 2 * 2)]) for i in range(41)]
+    got = got_lists(nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") % 5 == 0, 3))
+    expected = {}
+    for parity in (0, 1):
+        expected |= brute([r for r in rows if r[0] % 2 == parity], lambda i: i % 5 == 0, 3)
+    assert {q: [r.vec_id for r in rs] for q, rs in got.items()} == {q: [i for i, _ in b] for q, b in expected.items()}
+
+
 def test_odd_vectors_and_ties(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 0.0]), (1, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [0.0, 1.0]), (3, [0.0, 0.0]), (4, None), (5, [nan, 1.0]),
