@@ -1,9 +1,11 @@
 """Secrets in texts: pattern spans, and spans confirmed by their structure.
 
-Three patterns give the base spans. Further candidates (runs of base64 or hex
-letters, dotted tokens, armoured blocks) are decoded and reported only if
-what they hold parses as what it claims to be: a token header that is JSON with an
-algorithm, or a private key whose nested lengths fill each other exactly.
+Three patterns give the base spans. Further candidates (base64 or hex letters,
+dotted tokens, armoured blocks) are decoded and reported only if what they hold parses
+as what it claims to be: a token header that is JSON with an algorithm, or a private
+key whose nested lengths fill each other exactly. Keys may go on over white space and
+over line ends that are spelt as escapes (``\\n`` as letters): a bare key's own lengths say
+how many letters it has.
 """
 
 from __future__ import annotations
@@ -27,10 +29,19 @@ ASSIGN_LEAST, ACCESS_LEAST = 6, 20
 KINDS = ("assign", "access", "hex", "jwt", "pem", "der", "openssh")
 
 _WORDS = ("password", "passwd", "secret", "token", "api")
-_DOTTED = re.compile(r"(?<![A-Za-z0-9_-])ey[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]*")
-_ARMOUR = re.compile(r"-----BEGIN ([A-Z0-9 ]*PRIVATE KEY)-----([A-Za-z0-9+/=\s]+)-----END \1-----")
-_BASE64 = re.compile(r"[A-Za-z0-9+/_-]{40,}={0,2}")
-_HEX_ANY = re.compile(r"(?<![0-9A-Fa-f])(?:[0-9A-Fa-f]{2}){24,}(?![0-9A-Fa-f])")
+# White space, or a line end or tab spelt as an escape, also one that was escaped again.
+_GAP = r"(?:\s|\\+[nrt])"
+_AFTER_ESCAPE = r"(?<=\\[nrt])"
+# A JSON object begins with a brace or white space: C, D, I or e in base64. Overlapping candidates are all judged.
+_DOTTED = re.compile(r"(?:(?<![A-Za-z0-9_-])|" + _AFTER_ESCAPE
+                     + r")(?=([CDIe][A-Za-z0-9_-]{9,}+\.[A-Za-z0-9_-]++\.[A-Za-z0-9_-]*+))")
+_ARMOUR = re.compile(r"-----BEGIN ([A-Z0-9 ]*PRIVATE KEY)-----((?:[A-Za-z0-9+/=\s]++|\\++[nrt])++)-----END \1-----")
+_GAPS = re.compile(_GAP + "+")
+# Where a bare key can begin (0x30, or the name of OpenSSH keys), its letters with gaps, bits of a letter, and least letters.
+_BASE64 = (re.compile(r"(?:(?<![A-Za-z0-9+/_-])|" + _AFTER_ESCAPE + r")(?:M[A-P]|b3Bl)"),
+           re.compile(r"([A-Za-z0-9+/_-]++)|" + _GAP + "++"), 6, 40)
+_HEX_ANY = (re.compile(r"(?<![0-9A-Fa-f])(?:30|6[Ff]70)"), re.compile(r"([0-9A-Fa-f]++)|" + _GAP + "++"), 4, 48)
+_PADDING = re.compile(r"={1,2}|(?:\r?\n|(?:\\+r)?\\+n)[ \t]*(={1,2})")
 _OPENSSH = b"openssh-key-v1\x00"
 
 
@@ -101,10 +112,23 @@ def is_private_key(data: bytes) -> bool:
     return False
 
 
+def der_size(data: bytes) -> int | None:
+    """The bytes of the DER sequence that begins here, if its first item can be that of a private key."""
+    head = 2 + (data[1] & 0x7F if data[1] & 0x80 else 0)
+    if data[0] != 0x30 or head > 6 or data[head] not in (0x02, 0x30):
+        return None
+    return head + (int.from_bytes(data[2:head], "big") if head > 2 else data[1])
+
+
 def is_openssh_key(data: bytes) -> bool:
     """Whether the bytes are an OpenSSH private key: its name, then fields that fill it by their lengths."""
+    return openssh_size(data) == len(data)
+
+
+def openssh_size(data: bytes) -> int | None:
+    """The bytes of the OpenSSH private key that begins here; null if its fields do not fit."""
     if not data.startswith(_OPENSSH):
-        return False
+        return None
     at = len(_OPENSSH)
 
     def field():
@@ -117,9 +141,9 @@ def is_openssh_key(data: bytes) -> bool:
         return value
 
     if any(field() is None for _ in range(3)):  # cipher, key derivation, its options
-        return False
+        return None
     count, at = int.from_bytes(data[at:at + 4], "big"), at + 4
-    return 1 <= count <= 16 and all(field() is not None for _ in range(count + 1)) and at == len(data)
+    return at if 1 <= count <= 16 and all(field() is not None for _ in range(count + 1)) else None
 
 
 def is_signed_token(token: str) -> bool:
@@ -134,31 +158,68 @@ def is_signed_token(token: str) -> bool:
     return parts[2] is not None and (bool(parts[2]) or header["alg"].lower() == "none")
 
 
+def gathered(text: str, at: int, pieces: re.Pattern, most: int | None) -> tuple[str, int]:
+    """The next letters without gaps, at most ``most``, and where they end."""
+    out, n, end = [], 0, at
+    while (most is None or n < most) and (m := pieces.match(text, at)):
+        if m.group(1):
+            run = m.group(1) if most is None else m.group(1)[:most - n]
+            out.append(run)
+            n, end = n + len(run), at + len(run)
+        at = m.end()
+    return "".join(out), end
+
+
+def bare_keys(text: str, start: re.Pattern, pieces: re.Pattern, bits: int, least: int):
+    """``(start, kind number, end)`` of keys without armour: as many letters as their lengths say, and no more."""
+
+    def decoded(letters):
+        return from_base64(letters) if bits == 6 else bytes.fromhex(letters)
+
+    for m in start.finditer(text):
+        head, _ = gathered(text, m.start(), pieces, least)
+        if len(head) < least:
+            continue
+        data = decoded(head)
+        if data[0] == 0x30:
+            kind, size = 5, der_size(data)
+        elif data.startswith(_OPENSSH):
+            letters, _ = gathered(text, m.start(), pieces, None)
+            # Words that follow may leave a part of a letter group or of a byte.
+            kind, size = 6, openssh_size(decoded(letters[:len(letters) // 4 * 4]) + b"\0\0")
+        else:
+            continue
+        if size is None:
+            continue
+        n = -(-8 * size // bits)
+        if not least <= n <= len(text) - m.start():
+            continue
+        letters, end = gathered(text, m.start(), pieces, n)
+        after = pieces.match(text, end)
+        if len(letters) < n or (after and after.group(1)):
+            continue
+        data = decoded(letters)
+        if data and (is_private_key(data) if kind == 5 else is_openssh_key(data)):
+            padding = _PADDING.match(text, end) if bits == 6 else None
+            if padding and (padding.group(1) is None or len(padding.group(1)) == -n % 4):
+                end = padding.end()
+            yield m.start(), kind, end
+
+
 def confirmed_spans(text: str) -> list[tuple[int, int, int]]:
     """``(start, kind number, end)`` of what decodes to a key or a signed token."""
     found = []
-    if "ey" in text:
-        found += [(m.start(), 3, m.end()) for m in _DOTTED.finditer(text) if is_signed_token(m.group())]
+    if "." in text:
+        found += [(m.start(1), 3, m.end(1)) for m in _DOTTED.finditer(text) if is_signed_token(m.group(1))]
     armoured = []
     if "PRIVATE KEY-----" in text:
         for m in _ARMOUR.finditer(text):
-            data = from_base64(re.sub(r"\s+", "", m.group(2)))
+            data = from_base64(_GAPS.sub("", m.group(2)))
             if data and (is_private_key(data) or is_openssh_key(data)):
                 armoured.append((m.start(), 4, m.end()))
     found += armoured
-
-    def bare(pattern, decode):
-        for m in pattern.finditer(text):
-            if any(a <= m.start() < b for a, _, b in armoured):
-                continue
-            data = decode(m.group())
-            if data and is_private_key(data):
-                found.append((m.start(), 5, m.end()))
-            elif data and is_openssh_key(data):
-                found.append((m.start(), 6, m.end()))
-
-    bare(_BASE64, from_base64)
-    bare(_HEX_ANY, bytes.fromhex)
+    for form in (_BASE64, _HEX_ANY):
+        found += [k for k in bare_keys(text, *form) if not any(a <= k[0] < b for a, _, b in armoured)]
     return sorted(set(found))
 
 

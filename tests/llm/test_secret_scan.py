@@ -115,6 +115,30 @@ def test_structures_that_parse_are_reported():
     assert kinds("bearer " + token({"alg": "HS256", "typ": "JWT"}, '{"sub": "1"}')) == ["jwt"]
 
 
+def test_keys_go_on_over_line_ends_and_escapes():
+    for key in (PKCS1, PKCS8, SEC1, OPENSSH):
+        kind = "openssh" if key is OPENSSH else "der"
+        base64_, hex_ = base64.b64encode(key).decode(), key.hex()
+        for end in ("\n", "\r\n", "\n  ", "\\n", "\\r\\n", "\\\\n"):
+            for columns in (64, 76):
+                wrapped = {t: end.join(t[k:k + columns] for k in range(0, len(t), columns)) for t in (base64_, hex_)}
+                body = f"-----BEGIN PRIVATE KEY-----{end}{wrapped[base64_]}{end}-----END PRIVATE KEY-----"
+                assert confirmed_spans(f'{{"key": "{body}{end}"}}') == [(9, 4, 9 + len(body))]
+                assert redacted(f"a {body} b") == "a [SECRET] b"
+                for form in wrapped.values():
+                    for before, after in (("", ""), ("see ", "."), (f"words{end}", f"{end}zwords and more"), ("k=", " (x)")):
+                        spans = [(a, b) for a, k, b in confirmed_spans(before + form + after) if k in (5, 6)]
+                        assert spans == [(len(before), len(before + form))], (kind, end, columns, before)
+                        assert kinds(before + form + after) == [kind]
+
+
+def test_token_headers_begin_with_any_white_space():
+    for header in ('{\n "alg": "HS256"}', '{\r\n"alg":"none"}', '{\t"alg": "ES256"}', ' {"alg": "HS256"}', '\n{"alg": "HS256"}'):
+        made = token(header.encode(), '{"sub": 1}')
+        assert kinds(made) == ["jwt"] and confirmed_spans(f"Bearer\\n{made}") == [(8, 3, 8 + len(made))]
+        assert confirmed_spans(f"Containers1.example.{made}")[0][:2] == (20, 3)
+
+
 def test_structures_that_do_not_parse_are_not():
     broken = bytearray(PKCS8)
     broken[3] ^= 1  # the outer length
