@@ -12,7 +12,7 @@ chunk. The allowed errors are enumerated: with one error, a chunk gives one
 key for each of its symbols left out. So every pair within that distance
 shares a key. With the defaults (60 symbols of 8 bits, 12 chunks, 1 error)
 the distance is 23 symbols, and a pair of similarity 0.8 exceeds it with probability
-1e-4.
+2.8e-4.
 
 **What is done with a bucket.** Equal sets are one class before anything is
 joined. In each bucket a search over the signatures gives a spanning forest of the
