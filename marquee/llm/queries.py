@@ -8,6 +8,7 @@ from marquee.llm.ann import nearest
 from marquee.llm.bpe import encode_documents
 from marquee.llm.exact_dedup import exact_dedup
 from marquee.llm.line_dedup import line_dedup
+from marquee.llm.merkle import folded, lowered, manifest, proof_digest
 from marquee.llm.minhash import near_dedup
 from marquee.llm.packing import best_fit_pack
 from marquee.llm.quality import quality
@@ -70,6 +71,15 @@ def op10_ann_search(spark, sf_dir):
     return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
+def op11_merkle_manifest(spark, sf_dir):
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    text = F.when(tampered, lowered(F.col("text"))).otherwise(F.col("text"))
+    found = manifest(table(spark, sf_dir, "documents"), altered={"text": text})
+    found = found.withColumn("folded_root", folded(F.coalesce("altered_leaf", "leaf"), F.col("proof")))
+    return found.select("doc_id", "leaf", "subroot", "root", proof_digest(F.col("proof")).alias("proof_sha256"),
+                        "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
 QUERIES = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
     "op2_suffix_array_dedup": op2_suffix_array_dedup,
@@ -81,4 +91,5 @@ QUERIES = {
     "op8_line_dedup": op8_line_dedup,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_ann_search": op10_ann_search,
+    "op11_merkle_manifest": op11_merkle_manifest,
 }

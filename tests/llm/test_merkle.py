@@ -1,0 +1,117 @@
+"""The Merkle manifest against a plain reading: lists of digests, run by run."""
+
+import hashlib
+import zlib
+
+import pytest
+
+from llm.conftest import empty_of
+from marquee.llm.merkle import FIELDS, folded, lowered, manifest, proof_digest
+from pyspark.sql import functions as F
+
+
+def h(s):
+    return hashlib.sha256(s.encode()).hexdigest()
+
+
+def leaf_of(row, fields=FIELDS):
+    return h("".join("-" if row[f] is None else f"{len(str(row[f]).encode())}:{row[f]}" for f in fields))
+
+
+def paths(leaves, fan=8):
+    """The root of a list of digests, and each one's proof as (left, right) per level."""
+    proofs = [[] for _ in leaves]
+    level, under = list(leaves), [[k] for k in range(len(leaves))]
+    while len(level) > 1:
+        above, over = [], []
+        for at in range(0, len(level), fan):
+            run = level[at:at + fan]
+            for k in range(len(run)):
+                for leaf in under[at + k]:
+                    proofs[leaf].append(("".join(run[:k]), "".join(run[k + 1:])))
+            above.append(h("".join(run)))
+            over.append([x for u in under[at:at + fan] for x in u])
+        level, under = above, over
+    return level[0], proofs
+
+
+def plain(rows, fan=8):
+    groups = {}
+    for r in rows:
+        groups.setdefault(r["lang"], []).append((r["doc_id"] is not None, r["doc_id"] or 0, leaf_of(r), r))
+    names = sorted(groups, key=lambda g: (g is not None, (g or "").encode()))
+    own = {g: sorted(groups[g], key=lambda x: x[:3]) for g in names}
+    trees = {g: paths([x[2] for x in own[g]], fan) for g in names}
+    root, beyond = paths([trees[g][0] for g in names], fan)
+    out = []
+    for at, g in enumerate(names):
+        for k, (_, _, leaf, r) in enumerate(own[g]):
+            out.append((r["doc_id"], leaf, trees[g][0], root, tuple(trees[g][1][k] + beyond[at])))
+    return out
+
+
+def found(frame, **options):
+    return [(r.doc_id, r.leaf, r.subroot, r.root, tuple((s.left, s.right) for s in r.proof))
+            for r in manifest(frame, **options).collect()]
+
+
+def by_text(rows):
+    return sorted(rows, key=repr)
+
+
+def frame_of(spark, rows):
+    schema = "doc_id long, source string, lang string, n_chars long, text string, g int, pos string, digest int, n int"
+    return spark.createDataFrame([(*r, 1, "p", 2, 3) for r in rows], schema)
+
+
+def test_equals_plain_reading(spark):
+    rows = [(k, f"s{k % 3}", lang, k, f"Text {k} é") for lang, n in
+            (("en", 75), ("de", 9), ("fr", 8), ("es", 1), (None, 2)) for k in range(n)]
+    frame = frame_of(spark, rows)
+    assert by_text(found(frame)) == by_text(plain([r.asDict() for r in frame.collect()]))
+
+
+@pytest.mark.parametrize("groups", [1, 9])
+def test_number_of_groups(spark, groups):
+    frame = frame_of(spark, [(k, "s", f"l{k % groups}", k, "t") for k in range(20)])
+    assert by_text(found(frame)) == by_text(plain([r.asDict() for r in frame.collect()]))
+
+
+def test_other_fan(spark):
+    frame = frame_of(spark, [(k, "s", "x" if k % 3 else "y", k, "t") for k in range(30)])
+    assert by_text(found(frame, fan=3)) == by_text(plain([r.asDict() for r in frame.collect()], 3))
+
+
+def test_odd_rows(spark, odd_rows):
+    """Null ids and texts, repeated rows (places of their own), a long text, clashing names."""
+    assert by_text(found(odd_rows)) == by_text(plain([r.asDict() for r in odd_rows.collect()]))
+    assert manifest(empty_of(odd_rows)).collect() == []
+
+
+def test_altered_leaves_do_not_verify(spark, documents):
+    frame = documents[1]
+    altered = F.when(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0, lowered(F.col("text")))
+    got = manifest(frame, altered={"text": F.coalesce(altered, "text")})
+    got = got.withColumn("top", folded(F.coalesce("altered_leaf", "leaf"), F.col("proof")))
+    texts = dict(documents[0])
+    for r in got.select("doc_id", "root", "top", "proof", proof_digest(F.col("proof")).alias("p")).collect():
+        text = texts[r.doc_id]
+        touched = zlib.crc32(str(r.doc_id).encode()) % 3 == 0 and any("A" <= c <= "Z" for c in text or "")
+        assert (r.top == r.root) == (not touched)
+        assert r.p == h("".join(s.left + s.right for s in r.proof))
+
+
+def test_no_group_in_one_window(spark):
+    """Windows are dealt by run, not by group."""
+    frame = frame_of(spark, [(k, "s", "en", k, "t") for k in range(100)])
+    plan = manifest(frame)._jdf.queryExecution().executedPlan().toString()
+    assert "Window" in plan and "run" in plan.split("Window", 1)[1].split("\n")[0]
+
+
+def test_equals_sql(spark):
+    from conftest import SMOKE
+    from marquee.llm.oracle import ORACLE_SQL
+    from marquee.llm.queries import QUERIES
+    from oracle_compare import compare
+    r = compare(spark, SMOKE, "op11", QUERIES["op11_merkle_manifest"], ORACLE_SQL["op11_merkle_manifest"])
+    assert r["cols_match"] and r["values_match"] and r["spark_rows"] == r["duck_rows"], r
