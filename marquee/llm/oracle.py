@@ -84,4 +84,34 @@ root AS (SELECT digest AS root FROM top WHERE n = 1)
 SELECT w.doc_id, p.leaf, s.digest AS subroot, root, sha256(w.proof) AS proof_sha256, w.digest AS folded_root,
        w.digest = root AS verified
 FROM whole w JOIN placed p ON p.g = w.g AND p.pos = w.row JOIN subroots s ON s.g = w.g, root""",
+    # Near words by letters left out: at one place of both (replaced), or of the longer one (inserted).
+    "op13_spelling_variants": rf"""
+WITH RECURSIVE {CRC_TABLE},
+runs AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                           '[a-z\x{{C0}}-\x{{FF}}]+')) AS run FROM documents),
+hexed AS (SELECT doc_id, run, hex(encode(doc_id::VARCHAR || ':' || run)) AS x, count(*) AS n
+          FROM runs WHERE length(run) >= 7 GROUP BY doc_id, run),
+summed AS (
+  SELECT run, n, {crc_of("list_transform(range(1, strlen(x) + 1, 2), lambda i: ('0x' || x[i:i + 1])::BIGINT)")} AS h
+  FROM hexed, crc),
+words AS (
+  SELECT CASE WHEN h % 31 = 0 THEN run[:h % length(run)] || run[h % length(run) + 2:] ELSE run END AS word,
+         CAST(sum(n) AS BIGINT) AS n FROM summed GROUP BY 1 HAVING sum(n) >= 2 AND length(word) >= 7),
+cuts AS (SELECT word, n, i, word[:i - 1] || word[i + 1:] AS rest
+         FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words)),
+near AS (
+  SELECT a.word, b.word AS other, b.n FROM cuts a JOIN cuts b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+  UNION SELECT a.word, b.word, b.n FROM cuts a JOIN words b ON a.rest = b.word
+  UNION SELECT b.word, a.word, a.n FROM cuts a JOIN words b ON a.rest = b.word),
+best AS (SELECT word, count(*) AS n_near, min(struct_pack(lack := -n, other := encode(other))) AS b FROM near GROUP BY word),
+forms AS (
+  SELECT w.word, w.n, coalesce(n_near, 0) AS n_near,
+         CASE WHEN -b.lack >= 10 * w.n THEN decode(b.other) END AS form, CASE WHEN -b.lack >= 10 * w.n THEN -b.lack END AS form_n
+  FROM words w LEFT JOIN best ON best.word = w.word),
+up AS (
+  SELECT word, word AS last, 0 AS steps FROM forms
+  UNION ALL SELECT u.word, f.form, steps + 1 FROM up u JOIN forms f ON f.word = u.last WHERE f.form IS NOT NULL),
+ends AS (SELECT word, arg_max(last, steps) AS root FROM up GROUP BY word)
+SELECT f.word, form, root, n, n_near, form_n FROM forms f JOIN ends ON ends.word = f.word""",
 }

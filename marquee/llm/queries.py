@@ -16,6 +16,7 @@ from marquee.llm.secret_scan import secret_scan
 from marquee.llm.shipping import ship
 from marquee.llm.suffix_dedup import remove_repeats
 from marquee.llm.token_counts import token_counts
+from marquee.llm.variants import MISSPELT, variant_groups
 
 
 def table(spark, sf_dir: str, name: str):
@@ -80,6 +81,11 @@ def op11_merkle_manifest(spark, sf_dir):
                         "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
 
 
+def op13_spelling_variants(spark, sf_dir):
+    return variant_groups(table(spark, sf_dir, "documents"), one_in=MISSPELT).select(
+        "word", "form", "root", "n", "n_near", "form_n")
+
+
 QUERIES = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
     "op2_suffix_array_dedup": op2_suffix_array_dedup,
@@ -92,4 +98,5 @@ QUERIES = {
     "op9_byte_bpe": op9_byte_bpe,
     "op10_ann_search": op10_ann_search,
     "op11_merkle_manifest": op11_merkle_manifest,
+    "op13_spelling_variants": op13_spelling_variants,
 }
