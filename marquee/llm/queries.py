@@ -8,6 +8,7 @@ from marquee.llm.ann import nearest
 from marquee.llm.bpe import encode_documents
 from marquee.llm.exact_dedup import exact_dedup
 from marquee.llm.line_dedup import line_dedup
+from marquee.llm.lm_score import lm_scores
 from marquee.llm.merkle import folded, lowered, manifest, proof_digest
 from marquee.llm.minhash import near_dedup
 from marquee.llm.packing import best_fit_pack
@@ -81,6 +82,10 @@ def op11_merkle_manifest(spark, sf_dir):
                         "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
 
 
+def op12_lm_scoring(spark, sf_dir):
+    return lm_scores(table(spark, sf_dir, "documents"))
+
+
 def op13_spelling_variants(spark, sf_dir):
     return variant_groups(table(spark, sf_dir, "documents"), one_in=MISSPELT).select(
         "word", "form", "root", "n", "n_near", "form_n")
@@ -98,5 +103,6 @@ QUERIES = {
     "op9_byte_bpe": op9_byte_bpe,
     "op10_ann_search": op10_ann_search,
     "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_lm_scoring": op12_lm_scoring,
     "op13_spelling_variants": op13_spelling_variants,
 }
