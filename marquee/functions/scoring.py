@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import sys
+import unicodedata
 from collections.abc import Sequence
+from functools import cache
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -26,12 +29,20 @@ SUCCESS_DIGITS = 2
 _INT_TEXT = UNICODE + "^" + WHITESPACE + "*([+-]?[0-9](?:_?[0-9])*)" + WHITESPACE + "*$"
 
 
+@cache
+def _other_digits() -> tuple[str, str]:
+    """The decimal digits beyond ASCII and the ASCII digits of their values, from Python's character database."""
+    digits = [chr(c) for c in range(0x80, sys.maxunicode + 1) if unicodedata.category(chr(c)) == "Nd"]
+    return "".join(digits), "".join(str(unicodedata.decimal(d)) for d in digits)
+
+
 def parse_year(year: Column) -> Column:
     """``int(year)`` for text; null where Python would raise or the value overflows a bigint.
 
-    Non-ASCII decimal digits, which Python also accepts, give null here.
+    Decimal digits of any script count as Python reads them.
     """
-    digits = F.regexp_replace(F.regexp_extract(year.cast("string"), _INT_TEXT, 1), "_", "")
+    ascii_digits = F.translate(year.cast("string"), *_other_digits())
+    digits = F.regexp_replace(F.regexp_extract(ascii_digits, _INT_TEXT, 1), "_", "")
     return F.when(digits != "", digits).try_cast("bigint")
 
 

@@ -21,9 +21,11 @@ from marquee.sources.catalog import SEGMENT_KEYS
 REPORT_DESCRIPTION = "top_desc_words"
 REPORT_GENRES = "top_genres"
 REPORT_TITLE = "top_title_words"
-HEADING_DESCRIPTION = "{platform} {kind} - Top {n} Palavras das Descrições"
-HEADING_GENRES = "{platform} {kind} - Top {n} Gêneros"
-HEADING_TITLE = "{platform} {kind} - Top {n} Palavras dos Títulos"
+HEADING_DESCRIPTION = "{segment} - Top {n} Palavras das Descrições"
+HEADING_GENRES = "{segment} - Top {n} Gêneros"
+HEADING_TITLE = "{segment} - Top {n} Palavras dos Títulos"
+# The title of a report over the whole catalogue.
+WHOLE_CATALOG = "Catálogo"
 LINE_WORDS = "%d. %s: %d ocorrências"
 LINE_GENRES = "%d. %s: %d títulos"
 TYPE_LABELS = {"TV Show": "Séries", "Movie": "Filmes"}
@@ -37,10 +39,9 @@ def _label(col: Column, labels: Mapping[str, str] | None) -> Column:
     return F.coalesce(mapping[col], col)
 
 
-def _heading(fmt: str, n: int, platform: Column, kind: Column) -> Column:
-    head, rest = fmt.split("{platform}", 1)
-    middle, tail = rest.split("{kind}", 1)
-    return F.concat(F.lit(head), platform, F.lit(middle), kind, F.lit(tail.replace("{n}", str(n))))
+def _heading(fmt: str, n: int, segment: Column) -> Column:
+    head, tail = fmt.split("{segment}", 1)
+    return F.concat(F.lit(head), segment, F.lit(tail.replace("{n}", str(n))))
 
 
 def report_lines(lists: DataFrame, keys: Sequence[str] = SEGMENT_KEYS,
@@ -52,12 +53,12 @@ def report_lines(lists: DataFrame, keys: Sequence[str] = SEGMENT_KEYS,
     ``lists`` is the fused ``(keys..., list, rank, term, count)`` of
     ``segment_lists``, read once: a segment's own row becomes the headings and
     rules of its reports, and each term line (line ``rank + 2``) picks its
-    report and unit by its ``list``.
+    report and unit by its ``list``. A report is titled by its segment's keys,
+    platform and type by their labels; without keys by ``WHOLE_CATALOG``.
     """
-    if tuple(keys) != SEGMENT_KEYS:
-        raise ValueError("reports are titled by platform and type")
-    platform = _label(F.col("platform"), platform_labels)
-    kind = _label(F.col("type"), TYPE_LABELS if type_labels is None else type_labels)
+    labels = {"platform": platform_labels, "type": TYPE_LABELS if type_labels is None else type_labels}
+    named = [_label(F.col(k).cast("string"), labels.get(k)) for k in keys]
+    segment = F.concat_ws(" ", *named) if keys else F.lit(WHOLE_CATALOG)
 
     def entry(report: Column, line_no: Column, line: Column) -> Column:
         return F.struct(report.alias("report"), line_no.cast("int").alias("line_no"), line.alias("line"))
@@ -65,7 +66,7 @@ def report_lines(lists: DataFrame, keys: Sequence[str] = SEGMENT_KEYS,
     heads = []
     for report, fmt, n in zip((REPORT_DESCRIPTION, REPORT_GENRES, REPORT_TITLE),
                               (HEADING_DESCRIPTION, HEADING_GENRES, HEADING_TITLE), sizes):
-        heads.append(entry(F.lit(report), F.lit(1), _heading(fmt, n, platform, kind)))
+        heads.append(entry(F.lit(report), F.lit(1), _heading(fmt, n, segment)))
         heads.append(entry(F.lit(report), F.lit(2), F.lit(RULE)))
     is_genre = F.col("list") == "genre"
     report = (F.when(F.col("list") == "description", F.lit(REPORT_DESCRIPTION))

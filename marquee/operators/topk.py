@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marquee.functions.text import genre_terms, title_vocabulary_tokens
+from marquee.operators.stops import without_stops
 from marquee.sources.catalog import SEGMENT_KEYS
 
 # List sizes of the three rankings.
@@ -60,14 +61,17 @@ def rank_terms(counts: DataFrame, term_name: str, n: int,
 
 
 def top_terms(df: DataFrame, terms: Column, term_name: str, n: int,
-              keys: Sequence[str] = SEGMENT_KEYS) -> DataFrame:
-    return rank_terms(term_counts(df, terms, term_name, keys), term_name, n, keys)
+              keys: Sequence[str] = SEGMENT_KEYS, stops: DataFrame | None = None) -> DataFrame:
+    counts = term_counts(df, terms, term_name, keys)
+    if stops is not None:
+        counts = without_stops(counts, term_name, stops)
+    return rank_terms(counts, term_name, n, keys)
 
 
 def top_description_words(prepared: DataFrame, n: int = TOP_DESCRIPTION_WORDS,
-                          keys: Sequence[str] = SEGMENT_KEYS) -> DataFrame:
+                          keys: Sequence[str] = SEGMENT_KEYS, stops: DataFrame | None = None) -> DataFrame:
     """``(keys..., rank, word, count)`` over the cleaned descriptions (``desc_tokens``)."""
-    return top_terms(prepared, F.col("desc_tokens"), "word", n, keys)
+    return top_terms(prepared, F.col("desc_tokens"), "word", n, keys, stops)
 
 
 def top_genres(catalog: DataFrame, n: int = TOP_GENRES,
@@ -78,22 +82,23 @@ def top_genres(catalog: DataFrame, n: int = TOP_GENRES,
 
 def top_title_words(catalog: DataFrame, n: int = TOP_TITLE_WORDS,
                     keys: Sequence[str] = SEGMENT_KEYS,
-                    stop_words: Iterable[str] | None = None) -> DataFrame:
+                    stop_words: Iterable[str] | None = None, stops: DataFrame | None = None) -> DataFrame:
     """``(keys..., rank, word, count)`` over the title vocabulary tokens."""
-    return top_terms(catalog, title_vocabulary_tokens("title", stop_words), "word", n, keys)
+    return top_terms(catalog, title_vocabulary_tokens("title", stop_words), "word", n, keys, stops)
 
 
 def segment_lists(prepared: DataFrame,
                   sizes: tuple[int, int, int] = (TOP_DESCRIPTION_WORDS, TOP_GENRES, TOP_TITLE_WORDS),
                   keys: Sequence[str] = SEGMENT_KEYS,
-                  stop_words: Iterable[str] | None = None) -> DataFrame:
+                  stop_words: Iterable[str] | None = None, stops: DataFrame | None = None) -> DataFrame:
     """All three ranked lists in one scan and one aggregation: ``(keys..., list, rank, term, count)``.
 
     ``list`` is ``description``, ``genre`` or ``title``, and ``SEGMENT`` for one
     more row per segment whose count is the number of its titles. Each title
     first becomes four ``(list, terms)`` rows (``inline``), then each row's
     array is exploded: the catalogue is read, and its text tokenised, once,
-    with no per-token tagging.
+    with no per-token tagging. ``stops`` is a table of further stop words
+    (:mod:`marquee.operators.stops`), taken out of the counted words.
     """
     def part(name: str, terms: Column) -> Column:
         return F.struct(F.lit(name).alias("list"), terms.alias("terms"))
@@ -108,6 +113,8 @@ def segment_lists(prepared: DataFrame,
                 .select(*keys, "list", F.explode_outer("terms").alias("term"))
                 .filter(F.col("term").isNotNull()))
     counts = exploded.groupBy(*keys, "list", "term").agg(F.count(F.lit(1)).alias("count"))
+    if stops is not None:
+        counts = without_stops(counts, "term", stops, F.col("list").isin("description", "title"))
     n_desc, n_genre, n_title = sizes
     limit = (F.when(F.col("list") == "description", n_desc)
              .when(F.col("list") == "genre", n_genre).when(F.col("list") == "title", n_title).otherwise(1))

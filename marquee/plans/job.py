@@ -33,7 +33,10 @@ from pyspark.sql import functions as F
 
 from marquee.functions.scoring import SUCCESS_HIGH, SUCCESS_LOW, YEAR_BANDS
 from marquee.operators import candidates as cand_ops
+from marquee.operators import heavy
+from marquee.operators import rank as rank_ops
 from marquee.operators import score as score_ops
+from marquee.operators import stops as stop_ops
 from marquee.operators import topk
 from marquee.operators.reports import report_lines
 from marquee.operators.weights import STEPS, list_weights, specs_of, weight_maps, weights_from_lists
@@ -54,7 +57,9 @@ class CatalogJob:
     ``keys`` are the segment's columns (none: the whole catalogue is one
     segment), ``types`` the title types that take part, ``top_n`` the sizes
     of the three lists and ``weight_steps`` the points between their ranks, ``year_bands`` and
-    ``target`` the year points and the success range. ``tokens`` says where
+    ``target`` the year points and the success range. ``stop_words`` is a list (a
+    literal in the plans) or, for lists of any size, a frame of words
+    (:mod:`marquee.operators.stops`). ``tokens`` says where
     the tokenised catalogue lives between passes: ``"write"`` (a table in the
     shared folder; survives executor loss without recomputation), ``"cache"``
     (executor memory and disk; lost blocks are recomputed from the source) or
@@ -65,7 +70,7 @@ class CatalogJob:
     """
 
     def __init__(self, catalog: DataFrame, candidates: DataFrame | None = None,
-                 keys: Sequence[str] = SEGMENT_KEYS, stop_words: Iterable[str] | None = None,
+                 keys: Sequence[str] = SEGMENT_KEYS, stop_words: Iterable[str] | DataFrame | None = None,
                  top_n: tuple[int, int, int] = (topk.TOP_DESCRIPTION_WORDS, topk.TOP_GENRES,
                                                 topk.TOP_TITLE_WORDS),
                  top_titles_n: int = score_ops.TOP_TITLES, tokens: str = "write",
@@ -80,7 +85,10 @@ class CatalogJob:
         self.keys = tuple(keys)
         self._keys = self.keys or (WHOLE,)
         self.types = tuple(types)
-        self.stop_words = None if stop_words is None else list(stop_words)
+        self._stop_source = stop_words if isinstance(stop_words, DataFrame) else None
+        # A table of stop words replaces the literal list.
+        self.stop_words = ([] if self._stop_source is not None else
+                           None if stop_words is None else list(stop_words))
         self.top_n = top_n
         self.specs = specs_of(top_n, weight_steps)
         self.year_bands = tuple(year_bands)
@@ -103,6 +111,15 @@ class CatalogJob:
     def _keyed(self, df: DataFrame) -> DataFrame:
         return df if self.keys else df.withColumn(WHOLE, F.lit(0))
 
+    @cached_property
+    def stops(self) -> DataFrame | None:
+        """The written table of stop words, if they were given as a frame."""
+        return None if self._stop_source is None else stop_ops.stop_table(self._stop_source, self.tables)
+
+    def _clean(self, df: DataFrame) -> DataFrame:
+        """Description tokens without the stop words of the table (for outputs that show the words themselves)."""
+        return df if self.stops is None else stop_ops.clean_tokens(df, "desc_tokens", self.stops, self.tables)
+
     # -- inputs ---------------------------------------------------------------
     def lazy_prepared(self) -> DataFrame:
         """Segment filter and description tokens, computed from the catalogue in the plan."""
@@ -129,32 +146,38 @@ class CatalogJob:
         return score_ops.segment_sizes(self.catalog, self.keys, self.types)
 
     def desc_clean(self) -> DataFrame:
-        return score_ops.desc_clean(self.lazy_prepared())
+        return score_ops.desc_clean(self._clean(self.lazy_prepared()))
 
     def top_desc_words(self, keys: Sequence[str] | None = None) -> DataFrame:
         """One list alone is one pass over the catalogue (``lists`` has all three)."""
         return topk.top_description_words(self.lazy_prepared(), self.top_n[0],
-                                          self.keys if keys is None else keys)
+                                          self.keys if keys is None else keys, self.stops)
+
+    def top_desc_words_two_pass(self, tracked: int = heavy.TRACKED) -> DataFrame:
+        """The same list by summaries of frequent words and an exact recount over the written tokens."""
+        found = heavy.top_terms_two_pass(self._clean(self.prepared), F.col("desc_tokens"), "word", self.top_n[0],
+                                         tracked, self._keys, self.tables)
+        return found.drop(WHOLE)
 
     def top_genres(self) -> DataFrame:
         return topk.top_genres(self.lazy_prepared(), self.top_n[1], self.keys)
 
     def top_title_words(self) -> DataFrame:
         return topk.top_title_words(self.lazy_prepared(), self.top_n[2], self.keys,
-                                    self.stop_words)
+                                    self.stop_words, self.stops)
 
     @cached_property
     def lists(self) -> DataFrame:
         """``(keys..., list, rank, term, count)`` of all three lists, written once."""
         return self._write(
-            topk.segment_lists(self.prepared, self.top_n, self._keys, self.stop_words), "lists")
+            topk.segment_lists(self.prepared, self.top_n, self._keys, self.stop_words, self.stops), "lists")
 
     def lazy_lists(self) -> DataFrame:
         """The written lists once they exist, else the three lists in one pass over the catalogue."""
         lists = self.__dict__.get("lists")
         if lists is not None:
             return lists
-        return topk.segment_lists(self.lazy_prepared(), self.top_n, self._keys, self.stop_words)
+        return topk.segment_lists(self.lazy_prepared(), self.top_n, self._keys, self.stop_words, self.stops)
 
     def rank_weights(self) -> DataFrame:
         """``(keys..., list, term, weight)``: from the written lists once they exist."""
@@ -178,13 +201,13 @@ class CatalogJob:
         of_desc, of_genre, of_title = self.specs
         if name == "points_criterion_1":
             base = self.prepared
-            ranked, spec = topk.top_description_words(base, self.top_n[0], self._keys), of_desc
+            ranked, spec = topk.top_description_words(base, self.top_n[0], self._keys, self.stops), of_desc
         elif name == "points_criterion_2":
             base = self._narrow("listed_in")
             ranked, spec = topk.top_genres(base, self.top_n[1], self._keys), of_genre
         elif name == "points_criterion_4":
             base = self._narrow("title")
-            ranked = topk.top_title_words(base, self.top_n[2], self._keys, self.stop_words)
+            ranked = topk.top_title_words(base, self.top_n[2], self._keys, self.stop_words, self.stops)
             spec = of_title
         else:
             raise ValueError(f"unknown criterion {name!r}")
@@ -236,13 +259,28 @@ class CatalogJob:
         scaled = score_ops.scale_success(best, self.stats, self._keys, self.target)
         return scaled.select(*_once(*self.keys, "title_id", *score_ops.OUTPUT_COLUMNS))
 
+    def title_ranks(self) -> DataFrame:
+        """``(keys..., title_id, total_points, rank)``: every title's place in its segment, in the order of the best titles."""
+        order = [F.col("total_points").desc(), F.col("title").asc(), F.col("title_id").asc()]
+        columns = _once(*self._keys, "title_id", "title", "total_points")
+        placed = rank_ops.ranked(self.scored_table.select(*columns), order, self._keys, "rank", self.tables)
+        return placed.select(*_once(*self.keys, "title_id", "total_points", "rank"))
+
     # -- candidates --------------------------------------------------------------
     def catalog_with_candidates(self) -> DataFrame:
-        return cand_ops.catalog_with_candidates(self.lazy_prepared(), self.prepared_candidates)
+        return cand_ops.catalog_with_candidates(self._clean(self.lazy_prepared()),
+                                                self._clean(self.prepared_candidates))
 
     def candidate_success(self) -> DataFrame:
-        return cand_ops.candidate_success(self.prepared_candidates, self.maps, self.stats, self._keys,
-                                          self.stop_words, self.year_bands, self.target)
+        return self._success(self.prepared_candidates)
+
+    def success_of(self, candidates: DataFrame) -> DataFrame:
+        """:meth:`candidate_success` of other candidates, a streaming frame included."""
+        return self._success(self._keyed(cand_ops.prepare_candidates(candidates, self.stop_words)))
+
+    def _success(self, prepared: DataFrame) -> DataFrame:
+        return cand_ops.candidate_success(prepared, self.maps, self.stats, self._keys, self.stop_words,
+                                          self.year_bands, self.target)
 
     def candidate_success_union(self) -> DataFrame:
         return cand_ops.candidate_success_union(self.prepared, self.prepared_candidates, self.maps, self._keys,

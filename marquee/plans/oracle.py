@@ -127,6 +127,49 @@ weights AS (
   SELECT platform, type, 'title', word, CAST(11 - rank AS INTEGER) FROM title_top)"""
 
 
+# The stop list of the queries with a table of stop words.
+STOP_TABLE = """stops AS (
+  SELECT DISTINCT word FROM (SELECT unnest(string_split_regex(lower(text), '[^a-z]+')) AS word FROM benchmark)
+  WHERE word <> '')"""
+
+
+def base_with_stop_table() -> str:
+    """:func:`base` with the words of a table instead of the list."""
+    none = "['']"
+    prep = f"prep AS (SELECT *, {desc_tokens('description')} AS desc_tokens FROM seg)"
+    vocab = f"(SELECT platform, type, unnest({title_vocab('title')}) AS word FROM prep)"
+    sql = base()
+    assert prep in sql and vocab in sql
+    sql = sql.replace(prep, f"""{STOP_TABLE},
+raw AS (SELECT *, {desc_tokens('description')} AS all_words FROM seg),
+words AS (SELECT title_id, unnest(all_words) AS w, generate_subscripts(all_words, 1) AS place FROM raw),
+kept AS (SELECT title_id, list(w ORDER BY place) AS ws FROM words WHERE w NOT IN (SELECT word FROM stops)
+         GROUP BY title_id),
+prep AS (SELECT raw.*, coalesce(kept.ws, []) AS desc_tokens FROM raw LEFT JOIN kept ON kept.title_id = raw.title_id)""")
+    return sql.replace(vocab, f"(SELECT * FROM {vocab} WHERE word NOT IN (SELECT word FROM stops))").replace(STOPS, none)
+
+
+def inferred(source: str, columns: list[str], key: str = "") -> str:
+    """Column types of a relation, its values as text, by the narrowest type that fits every value."""
+    keyed = f"{key}, " if key else ""
+    parts = []
+    for at, name in enumerate(columns):
+        parts.append(f"SELECT {keyed}CAST({at} AS INTEGER) AS position, '{name}' AS column_name, "
+                     f"NULLIF(CAST({name} AS VARCHAR), '') AS v FROM {source}")
+    whole, real = "[+-]?[0-9]+", r"[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?"
+    day, time = "[0-9]{4}-[0-9]{2}-[0-9]{2}", r"[ T][0-9]{2}:[0-9]{2}:[0-9]{2}(\.[0-9]{1,6})?"
+
+    def all_fit(pattern, kind):
+        return f"bool_and(regexp_full_match(v, '{pattern}') AND TRY_CAST(v AS {kind}) IS NOT NULL)"
+    return f"""SELECT {keyed}position, column_name,
+  CASE WHEN count(v) = 0 THEN 'string' WHEN {all_fit(whole, 'INTEGER')} THEN 'int' WHEN {all_fit(whole, 'BIGINT')} THEN 'bigint'
+       WHEN {all_fit(real, 'DOUBLE')} THEN 'double' WHEN bool_and(lower(v) IN ('true', 'false')) THEN 'boolean'
+       WHEN {all_fit(day, 'DATE')} THEN 'date' WHEN {all_fit(f'{day}({time})?', 'TIMESTAMP')} THEN 'timestamp'
+       ELSE 'string' END AS column_type,
+  count(v) AS n_values, count(*) - count(v) AS n_nulls
+FROM ({" UNION ALL ".join(parts)}) GROUP BY {keyed}position, column_name"""
+
+
 def scored_ctes(src: str, name: str) -> str:
     """CTEs scoring relation ``src`` (``rid, platform, type, title, listed_in,
     release_year, desc_tokens``) into ``name`` with the four criteria and the total."""
@@ -187,6 +230,14 @@ CAND_PREP = f""",
 cand_prep AS (SELECT *, {desc_tokens('description')} AS desc_tokens FROM candidates)"""
 
 
+def _report_sql_whole() -> str:
+    """The reports of the ungrouped job: one heading a list, no segment."""
+    sql = _report_sql().replace(base(), base(whole=True))
+    kind = "platform || ' ' || (CASE type WHEN 'TV Show' THEN 'Séries' WHEN 'Movie' THEN 'Filmes' ELSE type END) || "
+    assert kind in sql
+    return f"SELECT report, line_no, line FROM ({sql.replace(kind, "'Catálogo' || ")})"
+
+
 def _report_sql() -> str:
     kind = "(CASE type WHEN 'TV Show' THEN 'Séries' WHEN 'Movie' THEN 'Filmes' ELSE type END)"
     heads = []
@@ -211,6 +262,10 @@ def _report_sql() -> str:
             + body)
 
 
+# The columns of the orders table.
+ORDERS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
+
+
 def oracle_sql() -> dict[str, str]:
     BASE, SCORED, SCALED, TOP15 = base(), scored(), scaled(), top15()
     cand_success = SCORED + CAND_PREP + ",\ncrows AS (SELECT cand_id AS rid, * FROM cand_prep)" + scored_ctes(
@@ -275,4 +330,25 @@ SELECT platform, type, true, cand_id, title, listed_in, release_year, rating, de
         "top15_from_csv": TOP15,
         "success_scaled_global": scaled(whole=True) + "\nSELECT title_id, total_points, sucesso FROM scaled",
         "top15_titles_global": top15(whole=True),
+        "catalog_inferred": f"WITH {CATALOG}\n" + inferred("catalog", [
+            "title_id", "type", "title", "listed_in", "release_year", "rating", "description"], "platform"),
+        "orders_inferred": inferred("orders", ORDERS),
+        "orders_typed": """
+SELECT o_orderpriority, count(*) AS n, max(o_orderkey) AS last_key, CAST(min(o_orderdate) AS DATE) AS first_date,
+       CAST(max(o_totalprice) AS DOUBLE) AS largest FROM orders GROUP BY o_orderpriority""",
+        "top_desc_words_stop_table": base_with_stop_table() + "\nSELECT * FROM desc_top",
+        "top_title_words_stop_table": base_with_stop_table() + "\nSELECT * FROM title_top",
+        "desc_clean_stop_table": base_with_stop_table() + """
+SELECT title_id, array_to_string(desc_tokens, ' ') AS description_scraped FROM prep""",
+        "total_points_stop_table": (
+            base_with_stop_table() + ",\nrows AS (SELECT title_id AS rid, * FROM prep)"
+            + scored_ctes("rows", "scored").replace(STOPS, "['']") + """
+SELECT title_id, points_criterion_1, points_criterion_2, points_criterion_3, points_criterion_4,
+       total_points FROM scored"""),
+        "top_desc_words_two_pass": BASE + "\nSELECT * FROM desc_top",
+        "title_ranks": SCORED + """
+SELECT platform, type, title_id, total_points,
+       row_number() OVER (PARTITION BY platform, type ORDER BY total_points DESC, title, title_id) AS rank FROM scored""",
+        "report_lines_global": _report_sql_whole(),
+        "csv_round_trip_global": top15(whole=True),
     }

@@ -12,12 +12,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marquee.operators.score import OUTPUT_COLUMNS
+from marquee.operators.score import OUTPUT_COLUMNS, POINT_COLUMNS
 from marquee.plans.job import CatalogJob
 from marquee.plans.materialize import scratch_path
 from marquee.sources.candidates import CANDIDATE_COLUMNS, candidates_from_tables
-from marquee.sources.catalog import (CATALOG_COLUMNS, SEGMENT_KEYS, catalog_from_tables,
-                                     read_catalog_csv)
+from marquee.sources.catalog import (CATALOG_COLUMNS, CSV_READ_OPTIONS, SEGMENT_KEYS, catalog_from_tables,
+                                     read_catalog_csv, read_typed_csv)
+from marquee.sources.headers import header_classes
+from marquee.sources.infer import column_types
 from marquee.sources.sinks import CSV_WRITE_OPTIONS, read_top_titles_csv, write_top_titles_csv
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -121,8 +123,8 @@ def _as_csv(spark: SparkSession, sf_dir: str) -> dict[str, list[str]]:
     names = [c for c in CATALOG_COLUMNS if c != "platform"]
     for part, columns in enumerate((names, names[::-1])):
         half = catalog.filter(F.col("title_id") % 2 == part).select(*columns, "platform")
-        (half.repartition("platform").write.partitionBy("platform").options(**CSV_WRITE_OPTIONS)
-             .csv(f"{path}/{part}"))
+        # Each task writes its own file a platform: no platform is gathered in one task.
+        half.write.partitionBy("platform").options(**CSV_WRITE_OPTIONS).csv(f"{path}/{part}")
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
     platform = F.regexp_extract("path", "/platform=([^/]+)/", 1).alias("platform")
     found: dict[str, list[str]] = {}
@@ -140,6 +142,82 @@ def q_top15_from_csv(spark, sf_dir):
     return CatalogJob(catalog).top_titles().select(*TOP_TITLE_COLUMNS)
 
 
+def q_catalog_inferred(spark, sf_dir):
+    """The types of the catalogue's columns, from its CSV files, per platform."""
+    names = [c for c in CATALOG_COLUMNS if c != "platform"]
+    raw = None
+    for platform, _, files in header_classes(spark, _as_csv(spark, sf_dir), CSV_READ_OPTIONS):
+        part = spark.read.options(**CSV_READ_OPTIONS).csv(files).select(*names, F.lit(platform).alias("platform"))
+        raw = part if raw is None else raw.unionByName(part)
+    return column_types(raw, names, ["platform"])
+
+
+def _orders_as_csv(spark, sf_dir):
+    path = scratch_path(spark, "orders_csv")
+    spark.read.parquet(f"{sf_dir.rstrip('/')}/orders.parquet").write.options(**CSV_WRITE_OPTIONS).csv(path)
+    return path
+
+
+def q_orders_inferred(spark, sf_dir):
+    """The types of the orders' columns, from CSV files of them."""
+    (_, _, files), = header_classes(spark, {"orders": [_orders_as_csv(spark, sf_dir)]}, CSV_READ_OPTIONS)
+    return column_types(spark.read.options(**CSV_READ_OPTIONS).csv(files))
+
+
+def q_orders_typed(spark, sf_dir):
+    """Orders per priority from typed CSV files: keys, dates and prices need no casts."""
+    orders = read_typed_csv(spark, _orders_as_csv(spark, sf_dir))
+    return orders.groupBy("o_orderpriority").agg(
+        F.count(F.lit(1)).alias("n"), F.max("o_orderkey").cast("bigint").alias("last_key"),
+        F.min("o_orderdate").cast("date").alias("first_date"), F.max("o_totalprice").alias("largest"))
+
+
+def _stop_list(spark, sf_dir):
+    """A stop list that grows with the tables: every word of ASCII letters of the benchmark texts."""
+    texts = spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet").select("text")
+    words = texts.select(F.explode(F.split(F.lower("text"), "[^a-z]+")).alias("word"))
+    return words.filter("word != ''")
+
+
+def _with_stop_table(spark, sf_dir):
+    return CatalogJob(catalog_from_tables(spark, sf_dir), stop_words=_stop_list(spark, sf_dir))
+
+
+def q_top_desc_words_stop_table(spark, sf_dir):
+    return _with_stop_table(spark, sf_dir).top_desc_words()
+
+
+def q_top_title_words_stop_table(spark, sf_dir):
+    return _with_stop_table(spark, sf_dir).top_title_words()
+
+
+def q_desc_clean_stop_table(spark, sf_dir):
+    return _with_stop_table(spark, sf_dir).desc_clean()
+
+
+def q_total_points_stop_table(spark, sf_dir):
+    return _with_stop_table(spark, sf_dir).scored.select("title_id", *POINT_COLUMNS, "total_points")
+
+
+def q_top_desc_words_two_pass(spark, sf_dir):
+    return job(spark, sf_dir).top_desc_words_two_pass()
+
+
+def q_title_ranks(spark, sf_dir):
+    return job(spark, sf_dir).title_ranks()
+
+
+def q_report_lines_global(spark, sf_dir):
+    return CatalogJob(catalog_from_tables(spark, sf_dir), keys=()).report_lines()
+
+
+def q_csv_round_trip_global(spark, sf_dir):
+    """``top15_titles_global`` written as one CSV file into the shared folder and read back."""
+    path = scratch_path(spark, "top15_csv")
+    write_top_titles_csv(CatalogJob(catalog_from_tables(spark, sf_dir), keys=()).top_titles(), path, ())
+    return read_top_titles_csv(spark, path, ()).select("title_id", *OUTPUT_COLUMNS)
+
+
 def q_success_scaled_global(spark, sf_dir):
     return CatalogJob(catalog_from_tables(spark, sf_dir), keys=()).scaled.select(
         "title_id", "total_points", "sucesso")
@@ -176,6 +254,17 @@ QUERIES: dict[str, Query] = {
     "top15_from_csv": q_top15_from_csv,
     "success_scaled_global": q_success_scaled_global,
     "top15_titles_global": q_top15_titles_global,
+    "catalog_inferred": q_catalog_inferred,
+    "orders_inferred": q_orders_inferred,
+    "orders_typed": q_orders_typed,
+    "top_desc_words_stop_table": q_top_desc_words_stop_table,
+    "top_title_words_stop_table": q_top_title_words_stop_table,
+    "desc_clean_stop_table": q_desc_clean_stop_table,
+    "total_points_stop_table": q_total_points_stop_table,
+    "top_desc_words_two_pass": q_top_desc_words_two_pass,
+    "title_ranks": q_title_ranks,
+    "report_lines_global": q_report_lines_global,
+    "csv_round_trip_global": q_csv_round_trip_global,
 }
 
 __all__ = ["QUERIES", "Query", "job"]

@@ -4,6 +4,7 @@ Outputs under ``out``::
 
     top_titles/platform=.../type=.../part-*.csv     best titles per segment (H1)
     reports/platform=.../type=.../report=.../part-*  ranked text reports (H2)
+        (a job without keys: top_titles/part-*.csv and reports/report=.../part-*)
     candidates/part-*.csv                           candidate success, when candidates are given
 """
 
@@ -32,8 +33,7 @@ def read_candidates_csv(spark: SparkSession, path: str | Sequence[str]) -> DataF
 def run_job(job: CatalogJob, out: str, mode: str = "overwrite") -> None:
     """Write the best titles, the reports and (if any) the candidates' success under ``out``."""
     write_top_titles_csv(job.top_titles(), f"{out}/top_titles", job.keys, mode)
-    if job.keys:  # reports are titled by platform and type
-        write_reports(job.report_lines(), f"{out}/reports", job.keys, mode)
+    write_reports(job.report_lines(), f"{out}/reports", job.keys, mode)
     if job.candidates is not None:
         (job.candidate_success().write.mode(mode).options(**CSV_WRITE_OPTIONS)
          .csv(f"{out}/candidates"))

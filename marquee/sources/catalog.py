@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marquee.plans.materialize import materialize
+from marquee.sources.headers import header_classes
+from marquee.sources.infer import typed
 
 SEGMENT_KEYS: tuple[str, ...] = ("platform", "type")
 # The two title types that form segments; other types and nulls drop out.
@@ -103,19 +105,10 @@ def _listed(paths: str | Sequence[str]) -> list[str]:
     return [paths] if isinstance(paths, str) else list(paths)
 
 
-def _by_header(spark: SparkSession, paths: list[str], options: Mapping[str, str]) -> list[DataFrame]:
-    """One frame for each different header among the files, so that columns go by name in every file.
-
-    Spark applies the first file's header to all files of a read. File names are
-    listed without reading contents; each file's header is a read of its first line.
-    """
-    files = [r.path for r in spark.read.format("binaryFile").load(paths).select("path").collect()]
-    groups: dict[tuple[str, ...], list[str]] = {}
-    for file in sorted(files):
-        header = tuple(spark.read.options(**options).csv(file).columns)
-        if header:
-            groups.setdefault(header, []).append(file)
-    return [spark.read.options(**options).csv(group) for group in groups.values()]
+def _named(spark: SparkSession, header: Sequence[str], options: Mapping[str, str]):
+    """A reader of files with a known header: every column is text, and no job looks at the files again."""
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in header])
+    return spark.read.options(**options).schema(schema)
 
 
 def read_catalog_csv(spark: SparkSession, paths: Mapping[str, str | Sequence[str]],
@@ -134,25 +127,42 @@ def read_catalog_csv(spark: SparkSession, paths: Mapping[str, str | Sequence[str
     ``multiline=False`` splits large files and needs every record on one line.
     ``one_header`` says that a platform's files share the first one's header;
     it spares a look at each file, and a file with another header fails the read.
+    Otherwise the headers of all files are found in one job (:mod:`marquee.sources.headers`).
     """
     options = {**CSV_READ_OPTIONS, "multiLine": str(multiline).lower()}
+    if one_header:
+        raws = [(p, spark.read.options(**options, enforceSchema="false").csv(_listed(f))) for p, f in paths.items()]
+    else:
+        classes = header_classes(spark, {p: _listed(f) for p, f in paths.items()}, options)
+        raws = [(p, _named(spark, header, options).csv(files)) for p, header, files in classes]
     frames = []
-    for platform, files in paths.items():
-        files = _listed(files)
-        if one_header:
-            raws = [spark.read.options(**options, enforceSchema="false").csv(files)]
-        else:
-            raws = _by_header(spark, files, options)
-        for raw in raws:
-            key = id_column if id_column in raw.columns else None
-            if id_column is not None and key is None:
-                raise ValueError(f"a file of {platform} has no column {id_column!r}")
-            frames.append(conform(raw if key else raw.withColumn("title_id", F.lit(None).cast("bigint")),
-                                  platform, key))
+    for platform, raw in raws:
+        key = id_column if id_column in raw.columns else None
+        if id_column is not None and key is None:
+            raise ValueError(f"a file of {platform} has no column {id_column!r}")
+        frames.append(conform(raw if key else raw.withColumn("title_id", F.lit(None).cast("bigint")),
+                              platform, key))
     catalog = _union(frames)
     return catalog if id_column is not None else number_titles(catalog, tables)
 
 
+def read_typed_csv(spark: SparkSession, paths: str | Sequence[str], multiline: bool = True) -> DataFrame:
+    """CSV files as one frame of typed columns, by name: the types are inferred from all values of all files.
+
+    The types do not depend on the order of files or rows; one value that does
+    not fit makes a column text. Columns that a file lacks are null there.
+    """
+    options = {**CSV_READ_OPTIONS, "multiLine": str(multiline).lower()}
+    frames = [_named(spark, header, options).csv(files)
+              for _, header, files in header_classes(spark, {"": _listed(paths)}, options)]
+    out = frames[0] if frames else None
+    for frame in frames[1:]:
+        out = out.unionByName(frame, allowMissingColumns=True)
+    if out is None:
+        raise ValueError("no file with a header")
+    return typed(out)
+
+
 def read_catalog_parquet(spark: SparkSession, paths: Mapping[str, str | Sequence[str]],
                          id_column: str | None = None, tables: list[str] | None = None) -> DataFrame:
     """Read Parquet catalogues per platform: splittable, and columns go by name.

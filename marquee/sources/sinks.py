@@ -39,18 +39,23 @@ def write_top_titles_csv(top: DataFrame, path: str,
     """One CSV file with a header per segment, under ``path/platform=.../type=...``.
 
     The rows (at most ``n`` per segment) are gathered by segment into one task
-    and written best first.
+    and written best first. Without keys there is one segment, hence one file in ``path``.
     """
     order = [F.col("total_points").desc(), F.col("title"), F.col("title_id")]
+    if not keys:
+        (top.select("title_id", *OUTPUT_COLUMNS).coalesce(1).sortWithinPartitions(*order)
+            .write.mode(mode).options(**CSV_WRITE_OPTIONS).csv(path))
+        return
     (top.select("title_id", *OUTPUT_COLUMNS, *keys)
         .repartition(*[F.col(k) for k in keys])
         .sortWithinPartitions(*[F.col(k) for k in keys], *order)
         .write.mode(mode).partitionBy(*keys).options(**CSV_WRITE_OPTIONS).csv(path))
 
 
-def read_top_titles_csv(spark: SparkSession, path: str) -> DataFrame:
+def read_top_titles_csv(spark: SparkSession, path: str, keys: Sequence[str] = SEGMENT_KEYS) -> DataFrame:
     """Read back :func:`write_top_titles_csv` output with its declared schema."""
-    return (spark.read.schema(TOP_TITLES_SCHEMA).options(**CSV_READ_OPTIONS)
+    schema = T.StructType([f for f in TOP_TITLES_SCHEMA if f.name in keys or f.name not in SEGMENT_KEYS])
+    return (spark.read.schema(schema).options(**CSV_READ_OPTIONS)
             .option("basePath", path).csv(path))
 
 

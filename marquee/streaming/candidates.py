@@ -12,7 +12,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from marquee.operators.candidates import candidate_success, prepare_candidates
 from marquee.plans.job import CatalogJob
 from marquee.sources.candidates import CANDIDATE_SCHEMA
 
@@ -39,8 +38,7 @@ def candidate_success_stream(job: CatalogJob, candidates: DataFrame) -> DataFram
     ``job`` supplies the catalogue's weight maps and segment statistics; they
     are written (and broadcast by size) before the stream starts.
     """
-    prepared = prepare_candidates(candidates, job.stop_words)
-    return candidate_success(prepared, job.maps, job.stats, job.keys, job.stop_words)
+    return job.success_of(candidates)
 
 
 def start_candidate_scoring(job: CatalogJob, source: str, sink: str, checkpoint: str,

@@ -145,3 +145,14 @@ def test_rules_by_name_equal_rules_by_column(spark, name):
     a = df.select(rule("v").alias("r")).collect()
     b = df.select(rule(F.col("v")).alias("r")).collect()
     assert a == b
+
+
+def test_year_in_digits_of_any_script(spark):
+    values = ["٢٠١٥", "२०१५", "2０15", " ٢_٠١٥ ", "𝟐𝟎𝟏𝟓", "²015", "٢٠١٥x", "Ⅻ"]
+
+    def python(text):
+        try:
+            return int(text)
+        except ValueError:
+            return None
+    assert apply(spark, values, scoring.parse_year) == [python(v) for v in values]

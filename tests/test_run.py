@@ -62,3 +62,25 @@ def test_command_line_options_reach_the_job(spark):
     assert options == {"types": ["Movie"], "top_n": (12, 6, 3), "weight_steps": (2, 5, 1),
                        "year_bands": [(1990, 1999, 7)], "target": (0, 1), "top_titles_n": 4}
     assert job_options(spark, parser().parse_args(["--catalog", "p=/x", "--out", "/y"])) == {}
+
+
+def test_ungrouped_run_from_files(spark):
+    """The whole job over one segment, from files to every written output."""
+    src, out = scratch_path(spark, "run_whole"), scratch_path(spark, "run_whole_out")
+    cat, cands = catalog_from_tables(spark, SMOKE), candidates_from_tables(spark, SMOKE)
+    catalogs = {}
+    for platform in ("en", "de"):
+        catalogs[platform] = f"{src}/{platform}"
+        cat.filter(F.col("platform") == platform).drop("platform").write.options(**CSV_WRITE_OPTIONS).csv(catalogs[platform])
+    cands.write.options(**CSV_WRITE_OPTIONS).csv(f"{src}/candidates")
+    run_from_files(spark, catalogs, out, f"{src}/candidates", id_column="title_id", keys=())
+    with CatalogJob(cat.filter("platform in ('en', 'de')"), cands, keys=()) as job:
+        want = job.top_titles()
+        got = read_top_titles_csv(spark, f"{out}/top_titles", ())
+        assert got.columns == want.columns and sorted(got.collect()) == sorted(want.collect())
+        lines = spark.read.text(f"{out}/reports/report=top_genres").collect()
+        wanted = job.report_lines().filter("report = 'top_genres'").orderBy("line_no").collect()
+        assert [r.value for r in lines] == [r.line for r in wanted] and lines[0].value.startswith("Catálogo - Top 5")
+        scored = spark.read.option("header", True).csv(f"{out}/candidates")
+        assert sorted((int(r.cand_id), float(r.sucesso)) for r in scored.collect()) == \
+            sorted((r.cand_id, r.sucesso) for r in job.candidate_success().collect())

@@ -48,3 +48,18 @@ def test_restarted_stream_finds_new_candidates(spark):
         query.awaitTermination(300)
     streamed = sorted(tuple(r) for r in spark.read.parquet(sink).collect())
     assert streamed == sorted(tuple(r) for r in job.candidate_success().collect())
+
+
+def test_stream_takes_every_parameter_of_the_job(spark):
+    cands = candidates_from_tables(spark, SMOKE)
+    source = scratch_path(spark, "cand_params")
+    cands.write.parquet(source)
+    for options in ({"target": (0.0, 10.0), "year_bands": [(1990, 2030, 7)]}, {"keys": ()}, {"keys": ("type",)},
+                    {"stop_words": ["the"], "top_n": (3, 2, 1), "weight_steps": (4, 3, 2)},
+                    {"stop_words": spark.createDataFrame([("the",)], "w string")}):
+        with CatalogJob(catalog_from_tables(spark, SMOKE), cands, **options) as job:
+            sink = scratch_path(spark, "cand_params_sink")
+            query = start_candidate_scoring(job, source, sink, scratch_path(spark, "ckpt"), available_now=True)
+            query.awaitTermination(300)
+            streamed = sorted(tuple(r) for r in spark.read.parquet(sink).collect())
+            assert streamed == sorted(tuple(r) for r in job.candidate_success().collect()), options
