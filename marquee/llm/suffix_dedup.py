@@ -18,7 +18,8 @@ A window is ``WINDOW`` bytes of one text. The steps are
    gathered: the windows of their segments are grouped by 128-bit hash, with partial aggregation.
 5. The covered ranges of a document are merged where its text is.
 
-Order is by document id, then by start; a null id comes first.
+A document is an id and a text: rows that share an id (or have none) but not the text are told apart by a 64-bit hash
+of the text, their ``twin``. Order is by id, then twin, then start; a null id comes first.
 """
 
 from __future__ import annotations
@@ -46,7 +47,7 @@ CORE_STEP = 8
 _PLACES = 1 << 21
 _NULL_ID = -(1 << 63)
 
-SEGMENTS = "anchor bigint, segment bigint, doc_id bigint, start int, length int, settled boolean"
+SEGMENTS = "anchor bigint, segment bigint, doc_id bigint, twin bigint, start int, length int, settled boolean"
 WHOLE, EDGE, HOT = 0, 1, 2
 
 
@@ -55,6 +56,11 @@ def id_order(id: str):
     return F.coalesce(F.col(id).cast("bigint"), F.lit(_NULL_ID))
 
 
+def twins(hashing: RollingHash, offsets: np.ndarray, data: np.ndarray) -> np.ndarray:
+    """A hash of each text of a slice."""
+    return hashing.ranges(hashing.prefix(data), offsets[:-1], offsets[1:]).view(np.int64)
+
+
 def least_in_windows(values: np.ndarray, width: int) -> np.ndarray:
     """The least value of every ``width`` consecutive ones."""
     full = np.full(-(-len(values) // width) * width, np.iinfo(values.dtype).max, values.dtype)
@@ -107,18 +113,20 @@ def segments(docs: DataFrame, id: str, text: str) -> DataFrame:
             for i, j, offsets, data in slices(batch.column(1)):
                 anchor, segment, start, end = segments_of(hashing, offsets, data)
                 doc = np.searchsorted(offsets, start, side="right") - 1
-                found.append((anchor, segment, keys[i + doc], start - offsets[doc], end - start))
+                found.append((anchor, segment, keys[i + doc], twins(hashing, offsets, data)[doc],
+                              start - offsets[doc], end - start))
             if not found:
                 continue
-            anchor, segment, doc, start, length = map(np.concatenate, zip(*found))
-            order = np.lexsort((start, doc, segment))
-            anchor, segment, doc, start, length = (x[order] for x in (anchor, segment, doc, start, length))
+            anchor, segment, doc, twin, start, length = map(np.concatenate, zip(*found))
+            order = np.lexsort((start, twin, doc, segment))
+            anchor, segment, doc, twin, start, length = (x[order] for x in (anchor, segment, doc, twin, start, length))
             again = np.zeros(len(order), bool)
             again[1:] = (segment[1:] == segment[:-1]) & (anchor[1:] == anchor[:-1])
             head = np.maximum.accumulate(np.where(again, 0, np.arange(len(order))))
-            own = again & (doc == doc[head]) & (start == start[head])  # a repeated row, not an earlier one
-            anchor = np.where(again, mix64(doc.astype(np.uint64) ^ mix64(start.astype(np.uint64))), anchor)
-            columns = [anchor.view(np.int64), segment.view(np.int64), doc, start.astype(np.int32),
+            # A repeated row is not an earlier one.
+            own = again & (doc == doc[head]) & (twin == twin[head]) & (start == start[head])
+            anchor = np.where(again, mix64(doc.view(np.uint64) ^ mix64(start.astype(np.uint64))), anchor)
+            columns = [anchor.view(np.int64), segment.view(np.int64), doc, twin, start.astype(np.int32),
                        length.astype(np.int32), again]
             keep = ~own
             yield pa.RecordBatch.from_arrays([pa.array(c[keep]) for c in columns],
@@ -128,7 +136,7 @@ def segments(docs: DataFrame, id: str, text: str) -> DataFrame:
 
 
 def sort_out(found: DataFrame) -> DataFrame:
-    """``(anchor, doc_id, start, length, kind)`` from segments in order of anchor, segment and place.
+    """``(anchor, doc_id, twin, start, length, kind)`` from segments in order of anchor, segment and place.
 
     ``WHOLE``: covered, an equal segment is earlier. ``EDGE``: first of its
     kind under an anchor with others. ``HOT``: as ``EDGE``, with more others than a shard takes.
@@ -138,11 +146,11 @@ def sort_out(found: DataFrame) -> DataFrame:
     def emit(rows, kind):
         n = len(rows[0])
         return pa.RecordBatch.from_arrays(
-            [pa.array(rows[0]), pa.array(rows[1]), pa.array(rows[2]), pa.array(rows[3]),
-             pa.array(np.full(n, kind, np.int32))], ["anchor", "doc_id", "start", "length", "kind"])
+            [*map(pa.array, rows), pa.array(np.full(n, kind, np.int32))],
+            ["anchor", "doc_id", "twin", "start", "length", "kind"])
 
     def run(batches):
-        before = None           # anchor, segment, document and start of the last first segment
+        before = None           # anchor, segment, document, twin and start of the last first segment
         held, held_rows, hot = [], 0, False   # first segments of the current anchor
 
         def flush():
@@ -157,30 +165,32 @@ def sort_out(found: DataFrame) -> DataFrame:
         for batch in batches:
             if batch.num_rows == 0:
                 continue
-            anchor, segment, doc, start, length = (batch.column(k).to_numpy() for k in range(5))
-            settled = batch.column(5).to_numpy(zero_copy_only=False)
+            anchor, segment, doc, twin, start, length = (batch.column(k).to_numpy() for k in range(6))
+            settled = batch.column(6).to_numpy(zero_copy_only=False)
             if settled.any():
-                yield emit((anchor[settled], doc[settled], start[settled], length[settled]), WHOLE)
+                yield emit([x[settled] for x in (anchor, doc, twin, start, length)], WHOLE)
                 open_ = ~settled
-                anchor, segment, doc, start, length = (x[open_] for x in (anchor, segment, doc, start, length))
+                anchor, segment, doc, twin, start, length = (
+                    x[open_] for x in (anchor, segment, doc, twin, start, length))
                 if len(anchor) == 0:
                     continue
             if before is None:
-                before = (anchor[0], ~segment[0], 0, 0)
+                before = (anchor[0], ~segment[0], 0, 0, 0)
             new_anchor = np.append(anchor[0] != before[0], anchor[1:] != anchor[:-1])
             first = new_anchor | np.append(segment[0] != before[1], segment[1:] != segment[:-1])
             head = np.maximum.accumulate(np.where(first, np.arange(len(first)), -1))
             head_doc = np.where(head < 0, before[2], doc[head])
-            head_start = np.where(head < 0, before[3], start[head])
-            later = ~first & ((doc != head_doc) | (start != head_start))
-            yield emit((anchor[later], doc[later], start[later], length[later]), WHOLE)
+            head_twin = np.where(head < 0, before[3], twin[head])
+            head_start = np.where(head < 0, before[4], start[head])
+            later = ~first & ((doc != head_doc) | (twin != head_twin) | (start != head_start))
+            yield emit([x[later] for x in (anchor, doc, twin, start, length)], WHOLE)
             at = np.flatnonzero(first)
             if len(at):
-                before = (anchor[at[-1]], segment[at[-1]], doc[at[-1]], start[at[-1]])
+                before = tuple(x[at[-1]] for x in (anchor, segment, doc, twin, start))
             cut = np.flatnonzero(new_anchor[at])
             # What continues the held anchor, the anchors that end here, and the one that may go on.
             bounds = np.concatenate([[0], cut, [len(at)]])
-            rows = (anchor[at], doc[at], start[at], length[at])
+            rows = tuple(x[at] for x in (anchor, doc, twin, start, length))
             if bounds[1] > 0:
                 held.append(tuple(c[:bounds[1]] for c in rows))
                 held_rows += int(bounds[1])
@@ -201,27 +211,28 @@ def sort_out(found: DataFrame) -> DataFrame:
                 yield from flush()
         yield from flush()
 
-    order = ["anchor", "segment", "doc_id", "start"]
+    order = ["anchor", "segment", "doc_id", "twin", "start"]
     return found.repartition("anchor").sortWithinPartitions(*order).mapInArrow(
-        run, "anchor bigint, doc_id bigint, start int, length int, kind int")
+        run, "anchor bigint, doc_id bigint, twin bigint, start int, length int, kind int")
 
 
 def packed_texts(docs: DataFrame, id: str, text: str) -> DataFrame:
-    """``(doc_id, packed)``: compressed texts, so that a join moves less."""
+    """``(doc_id, twin, packed)``: compressed texts, so that a join moves less."""
 
     def run(batches):
-        packer = zstandard.ZstdCompressor(level=3)
+        hashing, packer = RollingHash(), zstandard.ZstdCompressor(level=3)
         for batch in batches:
             texts = batch.column(1).cast(pa.large_binary()).to_pylist()
+            own = [twins(hashing, offsets, data) for _, _, offsets, data in slices(batch.column(1))]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([packer.compress(t or b"") for t in texts], pa.binary())],
-                ["doc_id", "packed"])
+                [batch.column(0), pa.array(np.concatenate(own) if own else [], pa.int64()),
+                 pa.array([packer.compress(t or b"") for t in texts], pa.binary())], ["doc_id", "twin", "packed"])
 
     return docs.select(id_order(id).alias("doc_id"), F.col(text).alias("text")).mapInArrow(
-        run, "doc_id bigint, packed binary")
+        run, "doc_id bigint, twin bigint, packed binary")
 
 
-PIECES = "kind int, anchor bigint, other bigint, doc_id bigint, start int, bytes binary"
+PIECES = "kind int, anchor bigint, other bigint, doc_id bigint, twin bigint, start int, bytes binary"
 
 
 def pieces(joined: DataFrame) -> DataFrame:
@@ -231,33 +242,34 @@ def pieces(joined: DataFrame) -> DataFrame:
         hashing, unpacker = RollingHash(), zstandard.ZstdDecompressor()
         for batch in batches:
             edge, hot = [], []
-            for doc, blob, spans in zip(*(batch.column(k).to_pylist() for k in range(3))):
+            for doc, twin, blob, spans in zip(*(batch.column(k).to_pylist() for k in range(4))):
                 text = unpacker.decompress(blob)
                 flip = np.frombuffer(text, np.uint8)
                 for s in spans:
                     a, b = s["start"], s["start"] + s["length"]
                     if s["kind"] == EDGE:
-                        edge.append((s["anchor"], doc, a, text[a:b]))
+                        edge.append((s["anchor"], doc, twin, a, text[a:b]))
                         continue
                     at = np.arange(b - a - WINDOW + 1)
                     one, two = (hashing.ranges(hashing.prefix(x), at, at + WINDOW).view(np.int64)
                                 for x in (flip[a:b], 255 - flip[a:b]))
-                    hot.append((one, two, np.full(len(at), doc), (a + at).astype(np.int32)))
+                    hot.append((one, two, np.full(len(at), doc), np.full(len(at), twin), (a + at).astype(np.int32)))
             if edge:
-                anchor, doc, start, data = zip(*edge)
+                anchor, doc, twin, start, data = zip(*edge)
                 n = len(edge)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.full(n, EDGE, np.int32)), pa.array(anchor, pa.int64()), pa.nulls(n, pa.int64()),
-                     pa.array(doc, pa.int64()), pa.array(start, pa.int32()), pa.array(data, pa.binary())],
+                     pa.array(doc, pa.int64()), pa.array(twin, pa.int64()), pa.array(start, pa.int32()),
+                     pa.array(data, pa.binary())],
                     [f.split()[0] for f in PIECES.split(", ")])
             if hot:
-                one, two, doc, start = map(np.concatenate, zip(*hot))
+                one, two, doc, twin, start = map(np.concatenate, zip(*hot))
                 n = len(one)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(n, HOT, np.int32)), pa.array(one), pa.array(two), pa.array(doc),
+                    [pa.array(np.full(n, HOT, np.int32)), pa.array(one), pa.array(two), pa.array(doc), pa.array(twin),
                      pa.array(start), pa.nulls(n, pa.binary())], [f.split()[0] for f in PIECES.split(", ")])
 
-    return joined.select("doc_id", "packed", "spans").mapInArrow(run, PIECES)
+    return joined.select("doc_id", "twin", "packed", "spans").mapInArrow(run, PIECES)
 
 
 def able_ranges(hashing: RollingHash, anchor: np.ndarray, data: list[bytes], window: int = WINDOW,
@@ -337,21 +349,34 @@ def shard_repeats(doc: np.ndarray, start: np.ndarray, data: list[bytes], window:
 
 
 def shards(edges: DataFrame) -> DataFrame:
-    """``(doc_id, start, end)`` of the covered ranges of edge segments, shard by shard of whole anchors."""
+    """``(doc_id, twin, start, end)`` of the covered ranges of edge segments, shard by shard of whole anchors."""
 
     def solve(held):
-        anchor, doc, start = (np.concatenate([b.column(k).to_numpy() for b in held]) for k in range(3))
-        data = [x for b in held for x in b.column(3).to_pylist()]
+        anchor, doc, twin, start = (np.concatenate([b.column(k).to_numpy() for b in held]) for k in range(4))
+        data = [x for b in held for x in b.column(4).to_pylist()]
+        # Equal rows have sent the same segments: sorted, each is next to its like.
+        once = np.ones(len(doc), bool)
+        once[1:] = ((anchor[1:] != anchor[:-1]) | (doc[1:] != doc[:-1]) | (twin[1:] != twin[:-1])
+                    | (start[1:] != start[:-1]))
+        anchor, doc, twin, start = (x[once] for x in (anchor, doc, twin, start))
+        data = [data[k] for k in np.flatnonzero(once).tolist()]
+        # Documents by their place in the order of ids and twins.
+        order = np.lexsort((twin, doc))
+        fresh = np.append(True, (doc[order][1:] != doc[order][:-1]) | (twin[order][1:] != twin[order][:-1]))
+        place = np.empty(len(doc), np.int64)
+        place[order] = np.cumsum(fresh) - 1
+        docs, hashes = doc[order][fresh], twin[order][fresh]
         own, low, high = able_ranges(RollingHash(), anchor, data)
         data = [data[k][a:b] for k, a, b in zip(own.tolist(), low.tolist(), high.tolist())]
-        a, b, c = shard_repeats(doc[own], start[own] + low, data)
-        return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b.astype(np.int32)), pa.array(c.astype(np.int32))],
-                                          ["doc_id", "start", "end"])
+        a, b, c = shard_repeats(place[own], start[own] + low, data)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(docs[a]), pa.array(hashes[a]), pa.array(b.astype(np.int32)), pa.array(c.astype(np.int32))],
+            ["doc_id", "twin", "start", "end"])
 
     def run(batches):
         held, size = [], 0
         for batch, ends in whole_groups(batches, 1):
-            weight = np.append(0, np.cumsum(pc.binary_length(batch.column(3)).to_numpy()))
+            weight = np.append(0, np.cumsum(pc.binary_length(batch.column(4)).to_numpy()))
             at = 0
             for end in ends[1:].tolist():
                 if size + weight[end] - weight[at] >= SHARD_BYTES:
@@ -364,18 +389,18 @@ def shards(edges: DataFrame) -> DataFrame:
         if held:
             yield solve(held)
 
-    rows = edges.select("anchor", "doc_id", "start", "bytes")
-    return rows.repartition("anchor").sortWithinPartitions("anchor", "doc_id", "start").mapInArrow(
-        run, "doc_id bigint, start int, end int")
+    rows = edges.select("anchor", "doc_id", "twin", "start", "bytes")
+    return rows.repartition("anchor").sortWithinPartitions("anchor", "doc_id", "twin", "start").mapInArrow(
+        run, "doc_id bigint, twin bigint, start int, end int")
 
 
 def hot_repeats(hot: DataFrame) -> DataFrame:
-    """``(doc_id, start, end)`` of windows, known by their hashes, of which an earlier one exists."""
-    place = F.struct("doc_id", "start")
+    """``(doc_id, twin, start, end)`` of windows, known by their hashes, of which an earlier one exists."""
+    place = F.struct("doc_id", "twin", "start")
     least = hot.groupBy("anchor", "other").agg(F.min(place).alias("least"), F.count(F.lit(1)).alias("n"))
     least = least.filter("n > 1").select(F.col("anchor").alias("a"), F.col("other").alias("o"), "least")
     later = hot.join(least, (hot.anchor == least.a) & (hot.other == least.o)).filter(place != F.col("least"))
-    return later.select("doc_id", "start", (F.col("start") + WINDOW).alias("end"))
+    return later.select("doc_id", "twin", "start", (F.col("start") + WINDOW).alias("end"))
 
 
 def merged(spans: list, n: int) -> list[tuple[int, int]]:
@@ -399,23 +424,25 @@ def remove_repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", with
     earlier, in a document of smaller id or earlier in its own; windows are
     taken from the input, not from what is left. A null or empty text has
     nothing to remove; a text shorter than a window stays whole; a null id is
-    the least and stays null. Rows of one id are taken for one document: a repeated row is
-    reported again and is no earlier copy of itself. An empty table gives no rows; other columns
+    the least and stays null. Equal rows (id and text) are one document: a repeated row is
+    reported again and is no earlier copy of itself. Rows of one id, or of none, with different texts are different
+    documents, the one with the lesser hash first. An empty table gives no rows; other columns
     are ignored, whatever their names.
     """
     rows = materialize(sort_out(segments(docs, id, text)), "segments")
-    spans = rows.filter(F.col("kind") != WHOLE).groupBy("doc_id").agg(
+    spans = rows.filter(F.col("kind") != WHOLE).groupBy(F.col("doc_id").alias("d"), F.col("twin").alias("w")).agg(
         F.collect_list(F.struct("start", "length", "kind", "anchor")).alias("spans"))
     texts = packed_texts(docs, id, text)
-    parts = materialize(pieces(texts.join(spans.withColumnRenamed("doc_id", "d"), F.col("doc_id") == F.col("d"))),
-                        "pieces")
+    same = (F.col("doc_id") == F.col("d")) & (F.col("twin") == F.col("w"))
+    parts = materialize(pieces(texts.join(spans, same)), "pieces")
     edge = parts.filter(F.col("kind") == EDGE)
-    hot = parts.filter(F.col("kind") == HOT).select("anchor", "other", "doc_id", "start")
+    hot = parts.filter(F.col("kind") == HOT).select("anchor", "other", "doc_id", "twin", "start")
     covered = rows.filter(F.col("kind") == WHOLE).select(
-        "doc_id", "start", (F.col("start") + F.col("length")).alias("end"))
+        "doc_id", "twin", "start", (F.col("start") + F.col("length")).alias("end"))
     covered = covered.union(shards(edge)).union(hot_repeats(hot))
-    per_doc = covered.groupBy(F.col("doc_id").alias("d")).agg(F.collect_list(F.struct("start", "end")).alias("spans"))
-    joined = texts.join(per_doc, F.col("doc_id") == F.col("d"), "left").select("doc_id", "packed", "spans")
+    per_doc = covered.groupBy(F.col("doc_id").alias("d"), F.col("twin").alias("w")).agg(
+        F.collect_list(F.struct("start", "end")).alias("spans"))
+    joined = texts.join(per_doc, same, "left").select("doc_id", "packed", "spans")
 
     def run(batches):
         unpacker = zstandard.ZstdDecompressor()

@@ -107,3 +107,27 @@ def test_odd_rows_and_empty_table(odd_rows):
     rows = [(r.doc_id, r.text) for r in odd_rows.collect()]
     assert collected(remove_repeats(odd_rows), *COLUMNS) == brute(rows)
     assert remove_repeats(empty_of(odd_rows)).collect() == []
+
+
+def test_null_and_repeated_ids_of_different_texts(spark):
+    """Rows that share an id but not the text are documents of their own: no crash, and no clean byte goes."""
+    rng = random.Random(11)
+    a, b, c = ("".join(rng.choice("abcdefgh ") for _ in range(300)) for _ in range(3))
+    shared = a[100:250]
+    rows = [(None, a), (None, b + shared), (None, shared + c), (None, a), (7, b), (7, c + b[:150]), (7, b),
+            (1, a), (2, a), (2, c), (8, None), (8, ""), (8, c[:120] + shared)]
+    # The order of the operator: id (null first), then the hash of the text.
+    hashing = RollingHash()
+
+    def twin(text):
+        raw = np.frombuffer((text or "").encode(), np.uint8)
+        return int(suffix_dedup.twins(hashing, np.array([0, len(raw)]), raw)[0])
+    places = sorted({(i is not None, i or 0, twin(t)) for i, t in rows})
+    numbered = [(places.index((i is not None, i or 0, twin(t))), t) for i, t in rows]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = sorted(tuple(r[x] for x in COLUMNS[1:]) for r in remove_repeats(frame).collect())
+    assert got == sorted(r[1:] for r in brute(numbered))
+    clean = [(1, a), (2, a), (2, c)]
+    kept = {(r.doc_id, r.n_bytes, r.n_removed) for r in remove_repeats(
+        spark.createDataFrame(clean, "doc_id long, text string")).collect()}
+    assert kept == {(1, 300, 0), (2, 300, 300), (2, 300, 0)}
