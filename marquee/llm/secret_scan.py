@@ -5,7 +5,9 @@ dotted tokens, armoured blocks) are decoded and reported only if what they hold
 as what it claims to be: a token header that is JSON with an algorithm, or a private
 key whose nested lengths fill each other exactly. Keys may go on over white space and
 over line ends that are spelt as escapes (``\\n`` as letters): a bare key's own lengths say
-how many letters it has.
+how many letters it has. Letters may also stand for an armoured key or a token in letters: these are decoded once more.
+
+The work is linear in a text: letters are gathered once, and of a candidate only its lengths are read.
 """
 
 from __future__ import annotations
@@ -15,6 +17,7 @@ import binascii
 import hashlib
 import json
 import re
+from bisect import bisect_right
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -42,6 +45,9 @@ _BASE64 = (re.compile(r"(?:(?<![A-Za-z0-9+/_-])|" + _AFTER_ESCAPE + r")(?:M[A-P]
            re.compile(r"([A-Za-z0-9+/_-]++)|" + _GAP + "++"), 6, 40)
 _HEX_ANY = (re.compile(r"(?<![0-9A-Fa-f])(?:30|6[Ff]70)"), re.compile(r"([0-9A-Fa-f]++)|" + _GAP + "++"), 4, 48)
 _PADDING = re.compile(r"={1,2}|(?:\r?\n|(?:\\+r)?\\+n)[ \t]*(={1,2})")
+# The armour of a key, and the head of a token, as base64 or hex letters.
+_WRAPPED = re.compile(r"(?<![A-Za-z0-9+/_-])(?:(?:LS0tLS1CRUdJTi|ZXlK)[A-Za-z0-9+/_-]*+={0,2}"
+                      r"|(?:2[dD]2[dD]2[dD]2[dD]2[dD]424547494[eE]|65794[aA])[0-9A-Fa-f]*+(?![A-Za-z0-9+/_-]))")
 _OPENSSH = b"openssh-key-v1\x00"
 
 
@@ -68,20 +74,71 @@ def from_base64(letters: str) -> bytes | None:
         return None
 
 
-def der_items(data: bytes, at: int, end: int) -> list[tuple[int, int, int]] | None:
-    """``(tag, start, end)`` of the values that fill ``[at, end)`` exactly; null if lengths do not fit."""
+class Letters:
+    """The bytes that ``count`` letters from ``first`` on stand for, decoded where they are looked at.
+
+    A key's lengths are read without its contents, so judging a candidate does not take longer the more it claims.
+    """
+
+    def __init__(self, letters: str, bits: int, first: int, count: int):
+        self.letters, self.bits, self.first, self.size = letters, bits, first, count * bits // 8
+
+    def __len__(self) -> int:
+        return self.size
+
+    def __getitem__(self, part: slice) -> bytes:
+        start, stop, _ = part.indices(self.size)
+        if stop <= start:
+            return b""
+        if self.bits == 4:
+            return bytes.fromhex(self.letters[self.first + 2 * start:self.first + 2 * stop])
+        data = from_base64(self.letters[self.first + start // 3 * 4:self.first + -(-stop * 4 // 3)]) or b""
+        return data[start % 3:][:stop - start]
+
+
+class Chain:
+    """Letters that follow each other over gaps, from a place in a text to where they end."""
+
+    def __init__(self, text: str, at: int, pieces: re.Pattern):
+        self.starts, self.before, runs, n = [], [], [], 0
+        while m := pieces.match(text, at):
+            if m.group(1):
+                self.starts.append(at)
+                self.before.append(n)
+                runs.append(m.group(1))
+                n += len(m.group(1))
+            at = m.end()
+        self.letters, self.end = "".join(runs), at
+
+    def index(self, place: int) -> int:
+        run = bisect_right(self.starts, place) - 1
+        return self.before[run] + place - self.starts[run]
+
+    def place(self, index: int) -> int:
+        run = bisect_right(self.before, index) - 1
+        return self.starts[run] + index - self.before[run]
+
+
+# The most values that the sequence of a private key holds.
+KEY_VALUES = 9
+
+
+def der_items(data, at: int, end: int, most: int = KEY_VALUES) -> list[tuple[int, int, int]] | None:
+    """``(tag, start, end)`` of the values that fill ``[at, end)`` exactly; null if lengths do not fit or there are over ``most``."""
     out = []
     while at < end:
-        if at + 2 > end:
+        head = data[at:min(at + 6, end)]
+        if len(head) < 2 or len(out) == most:
             return None
-        tag, size, at = data[at], data[at + 1], at + 2
+        tag, size, used = head[0], head[1], 2
         if size & 0x80:
             n = size & 0x7F
-            if not 1 <= n <= 4 or at + n > end:
+            if not 1 <= n <= 4 or 2 + n > len(head):
                 return None
-            size, at = int.from_bytes(data[at:at + n], "big"), at + n
+            size, used = int.from_bytes(head[2:2 + n], "big"), 2 + n
             if size < 0x80:  # DER takes the shortest form
                 return None
+        at += used
         if at + size > end:
             return None
         out.append((tag, at, at + size))
@@ -89,16 +146,21 @@ def der_items(data: bytes, at: int, end: int) -> list[tuple[int, int, int]] | No
     return out
 
 
-def is_private_key(data: bytes) -> bool:
-    """Whether the bytes are a DER private key: PKCS#1, PKCS#8 (plain or encrypted), SEC1 or DSA."""
-    outer = der_items(data, 0, len(data))
-    if not outer or len(outer) != 1 or outer[0][0] != 0x30:
+def is_private_key(data) -> bool:
+    """Whether the bytes are a DER private key: PKCS#1, PKCS#8 (plain or encrypted), SEC1 or DSA.
+
+    Only the heads of values are read, so the answer takes as long for a key of any size.
+    """
+    outer = der_items(data, 0, len(data), 1)
+    if not outer or outer[0][0] != 0x30:
         return False
     items = der_items(data, *outer[0][1:])
     if not items:
         return False
     tags = [t for t, _, _ in items]
-    number = int.from_bytes(data[items[0][1]:items[0][2]], "big") if tags[0] == 0x02 else None
+    # A number of over four bytes is neither of the versions.
+    _, start, end = items[0]
+    number = int.from_bytes(data[start:end], "big") if tags[0] == 0x02 and end - start <= 4 else None
     if number in (0, 1) and tags[1:3] == [0x30, 0x04]:  # PKCS#8: algorithm, key
         inner = der_items(data, *items[1][1:])
         return bool(inner) and inner[0][0] == 0x06
@@ -125,25 +187,21 @@ def is_openssh_key(data: bytes) -> bool:
     return openssh_size(data) == len(data)
 
 
-def openssh_size(data: bytes) -> int | None:
+def openssh_size(data) -> int | None:
     """The bytes of the OpenSSH private key that begins here; null if its fields do not fit."""
-    if not data.startswith(_OPENSSH):
+    if data[:len(_OPENSSH)] != _OPENSSH:
         return None
     at = len(_OPENSSH)
 
-    def field():
+    def field() -> bool:
         nonlocal at
-        size = int.from_bytes(data[at:at + 4], "big")
-        if at + 4 + size > len(data):
-            return None
-        value = data[at + 4:at + 4 + size]
-        at += 4 + size
-        return value
+        at += 4 + int.from_bytes(data[at:at + 4], "big")
+        return at <= len(data)
 
-    if any(field() is None for _ in range(3)):  # cipher, key derivation, its options
+    if not all(field() for _ in range(3)):  # cipher, key derivation, its options
         return None
     count, at = int.from_bytes(data[at:at + 4], "big"), at + 4
-    return at if 1 <= count <= 16 and all(field() is not None for _ in range(count + 1)) else None
+    return at if 1 <= count <= 16 and all(field() for _ in range(count + 1)) else None
 
 
 def is_signed_token(token: str) -> bool:
@@ -158,68 +216,81 @@ def is_signed_token(token: str) -> bool:
     return parts[2] is not None and (bool(parts[2]) or header["alg"].lower() == "none")
 
 
-def gathered(text: str, at: int, pieces: re.Pattern, most: int | None) -> tuple[str, int]:
-    """The next letters without gaps, at most ``most``, and where they end."""
-    out, n, end = [], 0, at
-    while (most is None or n < most) and (m := pieces.match(text, at)):
-        if m.group(1):
-            run = m.group(1) if most is None else m.group(1)[:most - n]
-            out.append(run)
-            n, end = n + len(run), at + len(run)
-        at = m.end()
-    return "".join(out), end
-
-
 def bare_keys(text: str, start: re.Pattern, pieces: re.Pattern, bits: int, least: int):
-    """``(start, kind number, end)`` of keys without armour: as many letters as their lengths say, and no more."""
-
-    def decoded(letters):
-        return from_base64(letters) if bits == 6 else bytes.fromhex(letters)
+    """``(start, kind number, end)`` of keys without armour: as many letters as their lengths say, and no more.
 
+    Letters are gathered once, however many candidates begin among them.
+    """
+    chain = None
     for m in start.finditer(text):
-        head, _ = gathered(text, m.start(), pieces, least)
-        if len(head) < least:
+        at = m.start()
+        if chain is None or at >= chain.end:
+            chain = Chain(text, at, pieces)
+        first = chain.index(at)
+        left = len(chain.letters) - first
+        if left < least:
             continue
-        data = decoded(head)
-        if data[0] == 0x30:
-            kind, size = 5, der_size(data)
-        elif data.startswith(_OPENSSH):
-            letters, _ = gathered(text, m.start(), pieces, None)
-            # Words that follow may leave a part of a letter group or of a byte.
-            kind, size = 6, openssh_size(decoded(letters[:len(letters) // 4 * 4]) + b"\0\0")
+        rest = Letters(chain.letters, bits, first, left)
+        head = rest[:len(_OPENSSH)]
+        if head[0] == 0x30:
+            kind, size = 5, der_size(head)
+        elif head == _OPENSSH:
+            kind, size = 6, openssh_size(rest)
         else:
             continue
         if size is None:
             continue
         n = -(-8 * size // bits)
-        if not least <= n <= len(text) - m.start():
+        if not least <= n <= left:
             continue
-        letters, end = gathered(text, m.start(), pieces, n)
-        after = pieces.match(text, end)
-        if len(letters) < n or (after and after.group(1)):
+        end = chain.place(first + n - 1) + 1
+        if n < left and chain.place(first + n) == end:  # more letters follow at once
             continue
-        data = decoded(letters)
-        if data and (is_private_key(data) if kind == 5 else is_openssh_key(data)):
+        key = Letters(chain.letters, bits, first, n)
+        if is_private_key(key) if kind == 5 else openssh_size(key) == len(key):
             padding = _PADDING.match(text, end) if bits == 6 else None
             if padding and (padding.group(1) is None or len(padding.group(1)) == -n % 4):
                 end = padding.end()
-            yield m.start(), kind, end
+            yield at, kind, end
 
 
-def confirmed_spans(text: str) -> list[tuple[int, int, int]]:
-    """``(start, kind number, end)`` of what decodes to a key or a signed token."""
+def armoured_keys(text: str) -> list[tuple[int, int, int]]:
     found = []
-    if "." in text:
-        found += [(m.start(1), 3, m.end(1)) for m in _DOTTED.finditer(text) if is_signed_token(m.group(1))]
-    armoured = []
     if "PRIVATE KEY-----" in text:
         for m in _ARMOUR.finditer(text):
             data = from_base64(_GAPS.sub("", m.group(2)))
             if data and (is_private_key(data) or is_openssh_key(data)):
-                armoured.append((m.start(), 4, m.end()))
-    found += armoured
+                found.append((m.start(), 4, m.end()))
+    return found
+
+
+def wrapped(text: str) -> list[tuple[int, int, int]]:
+    """Base64 or hex letters that decode to an armoured key or to a signed token, as a cluster's secrets have them: one level."""
+    found = []
+    for m in _WRAPPED.finditer(text):
+        letters = m.group()
+        data = bytes.fromhex(letters[:len(letters) // 2 * 2]) if letters[0] in "62" else from_base64(letters)
+        inner = (data or b"").decode("latin-1")
+        if armoured_keys(inner):
+            found.append((m.start(), 4, m.end()))
+        elif is_signed_token(inner.strip()):
+            found.append((m.start(), 3, m.end()))
+    return found
+
+
+def confirmed_spans(text: str) -> list[tuple[int, int, int]]:
+    """``(start, kind number, end)`` of what decodes to a key or a signed token."""
+    found = []
+    if "." in text:
+        found += [(m.start(1), 3, m.end(1)) for m in _DOTTED.finditer(text) if is_signed_token(m.group(1))]
+    armoured = armoured_keys(text)
+    found += armoured + wrapped(text)
+    begins = [a for a, _, _ in armoured]  # ascending and apart
     for form in (_BASE64, _HEX_ANY):
-        found += [k for k in bare_keys(text, *form) if not any(a <= k[0] < b for a, _, b in armoured)]
+        for key in bare_keys(text, *form):
+            at = bisect_right(begins, key[0]) - 1
+            if at < 0 or key[0] >= armoured[at][2]:
+                found.append(key)
     return sorted(set(found))
 
 
