@@ -97,8 +97,8 @@ def test_queries_are_registered_with_one_for_each_operator():
     import __spark_entry__ as entry
     names = set(entry.queries())
     assert set(QUERIES) | {"pipeline"} <= names
-    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES) == list(range(1, 11))
-    assert {"op6_exact_dedup", "op8_line_dedup"} <= set(entry.oracle_sql())
+    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES) == list(range(1, 14))
+    assert {"op6_exact_dedup", "op8_line_dedup", "op11_merkle_manifest", "op13_spelling_variants"} <= set(entry.oracle_sql())
 
 
 def test_entry_works_without_the_subpackage():
