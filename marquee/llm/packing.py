@@ -1,7 +1,8 @@
 """Best-fit packing of tokenised documents into sequences.
 
 **Pieces.** A document's ids are those of the ``tokenizers`` library for the
-given vocabulary file plus one closing id. Documents of at most ``size`` ids
+given vocabulary file (the strings of its added tokens, such as an end of text
+that a document quotes, are those tokens) plus one closing id. Documents of at most ``size`` ids
 are one piece; longer ones are cut into pieces of ``size``, of which the first
 may be shorter. Tokenising needs no shuffle, and only numbers leave it.
 
@@ -10,7 +11,8 @@ and every task packs its share: the longest first, each into the open bin with
 the least free space that holds it. Open bins are kept in a bitset keyed by
 free space, so the best fit is one bit scan. Their number is bounded: when
 one more is needed, the fullest open bin is closed. A task's share is sorted
-before it is packed, so a repeated task gives the same sequences.
+before it is cut into blocks (the sort spills), so a repeated task gives the
+same sequences.
 """
 
 from __future__ import annotations
@@ -24,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marquee.llm.pretokens import SliceEncoder, model_encoder
+from marquee.llm.pretokens import library_encoder
 from marquee.llm.textbytes import slices
 
 SEQUENCE_TOKENS = 1024
@@ -89,7 +91,7 @@ def pieces(docs: DataFrame, vocabulary: str, size: int = SEQUENCE_TOKENS, closin
     """One row per piece of every document (``PIECES``); a null or empty text is its closing id alone."""
 
     def run(batches):
-        encoder = SliceEncoder(model_encoder(vocabulary))
+        encoder = library_encoder(vocabulary)
         for batch in batches:
             keys, out = batch.column(0).to_pylist(), []
             for i, j, offsets, data in slices(batch.column(1)):
@@ -132,7 +134,9 @@ def pack(rows: DataFrame, size: int = SEQUENCE_TOKENS, open_bins: int = OPEN_BIN
 
     # No number of partitions: AQE sizes the shares by their bytes, so few bins end half full.
     spread = rows.repartition(F.xxhash64("doc_id", "piece"))
-    return spread.mapInArrow(run, PACKED)
+    # Blocks are cut in this order, not in that of arrival; by hash, so that each has pieces of all lengths.
+    columns = ("doc_id", "piece", "start", "length", "ids_crc32")
+    return spread.sortWithinPartitions(F.xxhash64(*columns), *columns).mapInArrow(run, PACKED)
 
 
 def best_fit_pack(docs: DataFrame, vocabulary: str, size: int = SEQUENCE_TOKENS, closing: int = CLOSING_ID,

@@ -5,11 +5,17 @@ code points instead of match by match, each pre-token is identified by a
 64-bit hash, and its ids come from a direct-mapped cache of fixed size. Only
 pre-tokens missing from the cache reach an encoder. A slice's ids are then one
 gather from the cache's pool.
+
+The strings of a vocabulary's added tokens (such as its end of text) are cut
+out of a document before it is split, as the library does by default: each is
+one pre-token, and what stands between them is split by itself.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+import json
+import re
+from collections.abc import Callable, Mapping, Sequence
 
 import numpy as np
 import regex
@@ -82,17 +88,31 @@ def token_starts(points: np.ndarray, doc_starts: np.ndarray) -> np.ndarray:
     return np.flatnonzero(starts)
 
 
+def added_ranges(offsets: np.ndarray, raw: bytes, added: re.Pattern) -> np.ndarray:
+    """``(start, end)`` of every match of ``added`` within a document of a slice, a row each."""
+    if added.search(raw) is None:
+        return np.zeros((0, 2), np.int64)
+    # Document by document: bytes of two neighbours may look like a match.
+    found = [m.span() for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist()) for m in added.finditer(raw, a, b)]
+    return np.array(found, np.int64).reshape(-1, 2)
+
+
 class SliceEncoder:
     """Encodes slices of documents with ``encode(pre-tokens as bytes) -> lists of ids``.
 
+    ``added`` are the strings of added tokens: leftmost first, the longest of
+    those that start together, each is handed to ``encode`` whole.
+
     The cache has ``2 ** bits`` slots; a pre-token whose slot is taken by
     another replaces it. Its pool of ids is emptied when it outgrows
     ``pool`` ids. Both bound the memory of a worker.
     """
 
     def __init__(self, encode: Callable[[Sequence[bytes]], Sequence[Sequence[int]]],
-                 bits: int = 22, pool: int = 1 << 24):
+                 bits: int = 22, pool: int = 1 << 24, added: Sequence[bytes] = ()):
         self._encode, self._bits, self._most = encode, bits, pool
+        longest_first = sorted(added, key=len, reverse=True)
+        self._added = re.compile(b"|".join(map(re.escape, longest_first))) if added else None
         self._hash = RollingHash()
         self._clear()
 
@@ -116,8 +136,17 @@ class SliceEncoder:
     def pre_tokens(self, offsets: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Byte starts of the pre-tokens of a slice (and the slice's end), and the number up to each document."""
         lead = np.flatnonzero((data & 0xC0) != 0x80)
-        points = np.frombuffer(data.tobytes().decode("utf-8").encode("utf-32-le"), np.uint32)
-        starts = lead[token_starts(points, np.searchsorted(lead, offsets[:-1]))]
+        raw = data.tobytes()
+        points = np.frombuffer(raw.decode("utf-8").encode("utf-32-le"), np.uint32)
+        cuts = offsets[:-1]
+        whole = np.zeros((0, 2), np.int64) if self._added is None else added_ranges(offsets, raw, self._added)
+        if len(whole):
+            cuts = np.concatenate([cuts, whole.ravel()])
+        starts = lead[token_starts(points, np.searchsorted(lead, cuts))]
+        if len(whole):
+            of = np.searchsorted(whole[:, 0], starts, side="right") - 1
+            inside = (of >= 0) & (starts > whole[of, 0]) & (starts < whole[of, 1])
+            starts = starts[~inside]
         starts = np.append(starts, len(data)).astype(np.int64)
         return starts, np.searchsorted(starts[:-1], offsets)
 
@@ -164,15 +193,35 @@ def byte_letters() -> dict[int, str]:
     return letters
 
 
-def model_encoder(vocabulary: str) -> Callable[[Sequence[bytes]], list[list[int]]]:
+def added_tokens(vocabulary: str) -> dict[bytes, int]:
+    """The strings and ids of the tokens that a vocabulary file adds to its model.
+
+    Only tokens that match as they stand are supported (no trimming, whole words or normalising).
+    """
+    with open(vocabulary, encoding="utf-8") as file:
+        tokens = json.load(file).get("added_tokens") or []
+    if any(t.get(flag) for t in tokens for flag in ("single_word", "lstrip", "rstrip", "normalized")):
+        raise ValueError(f"added tokens of {vocabulary} do not match as they stand")
+    return {t["content"].encode("utf-8"): t["id"] for t in tokens}
+
+
+def model_encoder(vocabulary: str, added: Mapping[bytes, int] | None = None
+                  ) -> Callable[[Sequence[bytes]], list[list[int]]]:
     """Pre-tokens to ids by the ``tokenizers`` library's model of a byte-level vocabulary file.
 
-    Texts are split before they get here, so the strings of special tokens are ordinary text.
+    ``added`` maps the pre-tokens that are added tokens to their ids; all others are ordinary text.
     """
     from tokenizers import Tokenizer
     model = Tokenizer.from_file(vocabulary).model
-    letters = byte_letters()
+    letters, added = byte_letters(), dict(added or {})
 
     def encode(words):
-        return [[t.id for t in model.tokenize(w.decode("latin-1").translate(letters))] for w in words]
+        return [[added[w]] if w in added else
+                [t.id for t in model.tokenize(w.decode("latin-1").translate(letters))] for w in words]
     return encode
+
+
+def library_encoder(vocabulary: str) -> SliceEncoder:
+    """Slices to the ids that the library gives by default for the vocabulary file (without a template's tokens)."""
+    added = added_tokens(vocabulary)
+    return SliceEncoder(model_encoder(vocabulary, added), added=list(added))

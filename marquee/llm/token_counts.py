@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marquee.llm.pretokens import SliceEncoder, model_encoder
+from marquee.llm.pretokens import added_tokens, library_encoder
 from marquee.llm.textbytes import slices
 
 RULES = ("first", "last", "most")
@@ -28,12 +28,13 @@ COUNTS = "doc_id bigint, section int, start bigint, end bigint, n_tokens bigint,
 
 
 def token_bytes(vocabulary: str) -> np.ndarray:
-    """The number of bytes of every id of a byte-level vocabulary (one letter a byte)."""
+    """The number of bytes of every id of a byte-level vocabulary (one letter a byte; added tokens as they stand)."""
     from tokenizers import Tokenizer
     vocab = Tokenizer.from_file(vocabulary).get_vocab(with_added_tokens=False)
-    out = np.zeros(max(vocab.values()) + 1, np.int64)
-    for token, i in vocab.items():
-        out[i] = len(token)
+    sizes = {i: len(token) for token, i in vocab.items()} | {i: len(t) for t, i in added_tokens(vocabulary).items()}
+    out = np.zeros(max(sizes) + 1, np.int64)
+    for i, size in sizes.items():
+        out[i] = size
     return out
 
 
@@ -74,7 +75,7 @@ def token_counts(docs: DataFrame, vocabulary: str, rule: str = "first", sections
         raise ValueError(f"rule must be one of {RULES}, not {rule!r}")
 
     def run(batches):
-        encoder, sizes = SliceEncoder(model_encoder(vocabulary)), token_bytes(vocabulary)
+        encoder, sizes = library_encoder(vocabulary), token_bytes(vocabulary)
         for batch in batches:
             keys = batch.column(0).to_pylist()
             given = batch.column(2).to_pylist() if sections is not None else None

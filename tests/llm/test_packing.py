@@ -19,7 +19,6 @@ def path(vocabulary):
 def expected_pieces(rows, path):
     from tokenizers import Tokenizer
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
     out = []
     for doc, text in rows:
         ids = np.array(tokenizer.encode(text or "", add_special_tokens=False).ids + [2], "<u4")
@@ -62,6 +61,17 @@ def test_odd_rows_and_empty_table(odd_rows, path):
     assert best_fit_pack(empty_of(odd_rows), path).collect() == []
 
 
+QUOTED = ["a <|endoftext|> b", "<|endoftext|>", "<|endoftext|><|endoftext|>'s", "x  <|endoftext|>  y", "it<|endoftext|>'ll go",
+          "<|endoftext|", "|><|endoftext|>\n\n<|endo", "ftext|>", "é<|endoftext|>é", "<|<|endoftext|>|>"]
+
+
+def test_quoted_added_tokens_are_the_librarys(spark, path):
+    # Neighbours whose joined bytes look like an added token come one after the other.
+    rows = [(k, t) for k, t in enumerate([*QUOTED, "<|endof", "text|>", "", *QUOTED[::-1]])]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    assert collected(best_fit_pack(frame, path), *COLUMNS) == expected_pieces(rows, path)
+
+
 def test_blocks_have_sequences_of_their_own(documents, path, monkeypatch):
     monkeypatch.setattr(packing, "BLOCK_PIECES", 50)
     spark = documents[1].sparkSession

@@ -126,7 +126,6 @@ def attributed(text, sections, offsets, rule):
 def brute_counts(rows, path, rule, sections_of):
     from tokenizers import Tokenizer
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
     spans = {}
     out = []
     for doc, text in rows:
@@ -137,7 +136,7 @@ def brute_counts(rows, path, rule, sections_of):
         char = [k for k, c in enumerate(text) for _ in c.encode()]
         at, offsets = 0, []
         for i in tokenizer.encode(text, add_special_tokens=False).ids:
-            n = spans.setdefault(i, len(tokenizer.id_to_token(i)))
+            n = spans.setdefault(i, len(tokenizer.id_to_token(i)))  # the added token is ASCII: a letter is a byte
             offsets.append((char[at], char[at + n - 1] + 1))
             at += n
         assert at == len(raw)
@@ -157,6 +156,7 @@ def test_lines_equal_brute_force(spark, documents, vocabulary):
     rows, frame = documents
     path = vocabulary("byte_bpe_50k.json")
     short = [(d, t[:2500]) for d, t in rows[:80]] + [(1000 + k, t) for k, t in enumerate(random_texts(5, 60))]
+    short += [(2000, "a <|endoftext|>\n b"), (2001, "<|endoftext|><|endoftext|>\n"), (2002, "<|endo"), (2003, "ftext|>")]
     df = spark.createDataFrame(short, "doc_id long, text string")
     for rule in RULES:
         assert collected(token_counts(df, path, rule), *COUNTS) == brute_counts(short, path, rule, line_sections)
