@@ -93,12 +93,24 @@ def segment_lists(prepared: DataFrame,
                   stop_words: Iterable[str] | None = None, stops: DataFrame | None = None) -> DataFrame:
     """All three ranked lists in one scan and one aggregation: ``(keys..., list, rank, term, count)``.
 
+    The ranks of :func:`list_counts`. ``stops`` is a table of further stop words
+    (:mod:`marquee.operators.stops`), taken out of the counted words.
+    """
+    counts = list_counts(prepared, keys, stop_words)
+    if stops is not None:
+        counts = without_stops(counts, "term", stops, F.col("list").isin("description", "title"))
+    return rank_lists(counts, sizes, keys)
+
+
+def list_counts(prepared: DataFrame, keys: Sequence[str] = SEGMENT_KEYS,
+                stop_words: Iterable[str] | None = None, weight: Column | None = None) -> DataFrame:
+    """Counts of all terms of the three lists in one scan and one aggregation: ``(keys..., list, term, count)``.
+
     ``list`` is ``description``, ``genre`` or ``title``, and ``SEGMENT`` for one
     more row per segment whose count is the number of its titles. Each title
     first becomes four ``(list, terms)`` rows (``inline``), then each row's
     array is exploded: the catalogue is read, and its text tokenised, once,
-    with no per-token tagging. ``stops`` is a table of further stop words
-    (:mod:`marquee.operators.stops`), taken out of the counted words.
+    with no per-token tagging. ``weight`` is what an occurrence counts (1; -1 for rows that are taken away).
     """
     def part(name: str, terms: Column) -> Column:
         return F.struct(F.lit(name).alias("list"), terms.alias("terms"))
@@ -109,12 +121,17 @@ def segment_lists(prepared: DataFrame,
         part("title", title_vocabulary_tokens("title", stop_words)),
         part(SEGMENT, F.array(F.lit(""))),
     )
-    exploded = (prepared.select(*keys, F.inline(parts))
-                .select(*keys, "list", F.explode_outer("terms").alias("term"))
+    tag = [] if weight is None else [weight.alias("__weight")]
+    exploded = (prepared.select(*keys, *tag, F.inline(parts))
+                .select(*keys, *[F.col("__weight") for _ in tag], "list", F.explode_outer("terms").alias("term"))
                 .filter(F.col("term").isNotNull()))
-    counts = exploded.groupBy(*keys, "list", "term").agg(F.count(F.lit(1)).alias("count"))
-    if stops is not None:
-        counts = without_stops(counts, "term", stops, F.col("list").isin("description", "title"))
+    counted = F.count(F.lit(1)) if weight is None else F.sum("__weight")
+    return exploded.groupBy(*keys, "list", "term").agg(counted.alias("count"))
+
+
+def rank_lists(counts: DataFrame, sizes: tuple[int, int, int] = (TOP_DESCRIPTION_WORDS, TOP_GENRES, TOP_TITLE_WORDS),
+               keys: Sequence[str] = SEGMENT_KEYS) -> DataFrame:
+    """``(keys..., list, rank, term, count)``: the most frequent terms of each list, from :func:`list_counts`."""
     n_desc, n_genre, n_title = sizes
     limit = (F.when(F.col("list") == "description", n_desc)
              .when(F.col("list") == "genre", n_genre).when(F.col("list") == "title", n_title).otherwise(1))

@@ -1,12 +1,13 @@
-"""Sinks: ranked titles as CSV, reports as text.
+"""Sinks: ranked titles as CSV, reports as text, and CSV files published under fixed names.
 
-Both are Spark writers partitioned by segment, so every segment's file is
-written by the task holding that segment's rows; nothing passes through the
+All are Spark writers partitioned by segment, so every segment's file is
+written by the task holding that segment's rows; no row passes through the
 driver.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,6 +16,7 @@ from pyspark.sql import types as T
 
 from marquee.operators.score import OUTPUT_COLUMNS, POINT_COLUMNS
 from marquee.sources.catalog import CSV_READ_OPTIONS, SEGMENT_KEYS, TEXT_COLUMNS
+from marquee.sources.manifests import Folder, latest, publish
 
 # The CSV writer trims values by default; keep them whole so they read back unchanged.
 CSV_WRITE_OPTIONS: dict[str, str] = {
@@ -52,6 +54,56 @@ def write_top_titles_csv(top: DataFrame, path: str,
         .write.mode(mode).partitionBy(*keys).options(**CSV_WRITE_OPTIONS).csv(path))
 
 
+def publish_top_titles_csv(top: DataFrame, path: str, keys: Sequence[str] = SEGMENT_KEYS,
+                           name: str = "top_titles", keep: int = 2) -> dict[str, str]:
+    """Publish one named CSV file per segment, all at once; returns the files' paths by name.
+
+    A segment's file is ``name__platform=<value>__type=<value>.csv``
+    (``name.csv`` without keys; values escaped as Spark escapes partition values, so names differ).
+    The files are written and renamed in a folder of the run's own, then one
+    manifest makes them current: readers (:func:`published_files`) see the last publication
+    until then, and go on seeing it if the run fails. The newest ``keep`` publications
+    stay, so that a reader can finish; the folders of older and of failed runs are deleted.
+    """
+    folder = Folder(top.sparkSession, path)
+    number, current = latest(folder)
+    run, files = f"run-{uuid.uuid4().hex}", {}
+    try:
+        write_top_titles_csv(top, f"{folder.path}/{run}", keys, "errorifexists")
+        for file in folder.files(run):
+            *segment, leaf = file.split("/")
+            if leaf.endswith(".csv"):
+                final = "__".join([name, *segment]) + ".csv"
+                files[final] = "/".join([run, *segment, final])
+                folder.rename(f"{run}/{file}", files[final])
+        publish(folder, number + 1, {"run": run, "keys": list(keys), "files": files,
+                                     "runs": [*(current or {}).get("runs", []), run][-max(keep, 1):]})
+    except Exception:
+        folder.delete(run)
+        raise
+    kept = latest(folder)[1]["runs"]
+    for other in folder.names():
+        if other.startswith("run-") and other not in kept:
+            folder.delete(other)
+    return {k: f"{folder.path}/{v}" for k, v in files.items()}
+
+
+def published_files(spark: SparkSession, path: str) -> dict[str, str]:
+    """Paths, by name, of the current publication; empty if there is none."""
+    folder = Folder(spark, path)
+    content = latest(folder)[1]
+    return {} if content is None else {k: f"{folder.path}/{v}" for k, v in content["files"].items()}
+
+
+def read_published_csv(spark: SparkSession, path: str) -> DataFrame:
+    """The rows of the current publication (``FileNotFoundError`` if there is none)."""
+    folder = Folder(spark, path)
+    content = latest(folder)[1]
+    if content is None:
+        raise FileNotFoundError(f"nothing is published in {path}")
+    return read_top_titles_csv(spark, f"{folder.path}/{content['run']}", content["keys"])
+
+
 def read_top_titles_csv(spark: SparkSession, path: str, keys: Sequence[str] = SEGMENT_KEYS) -> DataFrame:
     """Read back :func:`write_top_titles_csv` output with its declared schema."""
     schema = T.StructType([f for f in TOP_TITLES_SCHEMA if f.name in keys or f.name not in SEGMENT_KEYS])

@@ -1,0 +1,85 @@
+"""Published CSV files: fixed names, one switch, and a failed run that leaves the last publication."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import SMOKE
+from marquee.plans.job import CatalogJob
+from marquee.plans.materialize import scratch_path
+from marquee.sources.catalog import catalog_from_tables
+from marquee.sources.manifests import Folder, latest, publish
+from marquee.sources.sinks import published_files, publish_top_titles_csv, read_published_csv
+
+
+@pytest.fixture(scope="module")
+def top(spark):
+    best = CatalogJob(catalog_from_tables(spark, SMOKE)).top_titles()
+    return spark.createDataFrame(best.collect(), best.schema)
+
+
+def rows_of(df, like):
+    return sorted(map(tuple, df.select(*like.columns).collect()), key=repr)
+
+
+def test_files_have_fixed_names_and_the_rows(spark, top):
+    path = scratch_path(spark, "published")
+    files = publish_top_titles_csv(top, path)
+    assert set(files) == {f"top_titles__platform={r.platform}__type={r.type}.csv"
+                          for r in top.select("platform", "type").distinct().collect()}
+    assert published_files(spark, path) == files
+    assert rows_of(read_published_csv(spark, path), top) == rows_of(top, top)
+    assert publish_top_titles_csv(top, path).keys() == files.keys()
+
+
+def test_a_failed_run_leaves_the_last_publication(spark, top):
+    path = scratch_path(spark, "published")
+    files = publish_top_titles_csv(top, path)
+
+    @F.udf("string")
+    def broken(title):
+        raise ValueError("lost")
+
+    with pytest.raises(Exception):
+        publish_top_titles_csv(top.withColumn("title", broken("title")), path)
+    assert published_files(spark, path) == files
+    assert rows_of(read_published_csv(spark, path), top) == rows_of(top, top)
+    assert sum(n.startswith("run-") for n in Folder(spark, path).names()) == 1
+
+
+def test_old_publications_are_deleted_and_the_last_ones_stay(spark, top):
+    path = scratch_path(spark, "published")
+    small = top.filter("platform = 'en'")
+    first, second = publish_top_titles_csv(small, path), publish_top_titles_csv(small, path)
+    folder = Folder(spark, path)
+    assert sum(n.startswith("run-") for n in folder.names()) == 2
+    assert rows_of(spark.read.option("header", True).csv(list(first.values())).select("title"), small.select("title"))
+    publish_top_titles_csv(top, path)
+    runs = [n for n in folder.names() if n.startswith("run-")]
+    assert len(runs) == 2 and not any(next(iter(first.values())).split("/")[-4] == r for r in runs)
+    assert any(r in next(iter(second.values())) for r in runs)
+
+
+def test_values_that_need_escapes_nulls_and_no_keys(spark, top):
+    odd = [("a__b", "c"), ("a", "b__c"), ("x/y", "z=1"), (None, "Movie"), ("ü+ %", "TV Show")]
+    rows = [top.limit(1).withColumns({"platform": F.lit(p).cast("string"), "type": F.lit(t)}) for p, t in odd]
+    df = rows[0]
+    for r in rows[1:]:
+        df = df.unionByName(r)
+    path = scratch_path(spark, "published")
+    assert len(publish_top_titles_csv(df, path)) == len(odd)
+    assert rows_of(read_published_csv(spark, path), df) == rows_of(df, df)
+    whole = top.drop("platform", "type")
+    assert list(publish_top_titles_csv(whole, path, ())) == ["top_titles.csv"]
+    assert rows_of(read_published_csv(spark, path), whole) == rows_of(whole, whole)
+
+
+def test_two_writers_of_one_number_and_nothing_published(spark):
+    path = scratch_path(spark, "published")
+    folder = Folder(spark, path)
+    assert latest(folder) == (0, None) and published_files(spark, path) == {}
+    with pytest.raises(FileNotFoundError):
+        read_published_csv(spark, path)
+    publish(folder, 1, {"run": "a"})
+    with pytest.raises(FileExistsError):
+        publish(folder, 1, {"run": "b"})
+    assert latest(folder) == (1, {"run": "a"}) and len(folder.names("_manifests")) == 1
