@@ -33,6 +33,7 @@ def parser() -> argparse.ArgumentParser:
     out.add_argument("--year-bands", type=json.loads, metavar="JSON", help="[[first, last, points], ...]")
     out.add_argument("--target", type=json.loads, metavar="JSON", help="[low, high] of the success percentage")
     out.add_argument("--top-titles", type=int, metavar="N", help="best titles kept per segment")
+    out.add_argument("--published", action="store_true", help="best titles as files of fixed names that change at once")
     return out
 
 
@@ -61,7 +62,7 @@ def main(argv: list[str] | None = None) -> None:
         catalogs.setdefault(platform, []).append(path)
     spark = SparkSession.builder.appName("marquee").getOrCreate()
     run_from_files(spark, catalogs, args.out, args.candidates, args.format, args.id_column,
-                   **job_options(spark, args))
+                   published=args.published, **job_options(spark, args))
 
 
 if __name__ == "__main__":

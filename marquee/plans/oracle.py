@@ -351,4 +351,8 @@ SELECT platform, type, title_id, total_points,
        row_number() OVER (PARTITION BY platform, type ORDER BY total_points DESC, title, title_id) AS rank FROM scored""",
         "report_lines_global": _report_sql_whole(),
         "csv_round_trip_global": top15(whole=True),
+        # Batches and publications change how the rows come about, not which they are.
+        "csv_published": TOP15,
+        "top15_incremental": TOP15,
+        "segment_stats_incremental": SCORED + "\nSELECT * FROM stats",
     }

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marquee.operators.score import OUTPUT_COLUMNS, POINT_COLUMNS
+from marquee.plans.incremental import IncrementalCatalog
 from marquee.plans.job import CatalogJob
 from marquee.plans.materialize import scratch_path
 from marquee.sources.candidates import CANDIDATE_COLUMNS, candidates_from_tables
@@ -20,7 +21,8 @@ from marquee.sources.catalog import (CATALOG_COLUMNS, CSV_READ_OPTIONS, SEGMENT_
                                      read_catalog_csv, read_typed_csv)
 from marquee.sources.headers import header_classes
 from marquee.sources.infer import column_types
-from marquee.sources.sinks import CSV_WRITE_OPTIONS, read_top_titles_csv, write_top_titles_csv
+from marquee.sources.sinks import (CSV_WRITE_OPTIONS, publish_top_titles_csv, read_published_csv, read_top_titles_csv,
+                                   write_top_titles_csv)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -227,6 +229,33 @@ def q_top15_titles_global(spark, sf_dir):
     return CatalogJob(catalog_from_tables(spark, sf_dir), keys=()).top_titles()
 
 
+def q_csv_published(spark, sf_dir):
+    """``top15_titles`` published twice under fixed names, the second time in place of the first, and read back."""
+    path, best = scratch_path(spark, "published"), job(spark, sf_dir).top_titles()
+    publish_top_titles_csv(best.filter("total_points > 0"), path)
+    publish_top_titles_csv(best, path)
+    return read_published_csv(spark, path).select(*TOP_TITLE_COLUMNS)
+
+
+def _incremental(spark, sf_dir) -> IncrementalCatalog:
+    """The catalogue as three batches that cover it and one that repeats some titles and is removed again."""
+    catalog = catalog_from_tables(spark, sf_dir)
+    part = F.pmod(F.xxhash64("title_id"), F.lit(3))
+    state = IncrementalCatalog(spark, scratch_path(spark, "incremental"))
+    state.update(add={"part0": catalog.filter(part == 0), "part1": catalog.filter(part == 1),
+                      "again": catalog.filter(F.pmod(F.xxhash64("title"), F.lit(5)) == 0)})
+    state.update(add={"part2": catalog.filter(part == 2)}, remove=["again"])
+    return state
+
+
+def q_top15_incremental(spark, sf_dir):
+    return _incremental(spark, sf_dir).top_titles().select(*TOP_TITLE_COLUMNS)
+
+
+def q_segment_stats_incremental(spark, sf_dir):
+    return _incremental(spark, sf_dir).segment_stats()
+
+
 QUERIES: dict[str, Query] = {
     "catalog": q_catalog,
     "segment_sizes": q_segment_sizes,
@@ -263,6 +292,9 @@ QUERIES: dict[str, Query] = {
     "total_points_stop_table": q_total_points_stop_table,
     "top_desc_words_two_pass": q_top_desc_words_two_pass,
     "title_ranks": q_title_ranks,
+    "csv_published": q_csv_published,
+    "top15_incremental": q_top15_incremental,
+    "segment_stats_incremental": q_segment_stats_incremental,
     "report_lines_global": q_report_lines_global,
     "csv_round_trip_global": q_csv_round_trip_global,
 }

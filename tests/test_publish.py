@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from conftest import SMOKE
 from marquee.plans.job import CatalogJob
 from marquee.plans.materialize import scratch_path
+from marquee.plans.run import run_job
 from marquee.sources.catalog import catalog_from_tables
 from marquee.sources.manifests import Folder, latest, publish
 from marquee.sources.sinks import published_files, publish_top_titles_csv, read_published_csv
@@ -83,3 +84,10 @@ def test_two_writers_of_one_number_and_nothing_published(spark):
     with pytest.raises(FileExistsError):
         publish(folder, 1, {"run": "b"})
     assert latest(folder) == (1, {"run": "a"}) and len(folder.names("_manifests")) == 1
+
+
+def test_the_whole_job_publishes(spark, top):
+    out = scratch_path(spark, "run_published")
+    with CatalogJob(catalog_from_tables(spark, SMOKE)) as job:
+        run_job(job, out, published=True)
+    assert rows_of(read_published_csv(spark, f"{out}/top_titles"), top) == rows_of(top, top)
