@@ -27,7 +27,7 @@ from marquee.llm.minhash import word_hashes
 from marquee.llm.textbytes import RollingHash, slices
 from marquee.plans.materialize import materialize
 
-# Labelled documents that the classifier is fitted to: those of least hash.
+# Labelled rows that the classifier is fitted to, at most: those of least hash among the rows that exist.
 SAMPLE = 20_000
 THRESHOLD = 0.5
 BLOCK_WORDS = 40
@@ -124,12 +124,15 @@ def fit(x: np.ndarray, y: np.ndarray, ridge: float = RIDGE) -> tuple[np.ndarray,
 
 
 def trained(found: DataFrame, labels: DataFrame, label: str, id: str, sample: int = SAMPLE):
-    """The classifier, fitted to at most ``sample`` labelled documents; null if they are not of both kinds."""
-    chosen = labels.filter(F.col(label).isNotNull() & F.col(id).isNotNull()).select(
+    """The classifier, fitted to at most ``sample`` labelled rows; null if they are not of both kinds.
+
+    Labels are joined to the rows that exist before the sample is drawn (rows of least id hash, then id,
+    label and features), so labels of other documents change nothing, and a table of repeated rows gives the same sample again.
+    """
+    given = labels.filter(F.col(label).isNotNull() & F.col(id).isNotNull()).select(
         F.col(id).cast("bigint").alias("l_id"), F.col(label).cast("int").alias("y"))
-    chosen = chosen.orderBy(F.xxhash64("l_id"), "l_id", "y").limit(sample)
-    rows = found.join(F.broadcast(chosen), F.col("doc_id") == F.col("l_id")).select("l_id", "x", "y").limit(
-        2 * sample).collect()
+    rows = (found.select("doc_id", "x").join(given, F.col("doc_id") == F.col("l_id"))
+            .orderBy(F.xxhash64("l_id"), "l_id", "y", "x").limit(sample).select("l_id", "x", "y").collect())
     rows.sort(key=lambda r: (r.l_id, r.y, r.x))
     y = np.array([r.y for r in rows], float)
     if len(rows) == 0 or y.min() == y.max():

@@ -1,13 +1,17 @@
 """Quality: held-out accuracy, posteriors against plain arithmetic, and odd rows."""
 
 import math
+import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from llm.conftest import SMALL, empty_of
-from marquee.llm.quality import (LEAST_STRENGTH, MOST_STRENGTH, SiteModel, fit, good_documents, quality, strength)
+from marquee.llm.quality import (LEAST_STRENGTH, MOST_STRENGTH, SiteModel, features, fit, good_documents, quality,
+                                 slice_features, strength, trained)
+from marquee.llm.textbytes import RollingHash, slices
 
 
 @pytest.fixture(scope="module")
@@ -96,3 +100,66 @@ def test_fit_separates():
     x = rng.normal(size=(400, 3))
     w, mean, scale = fit(np.column_stack([x, np.ones(400)]), (x[:, 0] > 0).astype(float))
     assert w[0] > 2 and abs(w[1]) < 1 and scale[3] == 1.0
+
+
+def plain_features(text):
+    """The features word by word."""
+    words = [w for w in re.split(r"[\x20\x09-\x0D]+", text or "") if w]
+    if not words:
+        return [0.0] * 16
+    low = [re.sub("[A-Z]", lambda m: m.group().lower(), w) for w in words]
+
+    def upper(w):
+        letters = re.findall("[A-Za-z]", w)
+        return len(letters) > 1 and all(c.isupper() for c in letters)
+
+    tests = [upper, lambda w: w.count("!") > 1, lambda w: "|" in w,
+             lambda w: any(c in "#$%&*+<=>@\\^_`{}~" for c in w), lambda w: re.search("[0-9]", w) is not None]
+    flags = [[bool(t(w)) for w in words] for t in tests]
+    flags.append([k > 0 and low[k] == low[k - 1] for k in range(len(low))])
+    cuts = list(range(0, len(words), 40))
+    if len(cuts) > 1 and len(words) - cuts[-1] < 20:
+        cuts.pop()
+    blocks = list(zip(cuts, [*cuts[1:], len(words)]))
+    mean = [sum(f) / len(f) for f in flags]
+    worst = [max(sum(f[a:b]) / (b - a) for a, b in blocks) for f in flags]
+    stops = sum("." in w or "," in w for w in words) / len(words)
+    return [math.log(1 + len(words)), sum(len(w.encode()) for w in words) / len(words), *mean[:5], stops,
+            len(set(low)) / len(words), mean[5], *worst]
+
+
+def test_features_equal_a_word_by_word_reading(tables):
+    texts = [r.text for r in tables[0].limit(150).collect()] + [
+        None, "", " \n", "A", "AB ab Ab", "!! !!! ! a!b!", "é É ÉÉ AÉB", "x|y # 1 a.b", "w " * 59, "w " * 60, "W w v " * 40]
+    got = np.concatenate([slice_features(RollingHash(), o, d) for _, _, o, d in slices(pa.array(texts, pa.string()), 1 << 12)])
+    assert got == pytest.approx(np.array([plain_features(t) for t in texts]), abs=1e-12)
+
+
+def test_fit_is_where_the_penalised_likelihood_is_flat():
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(400, 5)) * [1, 10, 0.1, 1, 0] + 3
+    y = (x[:, 0] + x[:, 1] / 10 + rng.normal(size=400) > 6).astype(float)
+    w, mean, scale = fit(x, y, 2.0)
+    z = (x - x.mean(axis=0)) / np.where(x.std(axis=0) > 0, x.std(axis=0), 1)
+
+    def loss(v):
+        margin = (z @ v[:-1] + v[-1]) * (2 * y - 1)
+        return np.log1p(np.exp(-margin)).sum() + (v[:-1] ** 2).sum()  # half of a ridge of 2
+
+    for k in range(6):
+        for step in (-1e-3, 1e-3):
+            assert loss(w) <= loss(w + step * np.eye(6)[k]) + 1e-9
+
+
+def test_the_sample_is_drawn_from_rows_that_exist(spark, tables):
+    docs, labels = tables
+    found = features(docs, "doc_id", "text", "source", "lang")
+    other = spark.range(10_000_000, 10_020_000).selectExpr("id doc_id", "cast(id % 2 as int) quality")
+    alone, amid = (trained(found, t.select("doc_id", F.col("quality").cast("int").alias("quality")), "quality", "doc_id", 300)
+                   for t in (labels, labels.select("doc_id", F.col("quality").cast("int").alias("quality")).union(other)))
+    assert all(np.array_equal(a, b) for a, b in zip(alone, amid))
+    # Repeated rows are drawn with the others, to the same bound and alike whatever the partitions.
+    twice = docs.union(docs)
+    first, again = (trained(features(d, "doc_id", "text", "source", "lang"), labels, "quality", "doc_id", 300)
+                    for d in (twice, twice.repartition(7)))
+    assert all(np.array_equal(a, b) for a, b in zip(first, again))
