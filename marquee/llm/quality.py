@@ -131,8 +131,15 @@ def trained(found: DataFrame, labels: DataFrame, label: str, id: str, sample: in
     """
     given = labels.filter(F.col(label).isNotNull() & F.col(id).isNotNull()).select(
         F.col(id).cast("bigint").alias("l_id"), F.col(label).cast("int").alias("y"))
-    rows = (found.select("doc_id", "x").join(given, F.col("doc_id") == F.col("l_id"))
-            .orderBy(F.xxhash64("l_id"), "l_id", "y", "x").limit(sample).select("l_id", "x", "y").collect())
+    known = materialize(found.select("doc_id", "x").join(given, F.col("doc_id") == F.col("l_id")).select(
+        F.xxhash64("l_id").alias("at"), "l_id", "x", "y"), "labelled")
+    n = known.count()
+    if n > 4 * sample:
+        # Every task would send its own ``sample`` rows; below this hash there are some ``2 * sample`` in all.
+        least = known.filter(F.col("at") < F.lit(-(1 << 63) + (1 << 64) * 2 * sample // n))
+        # Ids that repeat much may leave too few there: then all rows take part.
+        known = least if least.count() >= sample else known
+    rows = known.orderBy("at", "l_id", "y", "x").limit(sample).select("l_id", "x", "y").collect()
     rows.sort(key=lambda r: (r.l_id, r.y, r.x))
     y = np.array([r.y for r in rows], float)
     if len(rows) == 0 or y.min() == y.max():

@@ -158,6 +158,19 @@ def test_the_sample_is_drawn_from_rows_that_exist(spark, tables):
     alone, amid = (trained(found, t.select("doc_id", F.col("quality").cast("int").alias("quality")), "quality", "doc_id", 300)
                    for t in (labels, labels.select("doc_id", F.col("quality").cast("int").alias("quality")).union(other)))
     assert all(np.array_equal(a, b) for a, b in zip(alone, amid))
+    # A few rows of all: the same as sorting everything, also where one id holds most rows.
+    hot = docs.union(docs.filter("doc_id = 4").withColumn("k", F.explode(F.sequence(F.lit(1), F.lit(3000)))).drop("k"))
+    for table in (docs, hot):
+        known = features(table, "doc_id", "text", "source", "lang").join(labels.select("doc_id", "quality"), "doc_id")
+        rows = known.select(F.xxhash64("doc_id").alias("at"), "doc_id", "quality", "x").collect()
+        for size in (20, 60):
+            drawn = sorted((r.at, r.doc_id, r.quality, r.x) for r in rows)[:size]
+            own = trained(features(table, "doc_id", "text", "source", "lang"), labels, "quality", "doc_id", size)
+            drawn.sort(key=lambda r: r[1:])
+            if len({r[2] for r in drawn}) < 2:
+                assert own is None
+            else:
+                assert np.allclose(own[0], fit(np.array([r[3] for r in drawn]), np.array([r[2] for r in drawn], float))[0])
     # Repeated rows are drawn with the others, to the same bound and alike whatever the partitions.
     twice = docs.union(docs)
     first, again = (trained(features(d, "doc_id", "text", "source", "lang"), labels, "quality", "doc_id", 300)
