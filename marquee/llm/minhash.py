@@ -34,7 +34,7 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marquee.llm.components import components
@@ -101,13 +101,13 @@ def signature(shingles: np.ndarray, factors: np.ndarray, bits: int = BITS) -> np
 
 
 def signed(docs: DataFrame, words: int, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``(doc_id, n_shingles, class_id, signature)`` per row; an empty set has no class."""
+    """``(doc_id, row_key, n_shingles, class_id, signature)`` per row; an empty set has no class."""
 
     def run(batches):
         hashing, factors = RollingHash(), multipliers()
         for batch in batches:
             size, who, sign = [], [], []
-            for i, j, offsets, data in slices(batch.column(1)):
+            for i, j, offsets, data in slices(batch.column(2)):
                 hashes, ends = word_hashes(hashing, offsets, data)
                 for k in range(j - i):
                     own = shingle_set(hashes[ends[k]:ends[k + 1]], words)
@@ -115,11 +115,18 @@ def signed(docs: DataFrame, words: int, id: str = "doc_id", text: str = "text")
                     who.append(class_of(own))
                     sign.append(signature(own, factors).tobytes() if len(own) else None)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(size, pa.int64()), pa.array(who, pa.int64()), pa.array(sign, pa.binary())],
-                ["doc_id", "n_shingles", "class_id", "signature"])
+                [batch.column(0), batch.column(1), pa.array(size, pa.int64()), pa.array(who, pa.int64()),
+                 pa.array(sign, pa.binary())], ["doc_id", "row_key", "n_shingles", "class_id", "signature"])
 
-    return docs.select(F.col(id).cast("bigint").alias("doc_id"), F.col(text).alias("text")).mapInArrow(
-        run, "doc_id bigint, n_shingles bigint, class_id bigint, signature binary")
+    return docs.select(F.col(id).cast("bigint").alias("doc_id"), row_key(id, text).alias("row_key"),
+                       F.col(text).alias("text")).mapInArrow(
+        run, "doc_id bigint, row_key string, n_shingles bigint, class_id bigint, signature binary")
+
+
+def row_key(id: str = "doc_id", text: str = "text") -> Column:
+    """What tells rows apart: the id (``-`` if null) and the MD5 of the text (null: empty)."""
+    number = F.coalesce(F.col(id).cast("bigint").cast("string"), F.lit("-"))
+    return F.concat(number, F.lit(":"), F.md5(F.coalesce(F.col(text), F.lit("")).cast("binary")))
 
 
 def class_of(shingles: np.ndarray) -> int | None:
@@ -251,7 +258,7 @@ def family_links(rows: DataFrame, similarity: int) -> DataFrame:
 
 
 def packed_texts(docs: DataFrame, id: str, text: str) -> DataFrame:
-    """``(doc_id, packed)``: compressed texts, so that a join moves less."""
+    """``(row_key, packed)``: compressed texts, so that a join moves less."""
 
     def run(batches):
         packer = zstandard.ZstdCompressor(level=3)
@@ -259,10 +266,10 @@ def packed_texts(docs: DataFrame, id: str, text: str) -> DataFrame:
             texts = batch.column(1).cast(pa.large_binary()).to_pylist()
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([packer.compress(t or b"") for t in texts], pa.binary())],
-                ["doc_id", "packed"])
+                ["row_key", "packed"])
 
-    return docs.select(F.col(id).cast("bigint").alias("doc_id"), F.col(text).alias("text")).mapInArrow(
-        run, "doc_id bigint, packed binary")
+    return docs.select(row_key(id, text).alias("row_key"), F.col(text).alias("text")).mapInArrow(
+        run, "row_key string, packed binary")
 
 
 def full_sets(texts: DataFrame, words: int) -> DataFrame:
@@ -289,10 +296,11 @@ def full_sets(texts: DataFrame, words: int) -> DataFrame:
 
 def near_dedup(docs: DataFrame, words: int = WORDS, similarity: int = SIMILARITY,
                id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``(doc_id, n_shingles, component_id, kept, class_id)``, one row per input row.
+    """``(doc_id, n_shingles, component_id, kept, class_id, group_id, row_key)``, one row per input row.
 
     ``component_id`` is the least id that can be reached over links, the row's
-    own included; ``class_id`` numbers equal sets (null for an empty one).
+    own included; ``class_id`` numbers equal sets and ``group_id`` the sets
+    linked by any path (null for an empty set). ``row_key`` tells rows of one id, or of none, apart (:func:`row_key`).
     Null, empty and blank texts have an empty set and are linked to nothing.
     Texts of fewer words than a shingle are one shingle. A null id stays
     null, never names a component and is not kept unless it is linked to
@@ -302,7 +310,8 @@ def near_dedup(docs: DataFrame, words: int = WORDS, similarity: int = SIMILARITY
     rows = materialize(signed(docs, words, id, text), "signed")
     classes = rows.filter("class_id is not null").groupBy("class_id").agg(
         F.min("doc_id").alias("least_id"), F.first("n_shingles").alias("n_shingles"),
-        F.first("signature").alias("signature"))
+        F.first("signature").alias("signature"),
+        F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row_key"))["row_key"].alias("row_key"))
     classes = materialize(classes, "classes")
 
     keys = keyed(classes)
@@ -315,13 +324,13 @@ def near_dedup(docs: DataFrame, words: int = WORDS, similarity: int = SIMILARITY
         F.col("node").alias("class_id"), F.col("root").alias("family"))
     family = materialize(family, "family")
 
-    in_family = family.join(classes.select("class_id", "least_id", "n_shingles"), "class_id")
+    in_family = family.join(classes.select("class_id", "row_key", "n_shingles"), "class_id")
     weight = in_family.groupBy("family").agg(
         F.ceil(F.sum("n_shingles") / FAMILY_SHINGLES).cast("bigint").alias("tiles"))
-    wanted = in_family.join(weight, "family").select("family", "tiles", "class_id", "least_id")
-    texts = packed_texts(docs, id, text)
-    # A class whose only ids are null has its text found by the null.
-    found = texts.join(wanted, texts.doc_id.eqNullSafe(wanted.least_id))
+    wanted = in_family.join(weight, "family").select("family", "tiles", "class_id", "row_key")
+    # A class is read from one of its rows; rows that repeat that one are dropped where the join put them.
+    found = packed_texts(docs, id, text).join(wanted, "row_key").groupBy("row_key").agg(
+        *[F.first(c).alias(c) for c in ("family", "tiles", "class_id", "packed")])
     sets = tile_pairs(full_sets(found, words), "class_id", F.col("tiles"))
     sort = ["family", "ta", "tb"]
     linked = family_links(sets.repartition(*sort).sortWithinPartitions(*sort, "class_id"), similarity)
@@ -331,8 +340,9 @@ def near_dedup(docs: DataFrame, words: int = WORDS, similarity: int = SIMILARITY
         roots.select(F.col("node").alias("class_id"), "root"), "class_id", "left")
     rooted = rooted.select("class_id", "least_id", F.coalesce("root", "class_id").alias("root"))
     least = rooted.groupBy("root").agg(F.min("least_id").alias("component"))
-    of_class = materialize(rooted.join(least, "root").select(F.col("class_id").alias("c"), "component"), "components")
+    of_class = rooted.join(least, "root").select(F.col("class_id").alias("c"), "component", F.col("root").alias("group_id"))
+    of_class = materialize(of_class, "components")
     out = rows.join(of_class, rows.class_id == of_class.c, "left")
     component = F.coalesce("component", "doc_id")
     return out.select("doc_id", "n_shingles", component.alias("component_id"),
-                      component.eqNullSafe(F.col("doc_id")).alias("kept"), "class_id")
+                      component.eqNullSafe(F.col("doc_id")).alias("kept"), "class_id", "group_id", "row_key")

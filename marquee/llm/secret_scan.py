@@ -22,6 +22,7 @@ from bisect import bisect_right
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, StructField, StructType
 
 # The base patterns and the least lengths of what they match.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
@@ -342,14 +343,22 @@ def redacted(text: str) -> str:
     return "".join(out) + text[reach or 0:]
 
 
-def redact(docs: DataFrame, text: str = "text") -> DataFrame:
-    """The rows with the secrets of one text column replaced; null texts stay null, other columns as they are."""
+def redact(docs: DataFrame, text: str = "text", flag: str | None = None) -> DataFrame:
+    """The rows with the secrets of one text column replaced; null texts stay null, other columns as they are.
+
+    ``flag`` names a further, boolean column: whether the text was changed.
+    """
 
     def run(batches):
         for batch in batches:
             at = batch.schema.get_field_index(text)
-            column = pa.array([None if v is None else redacted(v) for v in batch.column(at).to_pylist()],
-                              batch.schema.field(at).type)
-            yield batch.set_column(at, batch.schema.field(at), column)
-
-    return docs.mapInArrow(run, docs.schema)
+            before = batch.column(at).to_pylist()
+            after = [None if v is None else redacted(v) for v in before]
+            out = batch.set_column(at, batch.schema.field(at), pa.array(after, batch.schema.field(at).type))
+            if flag is not None:
+                changed = pa.array([x != y for x, y in zip(before, after)], pa.bool_())
+                out = pa.RecordBatch.from_arrays([*out.columns, changed], [*out.schema.names, flag])
+            yield out
+
+    schema = docs.schema if flag is None else StructType([*docs.schema.fields, StructField(flag, BooleanType())])
+    return docs.mapInArrow(run, schema)

@@ -101,6 +101,17 @@ def test_odd_rows_and_empty_table(odd_rows):
     assert near_dedup(empty_of(odd_rows)).collect() == []
 
 
+def test_rows_without_an_id_and_repeated_ids(families, spark):
+    rows, _ = families
+    rows = [(None if k % 3 == 0 else i // 2, t) for k, (i, t) in enumerate(rows)]
+    rows += [(None, rows[1][1])] * 40 + rows[:30]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    got = near_dedup(frame)
+    assert collected(got, "n_shingles", "kept") == sorted(((n, k) for _, n, _, k in brute(rows, 5)), key=repr)
+    groups = {r.group_id for r in got.collect()}
+    assert len(groups) == len({c for _, _, c, _ in brute(list(enumerate(t for _, t in rows)), 5)})
+
+
 def test_every_pair_within_the_distance_shares_a_key():
     rng = np.random.default_rng(1)
     a = rng.integers(0, 256, (300, SYMBOLS), dtype=np.uint8)

@@ -93,6 +93,37 @@ def test_stages_bear_odd_rows(spark, odd_rows):
     assert {r.doc_id for r in corpus_pipeline.exact_duplicates(spark, docs, SMOKE).collect()} == {1, 3, 5, 6, 8, 10, 11}
 
 
+def test_one_row_of_a_group_stays_whatever_its_ids(spark):
+    near = " ".join(f"w{k}" for k in range(60))
+    rows = [(None, "t"), (None, "t"), (None, "u u"), (None, "u  u"), (2, "x"), (2, "y"), (1, "x"), (2, "y"), (3, None), (3, ""),
+            (7, near + " end"), (7, near), (None, near), (None, "b " + near.upper()), (None, "z"), (4, " "), (4, "\n")]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+
+    def ids(frame):
+        return sorted(((r.doc_id, r.text) for r in frame.collect()), key=repr)
+
+    exact = corpus_pipeline.exact_duplicates(spark, docs, SMOKE)
+    assert [(i, (t or "").split()) for i, t in ids(exact)] == [(i, (t or "").split()) for i, t in sorted(
+        [(None, "t"), (None, "u u"), (None, "b " + near.upper()), (None, "z"), (1, "x"), (2, "y"), (3, None),
+         (4, " "), (7, near), (7, near + " end")], key=repr)]
+    got = [(i, (t or "").split()) for i, t in ids(corpus_pipeline.near_duplicates(spark, docs, SMOKE))]
+    assert [g for g in got if len(g[1]) > 9] in ([(7, near.split())], [(7, (near + " end").split())])
+    assert [g for g in got if g[1] and len(g[1]) < 9] == [(1, ["x"]), (2, ["y"]), (None, ["t"]), (None, ["u", "u"]), (None, ["z"])]
+    # No words: rows of one id and text (null: empty) are one document, the two blank ones of id 4 differ.
+    assert sorted(g[0] for g in got if not g[1]) == [3, 4, 4]
+
+
+def test_many_rows_without_an_id(spark, documents):
+    rows, frame = documents
+    nameless = frame.selectExpr("cast(null as bigint) doc_id", "text", "lang", "source", "n_chars")
+    want = {r.text for r in corpus_pipeline.exact_duplicates(spark, frame, SMOKE).collect()}
+    got = corpus_pipeline.exact_duplicates(spark, nameless.union(nameless), SMOKE).collect()
+    assert len(got) == len(want) and {" ".join(r.text.split()) for r in got} == {" ".join(t.split()) for t in want}
+    groups = len({c for _, _, c, _ in near_groups(rows, 5)})
+    assert corpus_pipeline.near_duplicates(spark, nameless.union(nameless), SMOKE).count() == groups
+
+
 def test_queries_are_registered_with_one_for_each_operator():
     import __spark_entry__ as entry
     names = set(entry.queries())
