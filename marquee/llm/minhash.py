@@ -10,9 +10,9 @@ pigeonhole principle two signatures that differ in at most
 ``CHUNKS * (ERRORS + 1) - 1`` symbols differ in at most ``ERRORS`` in some
 chunk. The allowed errors are enumerated: with one error, a chunk gives one
 key for each of its symbols left out. So every pair within that distance
-shares a key. With the defaults (60 symbols of 8 bits, 12 chunks, 1 error)
-the distance is 23 symbols, and a pair of similarity 0.8 exceeds it with probability
-2.8e-4.
+shares a key. With the defaults (120 symbols of 8 bits, 24 chunks, 1 error)
+the distance is 47 symbols, and a pair of similarity 0.8 exceeds it with probability
+3.6e-7.
 
 **What is done with a bucket.** Equal sets are one class before anything is
 joined. In each bucket a search over the signatures gives a spanning forest of the
@@ -44,7 +44,7 @@ from marquee.plans.materialize import materialize
 
 WORDS = 5
 SIMILARITY = 80  # of 100
-SYMBOLS, BITS, CHUNKS, ERRORS = 60, 8, 12, 1
+SYMBOLS, BITS, CHUNKS, ERRORS = 120, 8, 24, 1
 DISTANCE = CHUNKS * (ERRORS + 1) - 1
 
 BUCKET_ROWS = 1 << 15
