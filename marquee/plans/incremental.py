@@ -150,19 +150,22 @@ class IncrementalCatalog:
         elif live and not dirty.isEmpty():
             again = same_segment(reduce(DataFrame.unionByName, live), dirty, keys, "left_semi")
             rows = rows.unionByName(again)
-        scored = score_ops.score_titles(rows, maps, keys, job.stop_words, job.year_bands)
+        columns = list(dict.fromkeys([*keys, "title_id", *score_ops.TEXT_COLUMNS, *score_ops.POINT_COLUMNS,
+                                      "total_points", BATCH]))
+        # Written, as the counts and the best titles both read the scores: no title is scored twice.
+        scored = write(score_ops.score_titles(rows, maps, keys, job.stop_words, job.year_bands)
+                       .select(*columns, SIGN), "scored")
 
         points = scored.groupBy(*keys, "total_points").agg(F.sum(SIGN).alias("count"))
         # Counts of a dirty segment start again from nothing.
         old_points = [] if dirty is None else [same_segment(self.table("points"), dirty, keys, "left_anti")]
         merged("points", (*keys, "total_points"), points, *old_points)
 
-        columns = list(dict.fromkeys([*keys, "title_id", *score_ops.TEXT_COLUMNS, *score_ops.POINT_COLUMNS,
-                                      "total_points", BATCH]))
         best = scored.filter(F.col(SIGN) > 0).select(*columns)
         if dirty is not None:
             best = best.unionByName(same_segment(self.table("best"), dirty, keys, "left_anti"))
         write(score_ops.top_titles(best, job.top_titles_n, keys), "best")
+        self.folder.delete(f"{version}/scored")
 
     def _dirty(self, lists: DataFrame, gone: Mapping[str, str], at: str) -> DataFrame | None:
         """Segments whose titles are to be scored again; None for all of them (there is no version yet)."""

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from marquee.operators.score import OUTPUT_COLUMNS, POINT_COLUMNS
 from marquee.plans.incremental import IncrementalCatalog
 from marquee.plans.job import CatalogJob
-from marquee.plans.materialize import scratch_path
+from marquee.plans.materialize import materialize, remove_tables, scratch_path
 from marquee.sources.candidates import CANDIDATE_COLUMNS, candidates_from_tables
 from marquee.sources.catalog import (CATALOG_COLUMNS, CSV_READ_OPTIONS, SEGMENT_KEYS, catalog_from_tables,
                                      read_catalog_csv, read_typed_csv)
@@ -238,13 +238,18 @@ def q_csv_published(spark, sf_dir):
 
 
 def _incremental(spark, sf_dir) -> IncrementalCatalog:
-    """The catalogue as three batches that cover it and one that repeats some titles and is removed again."""
-    catalog = catalog_from_tables(spark, sf_dir)
+    """The catalogue as three batches that cover it and one that repeats some titles and is removed again.
+
+    The batches are read from one written catalogue: the tables are joined once, not for each batch.
+    """
+    tables: list[str] = []
+    catalog = materialize(catalog_from_tables(spark, sf_dir), "catalog", tables)
     part = F.pmod(F.xxhash64("title_id"), F.lit(3))
     state = IncrementalCatalog(spark, scratch_path(spark, "incremental"))
     state.update(add={"part0": catalog.filter(part == 0), "part1": catalog.filter(part == 1),
                       "again": catalog.filter(F.pmod(F.xxhash64("title"), F.lit(5)) == 0)})
     state.update(add={"part2": catalog.filter(part == 2)}, remove=["again"])
+    remove_tables(spark, tables)
     return state
 
 

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import SMOKE
-from marquee.plans import incremental
+from marquee.plans import incremental, queries
 from marquee.plans.incremental import IncrementalCatalog
 from marquee.plans.job import CatalogJob
 from marquee.plans.materialize import scratch_path
@@ -116,3 +116,41 @@ def test_wrong_use_is_told(spark, parts):
         state.update(add={"b0": parts["b0"]})
     with pytest.raises(ValueError):
         IncrementalCatalog(spark, path, top_n=(1, 1, 1))
+
+
+def counting(spark, df):
+    """The frame, and how often any of its rows was computed."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def see(_):
+        seen.add(1)
+        return True
+
+    return df.filter(F.udf(see, "boolean").asNondeterministic()("title_id")), seen
+
+
+def test_an_update_scores_a_title_once(spark, parts, monkeypatch):
+    seen, score = [], incremental.score_ops.score_titles
+
+    def counted(*args):
+        df, n = counting(spark, score(*args))
+        seen.append(n)
+        return df
+
+    monkeypatch.setattr(incremental.score_ops, "score_titles", counted)
+    state = IncrementalCatalog(spark, scratch_path(spark, "inc"))
+    state.update(add={"b0": parts["b0"], "b1": parts["b1"]})
+    monkeypatch.undo()
+    titles = sum(r.n for r in state.segment_sizes().collect())
+    assert [n.value for n in seen] == [titles] and titles > 0
+    assert not state.folder.names(f"{state._state['version']}/scored")  # needed while the version is written only
+    assert_equals_full_run(state, [parts["b0"], parts["b1"]])
+
+
+def test_the_queries_join_the_tables_once(spark, parts, monkeypatch):
+    whole = parts["b0"].unionByName(parts["b1"]).unionByName(parts["b2"])
+    df, seen = counting(spark, whole)
+    monkeypatch.setattr(queries, "catalog_from_tables", lambda *_: df)
+    state = queries._incremental(spark, SMOKE)
+    assert seen.value == whole.count()
+    assert_equals_full_run(state, [whole])
