@@ -3,6 +3,7 @@
 import math
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -146,3 +147,115 @@ def test_probes_come_in_order_of_probability_and_reach_the_mass():
     assert np.mean([tuple(s) in {tuple(c) for c in cells} for s in sample]) == pytest.approx(sum(chances), abs=0.01)
     assert probes(mean, shift, spread, 0.99, most=3) is None
     assert probes(np.zeros(0), np.zeros(0), spread, 0.9) == [[]]
+
+
+def test_tasks_hand_on_bounded_batches_of_probes(spark, monkeypatch):
+    """A batch of queries with many cells each was one batch of all their probes, a vector a cell."""
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(4000, 24))
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>").coalesce(1)
+    monkeypatch.setattr(ann, "CELL_VECTORS", 4)
+    kind = type(frame)
+    plain = kind.mapInArrow
+
+    def bounded(self, func, schema, *args, **kwargs):
+        def run(batches):
+            for batch in func(batches):
+                assert batch.nbytes < 3 << 22, f"a batch of {batch.nbytes} bytes"
+                yield batch
+        return plain(self, run, schema, *args, **kwargs)
+
+    monkeypatch.setattr(kind, "mapInArrow", bounded)
+    assert nearest(frame, F.col("vec_id") >= 0, 5).count() == 4000 * 5
+
+
+def dealt(kind, cells, numbers, vectors, least):
+    """A batch of ``DEALT`` rows: the cells of each, its class number twice, its vector and least id."""
+    vectors = np.asarray(vectors)
+    ends = np.cumsum([0, *map(len, cells)])
+    n = len(cells)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(np.zeros(n, np.int32)), pa.array(np.full(n, kind, np.int32)),
+         ann._binary(np.concatenate(cells).astype(np.int64), ends), pa.array(numbers), pa.array(numbers),
+         ann._binary(vectors.ravel(), np.arange(n + 1) * vectors.shape[1]), pa.array(least)], ann._DEALT)
+
+
+@pytest.mark.parametrize("kind", ["<f4", "<f8"])
+@pytest.mark.parametrize("case", ["plain", "ties", "lengths", "huge", "tiny", "equal ids"])
+@pytest.mark.parametrize("sizes", [{}, {"BLOCK_VECTORS": 7, "PRODUCTS": 64, "BEST_ROWS": 100, "ASKING": 5, "PAIRS": 8}])
+def test_shard_finds_the_best_of_the_visited_cells(monkeypatch, kind, case, sizes):
+    for name, value in sizes.items():
+        monkeypatch.setattr(ann, name, value)
+    rng = np.random.default_rng(11)
+    n, asked, keep = 400, 30, 6
+    x = rng.normal(size=(n + asked, 5))
+    if case == "ties":
+        x = rng.integers(-1, 2, (n + asked, 5)) + (np.arange(5) == 0) * 0.5
+    elif case == "lengths":  # most are far below the rounding of the longest
+        x *= 10.0 ** rng.uniform(-9, 0, (n + asked, 1))
+    elif case in ("huge", "tiny") and kind == "<f8":  # products overflow, or vanish, and tie
+        x *= 1e200 if case == "huge" else 1e-170
+    x = x.astype(kind)
+    vectors, asking = x[:n], x[n:]
+    cell = np.sort(rng.integers(0, 12, n)) * 1000003 - 5
+    least = rng.permutation(n) if case != "equal ids" else np.repeat(7, n)
+    order = rng.permutation(n)
+    index = dealt(0, cell[order, None], order, vectors[order], least[order])
+    lists = [np.unique(rng.choice([*np.unique(cell), 999], rng.integers(1, 9))) for _ in range(asked)]
+    shard = ann.Shard([index.slice(0, 150), index.slice(150)], 5, kind, keep)
+    got = {}
+    for batch in shard.search(dealt(1, lists, np.arange(asked), asking, np.zeros(asked, np.int64))):
+        for r in batch.to_pylist():
+            got.setdefault(r["q1"], []).append((r["c1"], r["least"], r["score"]))
+    for q in range(asked):
+        met = np.flatnonzero(np.isin(cell, lists[q]))
+        with np.errstate(over="ignore", invalid="ignore"):
+            score = (asking[q].astype(float) * vectors[met].astype(float)).sum(axis=1)
+        expected = met[np.lexsort((met, least[met], -score))][:keep]
+        assert [c for c, _, _ in got.get(q, [])] == expected.tolist()
+        assert [s for _, _, s in got.get(q, [])] == pytest.approx(
+            [float(s) for s in score[np.searchsorted(met, expected)]], nan_ok=True)
+
+
+def test_visits_hold_every_cell_and_block_once(monkeypatch):
+    monkeypatch.setattr(ann, "BLOCK_VECTORS", 10)
+    cells = [5, 17, -3]
+    deal = ann.Deal(2, 2, 4, 1, [(17, 95), (-8, 30)])
+    assert deal.blocks_of(np.array([5, 17, -8])).tolist() == [1, 10, 3]
+    row, table = np.repeat([0, 1], 3), np.zeros(6, np.int64)
+    rows, shards, found, starts = ann.visits(row, table, np.array(cells * 2), deal)
+    seen = {}
+    for k in range(len(rows)):
+        here = found[starts[k]:starts[k + 1]].tolist()
+        assert len(set(here)) == len(here)
+        for c in here:
+            seen.setdefault((int(rows[k]), c), set()).add(int(shards[k]))
+    for c in cells:  # where the index has the cell's rows, whatever their block
+        n = 10 if c == 17 else 1
+        wanted = set(deal.shard(0, np.full(n, c), np.arange(n)).tolist())
+        assert seen[0, c] == seen[1, c] == wanted
+    assert len(ann.visits(*(np.empty(0, np.int64),) * 3, deal)[0]) == 0
+
+
+def test_probes_are_those_of_a_search_from_the_likeliest_cell():
+    rng = np.random.default_rng(9)
+    guess = 0.1
+    for _ in range(40):
+        m, spread = int(rng.integers(1, 5)), float(rng.uniform(0.2, 1))
+        mean, shift, mass = rng.normal(size=m), rng.uniform(0, ann.WIDTH, m), float(rng.choice([0.5, 0.8, 0.96]))
+        grid = np.stack(np.meshgrid(*[np.arange(-12, 13)] * m, indexing="ij"), axis=-1).reshape(-1, m)
+        edge = lambda s: np.array([math.erf(v) for v in ((s * ann.WIDTH - shift - mean) / spread / 2 ** 0.5).ravel()])
+        chance = np.prod((0.5 * (edge(np.arange(-12, 14)[:, None])[m:] - edge(np.arange(-12, 14)[:, None])[:-m])).reshape(25, m)[
+            grid + 12, np.arange(m)], axis=1)
+        order = np.argsort(-chance)
+        expected = grid[order[:int(np.searchsorted(np.cumsum(chance[order]), mass)) + 1]]
+        slots, guess = ann.probe_slots(mean, shift, spread, mass, 4096, guess)
+        assert slots.tolist() == expected.tolist() == probes(mean, shift, spread, mass)
+
+
+def test_single_and_double_precision_give_the_same_lists(spark):
+    x = np.random.default_rng(12).normal(size=(300, 6)).astype(np.float32)
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    single, double = (nearest(spark.createDataFrame(rows, f"vec_id long, embedding array<{t}>"), F.col("vec_id") % 9 == 0, 7)
+                      for t in ("float", "double"))
+    assert got_lists(single) == got_lists(double)
