@@ -53,9 +53,9 @@ SHARD_BYTES = 1 << 26
 SHARDS = 12
 # Queries that a task of a shard is meant for, and those that it searches at a time.
 BLOCK_QUERIES = 1 << 20
-ASKING = 1 << 11
+ASKING = 1 << 14
 # Candidates that are kept before a cut, products and exact scores that are taken at a time.
-BEST_ROWS = 1 << 18
+BEST_ROWS = 1 << 20
 PRODUCTS = 1 << 20
 PAIRS = 1 << 14
 # Queries are probed so many at a time, and handed on in batches of so many bytes.
@@ -318,6 +318,12 @@ def probe_rows(queries: DataFrame, dimension: int, kind: str, cosine: float, dea
     return queries.select("k1", "k2", "vector").mapInArrow(run, DEALT)
 
 
+#: A query's best candidates of a shard, best first.
+BEST = "q1 bigint, q2 bigint, best binary"
+_BEST = [c.split()[0] for c in BEST.split(", ")]
+CANDIDATE = np.dtype([("c1", "<i8"), ("c2", "<i8"), ("least", "<i8"), ("score", "<f8")])
+
+
 class Shard:
     """The vectors of a shard, cell by cell, and the search for the ``keep`` best of each query among its cells."""
 
@@ -379,11 +385,12 @@ class Shard:
             first = last
         if self.n:
             query, met, _, score = self._best()
-            who = np.stack([queries.column(3).to_numpy(), queries.column(4).to_numpy()], axis=1)[query]
-            ids = self.ids[met]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.ascontiguousarray(c)) for c in (who[:, 0], who[:, 1], ids[:, 0], ids[:, 1], ids[:, 2], score)],
-                ["q1", "q2", "c1", "c2", "least", "score"])
+            best = np.empty(len(query), CANDIDATE)
+            best["c1"], best["c2"], best["least"] = self.ids[met].T
+            best["score"] = score
+            at = np.flatnonzero(np.append(True, query[1:] != query[:-1]))
+            who = queries.select(["k1", "k2"]).take(pa.array(query[at]))
+            yield pa.RecordBatch.from_arrays([*who.columns, _binary(best, np.append(at, len(query)))], _BEST)
 
     def _meet(self, q: np.ndarray, who: np.ndarray, first: int, last: int) -> None:
         """Holds those of the vectors from ``first`` to ``last`` that can be among the best of the queries ``who``."""
@@ -429,7 +436,7 @@ class Shard:
 
 
 def meet(index: DataFrame, probing: DataFrame, deal: Deal, dimension: int, kind: str, keep: int) -> DataFrame:
-    """``(q1, q2, c1, c2, least, score)``: every query's best ``keep`` vectors of the cells that a shard has."""
+    """``BEST``: every query's best ``keep`` vectors of the cells that a shard has."""
     rows = index.union(probing).repartitionById(deal.slots, "slot").sortWithinPartitions("slot", "kind")
 
     def run(batches):
@@ -452,7 +459,52 @@ def meet(index: DataFrame, probing: DataFrame, deal: Deal, dimension: int, kind:
                     yield from shard.search(batch.slice(at, end - at))
                 at = end
 
-    return rows.mapInArrow(run, "q1 bigint, q2 bigint, c1 bigint, c2 bigint, least bigint, score double")
+    return rows.mapInArrow(run, BEST)
+
+
+def best_of(rows: pa.RecordBatch, keep: int) -> pa.RecordBatch:
+    """``(q1, q2, c1, c2, score)``: the best ``keep`` candidates of each query in ``BEST`` rows that stand query by query."""
+    data, starts = _bytes_of(rows.column(2))
+    found, starts = data.view(CANDIDATE), starts // CANDIDATE.itemsize
+    q = np.stack([rows.column(k).to_numpy() for k in range(2)], axis=1)
+    first = np.flatnonzero(np.append(True, (q[1:] != q[:-1]).any(axis=1)))
+    row = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(q))))
+    # Where a shard gave as many as are kept, nothing below its last is.
+    last = np.where(np.diff(starts) == keep, found["score"][starts[1:] - 1], -np.inf)
+    query = np.repeat(row, np.diff(starts))
+    stay = ~(found["score"] < np.fmax.reduceat(last, first)[query])
+    found, query = found[stay], query[stay]
+    order = np.lexsort((found["c2"], found["c1"], found["least"], -found["score"], query))
+    found, query = found[order], query[order]
+    # A candidate has one score, so what both tables found stands together.
+    same = (query[1:] == query[:-1]) & (found["c1"][1:] == found["c1"][:-1]) & (found["c2"][1:] == found["c2"][:-1])
+    found, query = found[np.append(True, ~same)], query[np.append(True, ~same)]
+    top = ranks(query) < keep
+    found, who = found[top], q[first][query[top]]
+    columns = [who[:, 0], who[:, 1], found["c1"], found["c2"], found["score"]]
+    return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c)) for c in columns], ["q1", "q2", "c1", "c2", "score"])
+
+
+def merged(found: DataFrame, keep: int) -> DataFrame:
+    """``(q1, q2, c1, c2, score)``: the best ``keep`` of each query among what ``BEST`` rows hold."""
+
+    def run(batches):
+        held = None
+        for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            rows = batch if held is None else pa.concat_batches([held, batch])
+            q = np.stack([rows.column(k).to_numpy() for k in range(2)], axis=1)
+            other = np.flatnonzero((q != q[-1]).any(axis=1))  # the last query may go on in the next batch
+            ended = int(other[-1]) + 1 if len(other) else 0
+            if ended:
+                yield best_of(rows.slice(0, ended), keep)
+            held = rows.slice(ended)
+        if held is not None:
+            yield best_of(held, keep)
+
+    return found.repartition("q1", "q2").sortWithinPartitions("q1", "q2").mapInArrow(
+        run, "q1 bigint, q2 bigint, c1 bigint, c2 bigint, score double")
 
 
 def sampled(queries: DataFrame, kind: str) -> np.ndarray:
@@ -559,11 +611,7 @@ def _nearest_of_dimension(own: DataFrame, dimension: int, kind: str, largest: fl
             deal.parts = max(1, math.ceil(asked * seen / (len(sample) * tables * shards * BLOCK_QUERIES)))
         index = index_rows(classes, dimension, kind, largest, deal)
         probing = probe_rows(wanted.repartition(max(1, min(tasks, asked // 512))), dimension, kind, cosine, deal)
-        # Dealt by query once: what follows needs no other order.
-        found = meet(index, probing, deal, dimension, kind, keep).repartition("q1", "q2")
-        merged = found.groupBy("q1", "q2", "c1", "c2").agg(F.max("score").alias("score"), F.min("least").alias("least"))
-        rank = F.row_number().over(Window.partitionBy("q1", "q2").orderBy(F.col("score").desc(), "least", "c1", "c2"))
-        return materialize(merged.withColumn("r", rank).filter(F.col("r") <= keep).drop("r", "least"), name)
+        return materialize(merged(meet(index, probing, deal, dimension, kind, keep), keep), name)
 
     first = search(queries, asked, m, tables, "neighbours")
     many = classes.select(F.col("k1").alias("c1"), F.col("k2").alias("c2"), F.size("ids").alias("n"))

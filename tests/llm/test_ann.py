@@ -206,7 +206,7 @@ def test_shard_finds_the_best_of_the_visited_cells(monkeypatch, kind, case, size
     got = {}
     for batch in shard.search(dealt(1, lists, np.arange(asked), asking, np.zeros(asked, np.int64))):
         for r in batch.to_pylist():
-            got.setdefault(r["q1"], []).append((r["c1"], r["least"], r["score"]))
+            got[r["q1"]] = [(c, least, s) for c, _, least, s in np.frombuffer(r["best"], ann.CANDIDATE).tolist()]
     for q in range(asked):
         met = np.flatnonzero(np.isin(cell, lists[q]))
         with np.errstate(over="ignore", invalid="ignore"):
@@ -217,6 +217,28 @@ def test_shard_finds_the_best_of_the_visited_cells(monkeypatch, kind, case, size
             [float(s) for s in score[np.searchsorted(met, expected)]], nan_ok=True)
 
 
+@pytest.mark.parametrize("rows", [1, 3, 1000])
+def test_the_best_of_shards_are_merged_by_score_and_id(spark, monkeypatch, rows):
+    rng = np.random.default_rng(13)
+    score, least = rng.integers(0, 9, 40) / 4, rng.permutation(40) // 2
+    given, expected = [], set()
+    for q in range(25):
+        union = set()
+        for _ in range(rng.integers(1, 12)):
+            some = rng.choice(40, rng.integers(1, 20), replace=False)
+            some = some[np.lexsort((some, least[some], -score[some]))][:5]
+            union |= set(some.tolist())
+            given.append((q, -q, np.array([(c, c % 3, least[c], score[c]) for c in some], ann.CANDIDATE).tobytes()))
+        for c in sorted(union, key=lambda c: (-score[c], least[c], c))[:5]:
+            expected.add((q, -q, c, c % 3, score[c]))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
+    try:
+        got = ann.merged(spark.createDataFrame(given, ann.BEST), 5).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert {tuple(r) for r in got} == expected and len(got) == len(expected)
+
+
 def test_visits_hold_every_cell_and_block_once(monkeypatch):
     monkeypatch.setattr(ann, "BLOCK_VECTORS", 10)
     cells = [5, 17, -3]
